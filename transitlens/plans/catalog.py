@@ -113,3 +113,217 @@ ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id, service_date, hour_of_d
 def q_slowest_preview(spark, sf_dir):
     """Top-10 slowest route-hours with at least 3 moving pings."""
     return metrics.slowest_preview(_route_hour(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- warehouse + reports
+
+def _wh(spark, sf_dir):
+    from transitlens.plans import warehouse_build
+    pings = _pings(spark, sf_dir)
+    return warehouse_build.load(spark, pings, metrics.route_hour(pings))
+
+
+def _r():
+    from transitlens.plans import reports
+    return reports
+
+
+@register("dim_date", with_ctes("warehouse") + """
+SELECT * FROM dim_date WHERE date_key IN (SELECT date_key FROM fact_rh)""")
+def q_dim_date(spark, sf_dir):
+    """Date dimension rows referenced by the route-hour facts."""
+    wh = _wh(spark, sf_dir)
+    return wh.dim_date.join(wh.fact_route_hour.select("date_key").distinct(), "date_key", "left_semi")
+
+
+@register("dim_hour", with_ctes("warehouse") + """
+SELECT h.hour_key, h.hour_label, h.day_part, CAST(count(f.route_key) AS BIGINT) AS route_hours
+FROM dim_hour h LEFT JOIN fact_rh f USING (hour_key) GROUP BY h.hour_key, h.hour_label, h.day_part""")
+def q_dim_hour(spark, sf_dir):
+    """Hour dimension with the number of route-hour facts per hour."""
+    wh = _wh(spark, sf_dir)
+    n = wh.fact_route_hour.groupBy("hour_key").agg(F.count(F.lit(1)).alias("route_hours"))
+    return (wh.dim_hour.join(n, "hour_key", "left")
+              .select("hour_key", "hour_label", "day_part", F.coalesce("route_hours", F.lit(0)).alias("route_hours")))
+
+
+@register("dim_route", with_ctes("warehouse") + "SELECT route_key, route_id FROM dim_route")
+def q_dim_route(spark, sf_dir):
+    """Route dimension with distributed surrogate keys."""
+    return _wh(spark, sf_dir).dim_route.select("route_key", "route_id")
+
+
+@register("dim_vehicle", with_ctes("warehouse") + "SELECT vehicle_key, vehicle_id FROM dim_vehicle")
+def q_dim_vehicle(spark, sf_dir):
+    """Vehicle dimension."""
+    return _wh(spark, sf_dir).dim_vehicle.select("vehicle_key", "vehicle_id")
+
+
+@register("fact_route_hour", with_ctes("warehouse") + "SELECT * FROM fact_rh")
+def q_fact_route_hour(spark, sf_dir):
+    """Route-hour fact (loaded_at omitted)."""
+    return _wh(spark, sf_dir).fact_route_hour.drop("loaded_at")
+
+
+@register("fact_ping", with_ctes("warehouse") + "SELECT * FROM fact_ping")
+def q_fact_ping(spark, sf_dir):
+    """Ping fact with NUMERIC scales (obs_ts shown as epoch seconds)."""
+    f = _wh(spark, sf_dir).fact_ping
+    return f.withColumn("obs_epoch", F.unix_seconds("obs_ts")).drop("obs_ts").select(
+        "obs_epoch", *[c for c in f.columns if c != "obs_ts"])
+
+
+@register("report_slowest", with_ctes("warehouse") + """
+SELECT route_id, full_date, hour_label, n_moving, CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph, n_bunched
+FROM rh_view WHERE n_moving >= 3
+ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id, full_date, hour_key LIMIT 10""")
+def q_report_slowest(spark, sf_dir):
+    """Top 10 slowest route-hours."""
+    return _r().slowest_route_hours(_wh(spark, sf_dir))
+
+
+@register("report_hour_rank", with_ctes("warehouse") + """
+SELECT hour_label, route_id, CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph,
+       CAST(slow_rank_in_hour AS INTEGER) AS slow_rank_in_hour
+FROM (SELECT *, rank() OVER (PARTITION BY hour_key ORDER BY avg_moving_speed_kmph ASC NULLS LAST) AS slow_rank_in_hour
+      FROM rh_view WHERE n_moving >= 3) t
+WHERE slow_rank_in_hour = 1""")
+def q_report_hour_rank(spark, sf_dir):
+    """Slowest route(s) in each hour (ties kept)."""
+    return _r().slowest_in_each_hour(_wh(spark, sf_dir))
+
+
+@register("report_day_part", with_ctes("warehouse") + """
+SELECT h.day_part, CAST(count(*) AS BIGINT) AS route_hour_rows,
+       CAST(round(CAST(avg(CAST(f.avg_moving_speed_kmph AS DOUBLE)) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_speed_kmph,
+       CAST(sum(f.n_bunched) AS BIGINT) AS total_bunched_pings
+FROM fact_rh f JOIN dim_hour h USING (hour_key) GROUP BY h.day_part""")
+def q_report_day_part(spark, sf_dir):
+    """Congestion by day part."""
+    return _r().by_day_part(_wh(spark, sf_dir))
+
+
+BUNCHING_SQL = """
+SELECT route_id, total_moving_pings, total_bunched_pings,
+       CAST(round(CAST(CAST(total_bunched_pings AS DOUBLE) * 100.0 / CAST(nullif(total_moving_pings, 0) AS DOUBLE)
+                  AS DECIMAL(38,6)), 1) AS DOUBLE) AS bunching_pct
+FROM (SELECT r.route_id, CAST(sum(f.n_moving) AS BIGINT) AS total_moving_pings,
+             CAST(sum(f.n_bunched) AS BIGINT) AS total_bunched_pings
+      FROM fact_rh f JOIN dim_route r USING (route_key) GROUP BY r.route_id HAVING sum(f.n_moving) >= 10) t
+ORDER BY bunching_pct DESC NULLS FIRST, route_id LIMIT {k}"""
+
+
+@register("report_bunching", with_ctes("warehouse") + BUNCHING_SQL.format(k=10))
+def q_report_bunching(spark, sf_dir):
+    """Top-10 bunching rate per route."""
+    return _r().bunching_rate(_wh(spark, sf_dir))
+
+
+@register("report_day_over_day", with_ctes("warehouse") + """
+SELECT route_id, full_date, avg_speed_kmph, prev_day_speed,
+       CAST(round(CAST(avg_speed_kmph - prev_day_speed AS DECIMAL(38,6)), 2) AS DOUBLE) AS change_vs_prev_day
+FROM (SELECT *, lag(avg_speed_kmph) OVER (PARTITION BY route_id ORDER BY full_date) AS prev_day_speed
+      FROM (SELECT route_id, full_date,
+                   CAST(round(CAST(avg(CAST(avg_moving_speed_kmph AS DOUBLE)) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_speed_kmph
+            FROM rh_view WHERE n_moving >= 3 GROUP BY route_id, full_date) d) t""")
+def q_report_day_over_day(spark, sf_dir):
+    """Day-over-day trend per route (whole trend, not a preview)."""
+    return _r().day_over_day(_wh(spark, sf_dir))
+
+
+LOOKUP_SQL = """
+SELECT route_id, CAST(full_date AS VARCHAR) AS full_date, hour_label, n_moving,
+       CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph, n_bunched
+FROM rh_view WHERE route_id = '{route}' AND n_moving >= {floor} {hour}"""
+
+
+@register("lookup_route_speed", with_ctes("warehouse") + LOOKUP_SQL.format(route="1", floor=3, hour=""))
+def q_lookup_route_speed(spark, sf_dir):
+    """One route's route-hours (route '1', all hours, floor 3)."""
+    return _r().route_speed(_wh(spark, sf_dir), "1")
+
+
+@register("lookup_route_hour", with_ctes("warehouse") + LOOKUP_SQL.format(route="4", floor=5, hour="AND hour_key = 18"))
+def q_lookup_route_hour(spark, sf_dir):
+    """One route at one hour with a custom floor (route '4', 18:00, floor 5)."""
+    return _r().route_speed(_wh(spark, sf_dir), "4", hour=18, min_moving=5)
+
+
+@register("lookup_slowest", with_ctes("warehouse") + """
+SELECT route_id, CAST(full_date AS VARCHAR) AS full_date, hour_label, n_moving,
+       CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph, n_bunched
+FROM rh_view WHERE n_moving >= 5
+ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id, full_date, hour_key LIMIT 25""")
+def q_lookup_slowest(spark, sf_dir):
+    """Slowest route-hours with parameters (floor 5, limit 25)."""
+    return _r().slowest_route_hours(_wh(spark, sf_dir), min_moving=5, limit=25, date_as_text=True)
+
+
+@register("tile_top15", with_ctes("warehouse") + """
+SELECT route_id, CAST(round(CAST(avg(CAST(avg_moving_speed_kmph AS DOUBLE)) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_moving_speed_kmph,
+       CAST(count(*) AS BIGINT) AS route_hours
+FROM rh_view WHERE n_moving >= 3 GROUP BY route_id
+ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id LIMIT 15""")
+def q_tile_top15(spark, sf_dir):
+    """Top 15 slowest routes."""
+    return _r().slowest_routes_tile(_wh(spark, sf_dir))
+
+
+@register("tile_midday_evening", with_ctes("warehouse") + """
+SELECT h.day_part, CAST(count(*) AS BIGINT) AS route_hour_rows,
+       CAST(round(CAST(avg(CAST(f.avg_moving_speed_kmph AS DOUBLE)) AS DECIMAL(38,6)), 2) AS DOUBLE) AS avg_speed_kmph,
+       CAST(sum(f.n_bunched) AS BIGINT) AS total_bunched_pings
+FROM fact_rh f JOIN dim_hour h USING (hour_key) WHERE h.day_part IN ('Midday', 'Evening peak') GROUP BY h.day_part""")
+def q_tile_midday_evening(spark, sf_dir):
+    """Midday vs evening-peak speed."""
+    return _r().midday_vs_evening(_wh(spark, sf_dir))
+
+
+@register("tile_kpi", with_ctes("warehouse") + """
+SELECT (SELECT CAST(sum(n_pings) AS BIGINT) FROM fact_rh) AS total_pings,
+       (SELECT CAST(count(DISTINCT route_key) AS BIGINT) FROM fact_rh) AS distinct_routes,
+       (SELECT CAST(round(CAST(avg(CAST(speed_kmph AS DOUBLE)) AS DECIMAL(38,6)), 2) AS DOUBLE)
+        FROM fact_ping WHERE is_moving) AS avg_moving_speed_kmph""")
+def q_tile_kpi(spark, sf_dir):
+    """KPI cards."""
+    return _r().kpi_cards(_wh(spark, sf_dir))
+
+
+@register("bar_scale", with_ctes("warehouse") + """
+SELECT *, CASE WHEN max(coalesce(avg_moving_speed_kmph, 0.0)) OVER () > 0
+               THEN CAST(round(CAST(greatest(6.0, coalesce(avg_moving_speed_kmph, 0.0)
+                    / max(coalesce(avg_moving_speed_kmph, 0.0)) OVER () * 100.0) AS DECIMAL(38,6)), 2) AS DOUBLE)
+               ELSE 0.0 END AS bar_pct
+FROM (SELECT route_id, CAST(full_date AS VARCHAR) AS full_date, hour_label, n_moving,
+             CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph, n_bunched
+      FROM rh_view WHERE n_moving >= 3
+      ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id, full_date, hour_key LIMIT 10) t""")
+def q_bar_scale(spark, sf_dir):
+    """Relative bar widths of the slowest list."""
+    r = _r()
+    return r.bar_scale(r.slowest_route_hours(_wh(spark, sf_dir), date_as_text=True))
+
+
+@register("insight_prompt", with_ctes("warehouse") + """
+, slow AS (
+  SELECT route_id, full_date, hour_label, n_moving, avg_moving_speed_kmph,
+         row_number() OVER (ORDER BY avg_moving_speed_kmph ASC NULLS LAST, route_id, full_date, hour_key) AS r
+  FROM rh_view WHERE n_moving >= 3 ORDER BY r LIMIT 10
+), bunch AS (
+  SELECT *, row_number() OVER (ORDER BY bunching_pct DESC NULLS FIRST, route_id) AS r FROM (""" + BUNCHING_SQL.format(k=5) + """) b
+), lines AS (
+  SELECT 0 AS sec, 0 AS r, 'Slowest bus routes (route_id, date, hour, moving buses, avg speed km/h):' AS line
+  UNION ALL SELECT 1, r, printf('- Route %s on %s at %s: %s buses, %s km/h', route_id, CAST(full_date AS VARCHAR),
+                                hour_label, CAST(n_moving AS VARCHAR), CAST(avg_moving_speed_kmph AS VARCHAR)) FROM slow
+  UNION ALL SELECT 2, 0, chr(10) || 'Routes with the highest bus-bunching rate (same route, buses within 300m):'
+  UNION ALL SELECT 3, r, printf('- Route %s: %s%% bunched (%s of %s moving pings)', route_id,
+                                CAST(CAST(bunching_pct AS DECIMAL(10,1)) AS VARCHAR), CAST(total_bunched_pings AS VARCHAR),
+                                CAST(total_moving_pings AS VARCHAR)) FROM bunch
+  UNION ALL SELECT 4, 0, chr(10) || 'Write a short summary (4-6 sentences, plain English, no jargon) for a transit planner. '
+         || 'Call out the worst congestion pattern and the worst bunching pattern. Do not invent numbers not shown above. '
+         || 'Do not give traffic-management advice beyond one short suggestion.'
+)
+SELECT string_agg(line, chr(10) ORDER BY sec, r) AS prompt FROM lines""")
+def q_insight_prompt(spark, sf_dir):
+    """The insight prompt text."""
+    return _r().insight_prompt(_wh(spark, sf_dir))

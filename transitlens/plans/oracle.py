@@ -117,7 +117,62 @@ route_hour AS (
   FROM pings GROUP BY route_id, service_date, hour_of_day, day_of_week
 )"""
 
-ORDER = ["raw", "pings", "route_hour"]
+CTE["warehouse"] = """
+dim_route AS (
+  SELECT CAST(row_number() OVER (ORDER BY route_id) AS INTEGER) AS route_key, route_id
+  FROM (SELECT DISTINCT route_id FROM (SELECT route_id FROM pings UNION ALL SELECT route_id FROM route_hour) u
+        WHERE route_id IS NOT NULL) d
+),
+dim_vehicle AS (
+  SELECT CAST(row_number() OVER (ORDER BY vehicle_id) AS INTEGER) AS vehicle_key, vehicle_id
+  FROM (SELECT DISTINCT vehicle_id FROM pings WHERE vehicle_id IS NOT NULL) d
+),
+dim_date AS (
+  SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, d AS full_date,
+         CAST(year(d) AS SMALLINT) AS year, CAST(month(d) AS SMALLINT) AS month, CAST(day(d) AS SMALLINT) AS day,
+         CAST(dayofweek(d) + 1 AS SMALLINT) AS day_of_week, dayname(d) AS day_name,
+         dayofweek(d) IN (0, 6) AS is_weekend
+  FROM (SELECT CAST(generate_series AS DATE) AS d
+        FROM generate_series(TIMESTAMP '2026-01-01', TIMESTAMP '2028-12-31', INTERVAL 1 DAY)) g
+),
+dim_hour AS (
+  SELECT CAST(h AS SMALLINT) AS hour_key,
+         lpad(CAST(h AS VARCHAR), 2, '0') || ':00-' || lpad(CAST(h AS VARCHAR), 2, '0') || ':59' AS hour_label,
+         CASE WHEN h BETWEEN 0 AND 5 THEN 'Night' WHEN h BETWEEN 6 AND 10 THEN 'Morning peak'
+              WHEN h BETWEEN 11 AND 15 THEN 'Midday' WHEN h BETWEEN 16 AND 20 THEN 'Evening peak'
+              ELSE 'Late evening' END AS day_part
+  FROM range(24) t(h)
+),
+fact_rh AS (
+  SELECT CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) AS date_key,
+         CAST(hour_of_day AS SMALLINT) AS hour_key, r.route_key,
+         CAST(n_pings AS INTEGER) AS n_pings, CAST(n_vehicles AS INTEGER) AS n_vehicles,
+         CAST(n_speed_obs AS INTEGER) AS n_speed_obs, CAST(n_moving AS INTEGER) AS n_moving,
+         CAST(avg_speed_kmph AS DECIMAL(7,2)) AS avg_speed_kmph,
+         CAST(avg_moving_speed_kmph AS DECIMAL(7,2)) AS avg_moving_speed_kmph,
+         CAST(n_bunched AS INTEGER) AS n_bunched
+  FROM route_hour JOIN dim_route r USING (route_id)
+  WHERE CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER)
+        IN (SELECT date_key FROM dim_date)
+),
+fact_ping AS (
+  SELECT p.obs_epoch,
+         CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) AS date_key,
+         CAST(hour_of_day AS SMALLINT) AS hour_key, r.route_key, v.vehicle_key, trip_id,
+         CAST(dispatch_hour AS SMALLINT) AS dispatch_hour, CAST(dispatch_minute AS SMALLINT) AS dispatch_minute,
+         CAST(lat AS DECIMAL(9,6)) AS lat, CAST(lon AS DECIMAL(9,6)) AS lon, CAST(gap_s AS INTEGER) AS gap_s,
+         CAST(CAST(dist_m AS DECIMAL(38,6)) AS DECIMAL(10,1)) AS dist_m, CAST(speed_kmph AS DECIMAL(8,2)) AS speed_kmph,
+         is_speed_valid, is_moving, is_bunched
+  FROM pings p JOIN dim_route r USING (route_id) JOIN dim_vehicle v USING (vehicle_id)
+  WHERE CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER)
+        IN (SELECT date_key FROM dim_date)
+),
+rh_view AS (
+  SELECT f.*, r.route_id, d.full_date, d.day_of_week, h.hour_label, h.day_part
+  FROM fact_rh f JOIN dim_route r USING (route_key) JOIN dim_date d USING (date_key) JOIN dim_hour h USING (hour_key)
+)"""
+
+ORDER = ["raw", "pings", "route_hour", "warehouse"]
 
 
 def with_ctes(*names: str) -> str:
