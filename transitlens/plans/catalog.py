@@ -327,3 +327,59 @@ SELECT string_agg(line, chr(10) ORDER BY sec, r) AS prompt FROM lines""")
 def q_insight_prompt(spark, sf_dir):
     """The insight prompt text."""
     return _r().insight_prompt(_wh(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- quality
+
+def _q():
+    from transitlens.operators import quality
+    return quality
+
+
+def _oracle_quality(dataset, relation, checks, pre=""):
+    from transitlens.plans.oracle import quality_sql
+    return pre + quality_sql(dataset, relation, checks)
+
+
+def _pings_ts(spark, sf_dir):
+    return _pings(spark, sf_dir)
+
+
+_QP = _q().pings_suite()
+_QR = _q().route_hour_suite()
+_PINGS_TS_CTE = ", pings_ts AS (SELECT * EXCLUDE (obs_epoch), make_timestamp(obs_epoch * 1000000) AS obs_ts FROM pings)\n"
+
+
+@register("quality_pings", _oracle_quality("vehicle_pings_clean", "pings_ts", _QP, with_ctes("pings") + _PINGS_TS_CTE))
+def q_quality_pings(spark, sf_dir):
+    """Q1 Q2 Q4-Q8 Q13: the 12 ping checks (Q6 fails on this data by design)."""
+    return _q().run_suite(_pings(spark, sf_dir), "vehicle_pings_clean", _QP)
+
+
+@register("quality_pings_valid", _oracle_quality("vehicle_pings_clean", "pings_ts", _QP,
+                                                 with_ctes("pings") + ", pings_ts AS (SELECT * EXCLUDE (obs_epoch), "
+                                                 "make_timestamp(obs_epoch * 1000000) AS obs_ts FROM pings WHERE is_speed_valid)\n"))
+def q_quality_pings_valid(spark, sf_dir):
+    """Q1-Q8: the ping checks on valid-speed pings (all pass)."""
+    return _q().run_suite(_pings(spark, sf_dir).filter("is_speed_valid"), "vehicle_pings_clean", _QP)
+
+
+@register("quality_route_hour", _oracle_quality("route_hour_speed", "route_hour", _QR, with_ctes("route_hour")))
+def q_quality_route_hour(spark, sf_dir):
+    """Q1 Q3 Q5 Q9-Q12 Q13: the 14 route-hour checks."""
+    return _q().run_suite(_route_hour(spark, sf_dir), "route_hour_speed", _QR)
+
+
+@register("quality_gate", with_ctes("route_hour") + _PINGS_TS_CTE + """
+, results AS (""" + _oracle_quality("vehicle_pings_clean", "pings_ts", _QP) + "\nUNION ALL\n"
+          + _oracle_quality("route_hour_speed", "route_hour", _QR) + """)
+SELECT dataset, bool_and(success) AS passed, CAST(count(*) AS BIGINT) AS n_checks,
+       CAST(count(*) FILTER (WHERE NOT success) AS BIGINT) AS n_failed
+FROM results GROUP BY dataset""")
+def q_quality_gate(spark, sf_dir):
+    """Q13 Q14: pass/fail per dataset (the gate raises when any is false)."""
+    q = _q()
+    pings = _pings(spark, sf_dir)
+    res = q.run_suite(pings, "vehicle_pings_clean", _QP).unionByName(
+        q.run_suite(metrics.route_hour(pings), "route_hour_speed", _QR))
+    return q.suite_passed(res)

@@ -181,3 +181,50 @@ def with_ctes(*names: str) -> str:
     for n in names:
         need.update(ORDER[: ORDER.index(n) + 1])
     return "WITH " + ",".join(CTE[n].strip("\n") for n in ORDER if n in need) + "\n"
+
+
+def quality_sql(dataset: str, relation: str, checks) -> str:
+    """One SELECT per check over ``relation`` (a CTE name), UNION ALL'ed;
+    the same result columns as operators.quality.run_suite."""
+    parts = []
+    for i, c in enumerate(checks):
+        head = (f"SELECT '{dataset}' AS dataset, CAST({i} AS INTEGER) AS check_no, '{c.check_id}' AS check_id, "
+                f"'{c.check_type}' AS check_type, '{c.column or ','.join(c.columns)}' AS column_name")
+        if c.check_type == "row_count_between":
+            parts.append(f"{head}, count(*) >= {c.min_value} AS success, CAST(count(*) AS BIGINT) AS element_count, "
+                         f"CAST(NULL AS BIGINT) AS unexpected_count, CAST(NULL AS DOUBLE) AS unexpected_pct FROM {relation}")
+            continue
+        if c.check_type == "compound_unique":
+            cols = ", ".join(c.columns)
+            present = " OR ".join(f"{k} IS NOT NULL" for k in c.columns)
+            u, d, src = ("coalesce(sum(CASE WHEN k > 1 THEN k END), 0)", "coalesce(sum(k), 0)",
+                         f"(SELECT count(*) AS k FROM {relation} WHERE {present} GROUP BY {cols}) g")
+            n = f"(SELECT count(*) FROM {relation})"
+        else:
+            col = c.column
+            if c.check_type == "not_null":
+                u, d = f"count(*) FILTER (WHERE {col} IS NULL)", "count(*)"
+            elif c.check_type == "between":
+                conds = []
+                if c.min_value is not None:
+                    conds.append(f"{col} >= {c.min_value}")
+                if c.max_value is not None:
+                    conds.append(f"{col} <= {c.max_value}")
+                u, d = f"count(*) FILTER (WHERE {col} IS NOT NULL AND NOT ({' AND '.join(conds)}))", f"count({col})"
+            elif c.check_type == "in_set":
+                vals = ", ".join("true" if v is True else "false" if v is False else repr(v) for v in c.values)
+                u, d = f"count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals}))", f"count({col})"
+            elif c.check_type == "pair_a_ge_b":
+                both = f"{col} IS NOT NULL AND {c.column_b} IS NOT NULL"
+                op = ">=" if c.or_equal else ">"
+                u, d = f"count(*) FILTER (WHERE {both} AND NOT ({col} {op} {c.column_b}))", f"count(*) FILTER (WHERE {both})"
+            else:
+                raise ValueError(c.check_type)
+            src, n = relation, "count(*)"
+        parts.append(
+            f"SELECT * EXCLUDE (u, d), CAST(u AS BIGINT) AS unexpected_count, "
+            f"CASE WHEN d > 0 THEN CAST(round(CAST(CAST(u AS DOUBLE) * 100.0 / d AS DECIMAL(38,8)), 4) AS DOUBLE) END AS unexpected_pct "
+            f"FROM (SELECT dataset, check_no, check_id, check_type, column_name, "
+            f"coalesce(CAST(d - u AS DOUBLE) / nullif(d, 0) >= {c.mostly}, true) AS success, element_count, u, d "
+            f"FROM ({head}, CAST({n} AS BIGINT) AS element_count, {u} AS u, {d} AS d FROM {src}) x) y")
+    return "\nUNION ALL\n".join(parts)
