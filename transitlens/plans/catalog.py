@@ -383,3 +383,202 @@ def q_quality_gate(spark, sf_dir):
     res = q.run_suite(pings, "vehicle_pings_clean", _QP).unionByName(
         q.run_suite(metrics.route_hour(pings), "route_hour_speed", _QR))
     return q.suite_passed(res)
+
+
+# ---------------------------------------------------------------- upserts (two-batch fixture)
+
+def _batches(spark, sf_dir):
+    """Batch 1 = pings of even event ids, batch 2 = all pings (speeds recomputed)."""
+    from transitlens.sources import fixtures
+    ev = Tables(spark, sf_dir)("events")
+    p1 = flow.pings_from_raw(fixtures.raw_feed(ev.filter(F.col("event_id") % 2 == 0)))
+    p2 = flow.pings_from_raw(fixtures.raw_feed(ev))
+    return p1, p2
+
+
+def _two_batch_dims(spark, p1, p2, rh1, rh2):
+    from transitlens.operators import warehouse as W
+    dr = W.upsert_dim(W.empty_dim_route(spark), p1.select("route_id").unionByName(rh1.select("route_id")),
+                      "route_id", "route_key")
+    dr = W.upsert_dim(dr, p2.select("route_id").unionByName(rh2.select("route_id")), "route_id", "route_key")
+    dv = W.upsert_dim(W.empty_dim_vehicle(spark), p1.select("vehicle_id"), "vehicle_id", "vehicle_key")
+    dv = W.upsert_dim(dv, p2.select("vehicle_id"), "vehicle_id", "vehicle_key")
+    return dr, dv
+
+
+_TWO_BATCH_CTES = (with_ctes("warehouse") + "," + __import__("transitlens.plans.oracle", fromlist=["x"]).batch_ctes(
+    "_b1", "event_id % 2 = 0") + """,
+dr1 AS (SELECT CAST(row_number() OVER (ORDER BY route_id) AS INTEGER) AS route_key, route_id
+        FROM (SELECT DISTINCT route_id FROM (SELECT route_id FROM pings_b1 UNION ALL SELECT route_id FROM route_hour_b1) u
+              WHERE route_id IS NOT NULL) d),
+dr2 AS (SELECT * FROM dr1 UNION ALL
+        SELECT CAST((SELECT coalesce(max(route_key), 0) FROM dr1) + row_number() OVER (ORDER BY route_id) AS INTEGER), route_id
+        FROM (SELECT DISTINCT route_id FROM (SELECT route_id FROM pings UNION ALL SELECT route_id FROM route_hour) u
+              WHERE route_id IS NOT NULL AND route_id NOT IN (SELECT route_id FROM dr1)) d),
+dv1 AS (SELECT CAST(row_number() OVER (ORDER BY vehicle_id) AS INTEGER) AS vehicle_key, vehicle_id
+        FROM (SELECT DISTINCT vehicle_id FROM pings_b1 WHERE vehicle_id IS NOT NULL) d),
+dv2 AS (SELECT * FROM dv1 UNION ALL
+        SELECT CAST((SELECT coalesce(max(vehicle_key), 0) FROM dv1) + row_number() OVER (ORDER BY vehicle_id) AS INTEGER), vehicle_id
+        FROM (SELECT DISTINCT vehicle_id FROM pings WHERE vehicle_id IS NOT NULL
+              AND vehicle_id NOT IN (SELECT vehicle_id FROM dv1)) d),
+""")
+
+
+def _fact_rh_sql(rh, dr):
+    return f"""SELECT CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) AS date_key,
+         CAST(hour_of_day AS SMALLINT) AS hour_key, r.route_key,
+         CAST(n_pings AS INTEGER) AS n_pings, CAST(n_vehicles AS INTEGER) AS n_vehicles,
+         CAST(n_speed_obs AS INTEGER) AS n_speed_obs, CAST(n_moving AS INTEGER) AS n_moving,
+         CAST(avg_speed_kmph AS DECIMAL(7,2)) AS avg_speed_kmph,
+         CAST(avg_moving_speed_kmph AS DECIMAL(7,2)) AS avg_moving_speed_kmph, CAST(n_bunched AS INTEGER) AS n_bunched
+  FROM {rh} JOIN {dr} r USING (route_id)"""
+
+
+def _fact_ping_sql(p, dr, dv):
+    return f"""SELECT p.obs_epoch,
+         CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) AS date_key,
+         CAST(hour_of_day AS SMALLINT) AS hour_key, r.route_key, v.vehicle_key, trip_id,
+         CAST(dispatch_hour AS SMALLINT) AS dispatch_hour, CAST(dispatch_minute AS SMALLINT) AS dispatch_minute,
+         CAST(lat AS DECIMAL(9,6)) AS lat, CAST(lon AS DECIMAL(9,6)) AS lon, CAST(gap_s AS INTEGER) AS gap_s,
+         CAST(CAST(dist_m AS DECIMAL(38,6)) AS DECIMAL(10,1)) AS dist_m, CAST(speed_kmph AS DECIMAL(8,2)) AS speed_kmph,
+         is_speed_valid, is_moving, is_bunched
+  FROM {p} p JOIN {dr} r USING (route_id) JOIN {dv} v USING (vehicle_id)"""
+
+
+@register("upsert_dim_two_batches", _TWO_BATCH_CTES.rstrip().rstrip(",") + """
+SELECT 'route' AS dim, route_key AS dim_key, route_id AS natural_id FROM dr2
+UNION ALL SELECT 'vehicle', vehicle_key, vehicle_id FROM dv2""")
+def q_upsert_dim_two_batches(spark, sf_dir):
+    """Dimension insert-if-absent over two batches (keys stay stable)."""
+    p1, p2 = _batches(spark, sf_dir)
+    dr, dv = _two_batch_dims(spark, p1, p2, metrics.route_hour(p1), metrics.route_hour(p2))
+    return (dr.select(F.lit("route").alias("dim"), F.col("route_key").alias("dim_key"), F.col("route_id").alias("natural_id"))
+              .unionByName(dv.select(F.lit("vehicle").alias("dim"), F.col("vehicle_key").alias("dim_key"),
+                                     F.col("vehicle_id").alias("natural_id"))))
+
+
+@register("upsert_route_hour_two_batches", _TWO_BATCH_CTES + f"""
+t AS ({_fact_rh_sql("route_hour_b1", "dr2")}),
+s AS ({_fact_rh_sql("route_hour", "dr2")})
+SELECT coalesce(s.date_key, t.date_key) AS date_key, coalesce(s.hour_key, t.hour_key) AS hour_key,
+       coalesce(s.route_key, t.route_key) AS route_key,
+       CASE WHEN s.route_key IS NOT NULL THEN s.n_pings ELSE t.n_pings END AS n_pings,
+       CASE WHEN s.route_key IS NOT NULL THEN s.n_vehicles ELSE t.n_vehicles END AS n_vehicles,
+       CASE WHEN s.route_key IS NOT NULL THEN s.n_speed_obs ELSE t.n_speed_obs END AS n_speed_obs,
+       CASE WHEN s.route_key IS NOT NULL THEN s.n_moving ELSE t.n_moving END AS n_moving,
+       CASE WHEN s.route_key IS NOT NULL THEN s.avg_speed_kmph ELSE t.avg_speed_kmph END AS avg_speed_kmph,
+       CASE WHEN s.route_key IS NOT NULL THEN s.avg_moving_speed_kmph ELSE t.avg_moving_speed_kmph END AS avg_moving_speed_kmph,
+       CASE WHEN s.route_key IS NOT NULL THEN s.n_bunched ELSE t.n_bunched END AS n_bunched
+FROM t FULL OUTER JOIN s ON t.date_key = s.date_key AND t.hour_key = s.hour_key AND t.route_key = s.route_key""")
+def q_upsert_route_hour_two_batches(spark, sf_dir):
+    """K4 T4: route-hour fact after loading batch 1 then upserting batch 2 (all measures)."""
+    from transitlens.operators import warehouse as W
+    p1, p2 = _batches(spark, sf_dir)
+    rh1, rh2 = metrics.route_hour(p1), metrics.route_hour(p2)
+    dr, _ = _two_batch_dims(spark, p1, p2, rh1, rh2)
+    f1, _ = W.fact_route_hour(rh1, dr)
+    f2, _ = W.fact_route_hour(rh2, dr)
+    merged = W.merge(f1, f2, ["date_key", "hour_key", "route_key"], touch={"loaded_at": F.current_timestamp()})
+    return merged.drop("loaded_at")
+
+
+_PING_KEEP = ["date_key", "hour_key", "route_key", "dispatch_hour", "dispatch_minute", "lat", "lon"]
+_PING_UPD = ["trip_id", "gap_s", "dist_m", "speed_kmph", "is_speed_valid", "is_moving", "is_bunched"]
+
+
+@register("upsert_ping_two_batches", _TWO_BATCH_CTES + f"""
+t AS ({_fact_ping_sql("pings_b1", "dr2", "dv2")}),
+s AS ({_fact_ping_sql("pings", "dr2", "dv2")})
+SELECT coalesce(t.obs_epoch, s.obs_epoch) AS obs_epoch, coalesce(t.vehicle_key, s.vehicle_key) AS vehicle_key,
+""" + ",\n".join(f"       CASE WHEN t.vehicle_key IS NOT NULL THEN t.{c} ELSE s.{c} END AS {c}" for c in _PING_KEEP) + ",\n"
+    + ",\n".join(f"       CASE WHEN s.vehicle_key IS NOT NULL THEN s.{c} ELSE t.{c} END AS {c}" for c in _PING_UPD) + """
+FROM t FULL OUTER JOIN s ON t.vehicle_key = s.vehicle_key AND t.obs_epoch = s.obs_epoch""")
+def q_upsert_ping_two_batches(spark, sf_dir):
+    """K5 T5: ping fact after batch 1 then a partial-column upsert of batch 2
+    (lat, lon, keys and dispatch time keep first-load values)."""
+    from transitlens.operators import warehouse as W
+    p1, p2 = _batches(spark, sf_dir)
+    dr, dv = _two_batch_dims(spark, p1, p2, metrics.route_hour(p1), metrics.route_hour(p2))
+    f1, _ = W.fact_ping(p1, dr, dv)
+    f2, _ = W.fact_ping(p2, dr, dv)
+    merged = W.merge(f1, f2, ["vehicle_key", "obs_ts"], update_cols=_PING_UPD)
+    return merged.select(F.unix_seconds("obs_ts").alias("obs_epoch"), "vehicle_key", *_PING_KEEP, *_PING_UPD)
+
+
+# ---------------------------------------------------------------- integrity, audits, reconcile
+
+INTEGRITY_SQL = """
+SELECT 'fact_route_hour_speed' AS table_name, 'pk' AS constraint_name,
+       CAST(count(*) - count(DISTINCT (date_key, hour_key, route_key)) AS BIGINT) AS violations FROM fact_rh
+UNION ALL SELECT 'fact_route_hour_speed', 'fk_date', CAST(count(*) AS BIGINT) FROM fact_rh WHERE date_key NOT IN (SELECT date_key FROM dim_date)
+UNION ALL SELECT 'fact_route_hour_speed', 'fk_hour', CAST(count(*) AS BIGINT) FROM fact_rh WHERE hour_key NOT IN (SELECT hour_key FROM dim_hour)
+UNION ALL SELECT 'fact_route_hour_speed', 'fk_route', CAST(count(*) AS BIGINT) FROM fact_rh WHERE route_key NOT IN (SELECT route_key FROM dim_route)
+UNION ALL SELECT 'fact_route_hour_speed', 'not_null', CAST(count(*) AS BIGINT) FROM fact_rh
+          WHERE n_pings IS NULL OR n_vehicles IS NULL OR n_speed_obs IS NULL OR n_moving IS NULL OR n_bunched IS NULL
+UNION ALL SELECT 'fact_vehicle_ping', 'unique_vehicle_obs', CAST(count(*) - count(DISTINCT (vehicle_key, obs_epoch)) AS BIGINT) FROM fact_ping
+UNION ALL SELECT 'fact_vehicle_ping', 'fk_date', CAST(count(*) AS BIGINT) FROM fact_ping WHERE date_key NOT IN (SELECT date_key FROM dim_date)
+UNION ALL SELECT 'fact_vehicle_ping', 'fk_hour', CAST(count(*) AS BIGINT) FROM fact_ping WHERE hour_key NOT IN (SELECT hour_key FROM dim_hour)
+UNION ALL SELECT 'fact_vehicle_ping', 'fk_route', CAST(count(*) AS BIGINT) FROM fact_ping WHERE route_key NOT IN (SELECT route_key FROM dim_route)
+UNION ALL SELECT 'fact_vehicle_ping', 'fk_vehicle', CAST(count(*) AS BIGINT) FROM fact_ping WHERE vehicle_key NOT IN (SELECT vehicle_key FROM dim_vehicle)
+UNION ALL SELECT 'fact_vehicle_ping', 'not_null', CAST(count(*) AS BIGINT) FROM fact_ping
+          WHERE lat IS NULL OR lon IS NULL OR is_speed_valid IS NULL OR is_moving IS NULL OR is_bunched IS NULL
+UNION ALL SELECT 'dim_hour', 'check_hour_range', CAST(count(*) AS BIGINT) FROM dim_hour WHERE NOT hour_key BETWEEN 0 AND 23
+UNION ALL SELECT 'dim_date', 'unique_full_date', CAST(count(*) - count(DISTINCT full_date) AS BIGINT) FROM dim_date
+UNION ALL SELECT 'dim_route', 'unique_route_id', CAST(count(*) - count(DISTINCT route_id) AS BIGINT) FROM dim_route
+UNION ALL SELECT 'dim_vehicle', 'unique_vehicle_id', CAST(count(*) - count(DISTINCT vehicle_id) AS BIGINT) FROM dim_vehicle
+"""
+
+
+@register("integrity_checks", with_ctes("warehouse") + INTEGRITY_SQL)
+def q_integrity_checks(spark, sf_dir):
+    """primary/unique keys, foreign keys, not-null and check constraints (violation counts)."""
+    from transitlens.operators import integrity
+    return integrity.check_warehouse(_wh(spark, sf_dir))
+
+
+@register("duplicate_audit", with_ctes("warehouse") + """
+SELECT (SELECT CAST(count(*) - count(DISTINCT (date_key, hour_key, route_key)) AS BIGINT) FROM fact_rh) AS dup_route_hour,
+       (SELECT CAST(count(*) - count(DISTINCT (vehicle_key, obs_epoch)) AS BIGINT) FROM fact_ping) AS dup_ping,
+       (SELECT CAST(count(*) - count(DISTINCT route_id) AS BIGINT) FROM dim_route) AS dup_route,
+       (SELECT CAST(count(*) - count(DISTINCT vehicle_id) AS BIGINT) FROM dim_vehicle) AS dup_vehicle""")
+def q_duplicate_audit(spark, sf_dir):
+    """Natural-key duplicate counts of the four loaded tables."""
+    from transitlens.operators import integrity
+    return integrity.duplicate_audit(_wh(spark, sf_dir))
+
+
+@register("table_counts", with_ctes("warehouse") + """
+SELECT 'dim_date' AS table_name, CAST(count(*) AS BIGINT) AS n_rows FROM dim_date
+UNION ALL SELECT 'dim_hour', CAST(count(*) AS BIGINT) FROM dim_hour
+UNION ALL SELECT 'dim_route', CAST(count(*) AS BIGINT) FROM dim_route
+UNION ALL SELECT 'dim_vehicle', CAST(count(*) AS BIGINT) FROM dim_vehicle
+UNION ALL SELECT 'fact_route_hour_speed', CAST(count(*) AS BIGINT) FROM fact_rh
+UNION ALL SELECT 'fact_vehicle_ping', CAST(count(*) AS BIGINT) FROM fact_ping""")
+def q_table_counts(spark, sf_dir):
+    """Row count per warehouse table."""
+    from transitlens.operators import warehouse as W
+    return W.table_counts(_wh(spark, sf_dir).tables())
+
+
+@register("reconcile", _TWO_BATCH_CTES + f"""
+a AS (SELECT r.route_id, f.date_key, f.hour_key, f.n_pings, f.n_vehicles, f.n_speed_obs, f.n_moving,
+             f.avg_speed_kmph, f.avg_moving_speed_kmph, f.n_bunched FROM fact_rh f JOIN dim_route r USING (route_key)),
+b AS (SELECT r.route_id, f.date_key, f.hour_key, f.n_pings, f.n_vehicles, f.n_speed_obs, f.n_moving,
+             f.avg_speed_kmph, f.avg_moving_speed_kmph, f.n_bunched FROM ({_fact_rh_sql("route_hour", "dr2")}) f JOIN dr2 r USING (route_key))
+SELECT *, 'left_only' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x
+UNION ALL SELECT *, 'right_only' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y""")
+def q_reconcile(spark, sf_dir):
+    """D-R1: single-load vs two-batch-upserted route-hour facts, row for row (empty = identical)."""
+    from transitlens.operators import warehouse as W
+    wh = _wh(spark, sf_dir)
+    p1, p2 = _batches(spark, sf_dir)
+    rh1, rh2 = metrics.route_hour(p1), metrics.route_hour(p2)
+    dr, _ = _two_batch_dims(spark, p1, p2, rh1, rh2)
+    f1, _ = W.fact_route_hour(rh1, dr)
+    f2, _ = W.fact_route_hour(rh2, dr)
+    merged = W.merge(f1, f2, ["date_key", "hour_key", "route_key"])
+    cols = ["route_id", "date_key", "hour_key", "n_pings", "n_vehicles", "n_speed_obs", "n_moving",
+            "avg_speed_kmph", "avg_moving_speed_kmph", "n_bunched"]
+    a = wh.fact_route_hour.join(wh.dim_route.select("route_key", "route_id"), "route_key").select(*cols)
+    b = merged.join(dr.select("route_key", "route_id"), "route_key").select(*cols)
+    return W.reconcile(a, b)

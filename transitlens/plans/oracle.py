@@ -228,3 +228,18 @@ def quality_sql(dataset: str, relation: str, checks) -> str:
             f"coalesce(CAST(d - u AS DOUBLE) / nullif(d, 0) >= {c.mostly}, true) AS success, element_count, u, d "
             f"FROM ({head}, CAST({n} AS BIGINT) AS element_count, {u} AS u, {d} AS d FROM {src}) x) y")
     return "\nUNION ALL\n".join(parts)
+
+
+_BATCH_NAMES = ["ev", "raw", "pos", "valid_pos", "dedup", "lagged", "dist", "spd", "flagged", "mv",
+                "close_pairs", "bunched_set", "pings", "route_hour"]
+
+
+def batch_ctes(suffix: str, event_filter: str) -> str:
+    """The raw -> pings -> route_hour fragments restricted to a subset of events,
+    with every CTE name suffixed (for two-batch load fixtures)."""
+    import re
+    text = ",".join(CTE[n].strip("\n") for n in ["raw", "pings", "route_hour"])
+    text = text.replace("FROM events", f"FROM (SELECT * FROM events WHERE {event_filter}) events_sub", 1)
+    for n in sorted(_BATCH_NAMES, key=len, reverse=True):
+        text = re.sub(rf"\b{n}\b(?!\.)", f"{n}{suffix}", text)
+    return text
