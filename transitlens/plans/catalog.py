@@ -16,7 +16,7 @@ from transitlens.config import DEFAULT
 from transitlens.functions.timefn import utc_ntz
 from transitlens.operators import bunching, metrics
 from transitlens.plans import flow
-from transitlens.plans.oracle import with_ctes
+from transitlens.plans.oracle import with_ctes, with_static
 from transitlens.sources.fixtures import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -582,3 +582,140 @@ def q_reconcile(spark, sf_dir):
     a = wh.fact_route_hour.join(wh.dim_route.select("route_key", "route_id"), "route_key").select(*cols)
     b = merged.join(dr.select("route_key", "route_id"), "route_key").select(*cols)
     return W.reconcile(a, b)
+
+
+# ---------------------------------------------------------------- diagnostics
+
+def _raw(spark, sf_dir):
+    from transitlens.sources import fixtures
+    return fixtures.raw_feed(Tables(spark, sf_dir)("events"))
+
+
+def _static(spark, sf_dir):
+    from transitlens.sources import feed, fixtures
+    T = Tables(spark, sf_dir)
+    st, sp, tr, ro = fixtures.static_timetable(T("lineitem"), T("supplier"), T("orders"), T("customer"))
+    return feed.static_frames(st, sp, tr, ro)
+
+
+@register("snapshot_profile", with_ctes("raw") + """
+SELECT fetched_at AS snapshot_id, CAST(count(*) AS BIGINT) AS records,
+       CAST(count(DISTINCT vehicle_id) + max(CASE WHEN vehicle_id IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS distinct_vehicles,
+       CAST(count(*) FILTER (WHERE speed IS NOT NULL AND speed <> 0) AS BIGINT) AS speed_nonzero,
+       max(speed) AS max_speed,
+       CAST(count(DISTINCT speed) + max(CASE WHEN speed IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS distinct_speeds
+FROM raw GROUP BY fetched_at""")
+def q_snapshot_profile(spark, sf_dir):
+    """Per-snapshot feed profile."""
+    from transitlens.operators import diagnostics
+    return diagnostics.snapshot_profile(_raw(spark, sf_dir))
+
+
+@register("snapshot_diff", with_ctes("raw") + """
+, last AS (
+  SELECT fetched_at AS snapshot_id, vehicle_id, latitude, longitude FROM (
+    SELECT *, row_number() OVER (PARTITION BY fetched_at, vehicle_id
+             ORDER BY vehicle_timestamp DESC NULLS LAST, latitude DESC NULLS LAST, longitude DESC NULLS LAST) AS rn
+    FROM raw) x WHERE rn = 1
+), numbered AS (
+  SELECT l.*, s.n FROM last l JOIN (SELECT snapshot_id, dense_rank() OVER (ORDER BY snapshot_id) AS n
+                                     FROM (SELECT DISTINCT snapshot_id FROM last) d) s USING (snapshot_id)
+)
+SELECT c.snapshot_id, p.snapshot_id AS prev_snapshot_id, CAST(count(*) AS BIGINT) AS seen_in_previous,
+       CAST(count(*) FILTER (WHERE NOT (c.latitude IS NOT DISTINCT FROM p.latitude
+                                        AND c.longitude IS NOT DISTINCT FROM p.longitude)) AS BIGINT) AS position_changed
+FROM numbered c JOIN numbered p ON c.n = p.n + 1 AND c.vehicle_id IS NOT DISTINCT FROM p.vehicle_id
+GROUP BY c.snapshot_id, p.snapshot_id""")
+def q_snapshot_diff(spark, sf_dir):
+    """Consecutive-snapshot overlap and moved vehicles."""
+    from transitlens.operators import diagnostics
+    return diagnostics.snapshot_diff(_raw(spark, sf_dir))
+
+
+@register("id_overlap", with_static() + """
+, ft AS (SELECT DISTINCT trim(trip_id) AS id FROM raw WHERE trip_id IS NOT NULL),
+fr AS (SELECT DISTINCT trim(route_id) AS id FROM raw WHERE route_id IS NOT NULL),
+st AS (SELECT DISTINCT trim(trip_id) AS id FROM trips WHERE trip_id IS NOT NULL),
+sr AS (SELECT DISTINCT trim(route_id) AS id FROM trips WHERE route_id IS NOT NULL)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM ft) AS feed_trip_ids, (SELECT CAST(count(*) AS BIGINT) FROM fr) AS feed_route_ids,
+       (SELECT CAST(count(*) AS BIGINT) FROM st) AS static_trip_ids,
+       (SELECT CAST(count(*) AS BIGINT) FROM ft WHERE id IN (SELECT id FROM st)) AS trip_id_matches,
+       (SELECT CAST(count(*) AS BIGINT) FROM fr WHERE id IN (SELECT id FROM sr)) AS route_id_matches""")
+def q_id_overlap(spark, sf_dir):
+    """Feed vs timetable id reconciliation counts."""
+    from transitlens.operators import diagnostics
+    _, _, trips, _ = _static(spark, sf_dir)
+    return diagnostics.id_overlap(_raw(spark, sf_dir), trips)
+
+
+@register("id_samples", with_static() + """
+, ft AS (SELECT trim(trip_id) AS id, trim(route_id) AS route FROM raw WHERE trip_id IS NOT NULL),
+st AS (SELECT trim(trip_id) AS id, trim(route_id) AS route FROM trips WHERE trip_id IS NOT NULL),
+r0 AS (SELECT min(route) AS r0 FROM (SELECT DISTINCT route FROM ft WHERE route IS NOT NULL) a
+       WHERE route IN (SELECT route FROM st)),
+s AS (
+  SELECT 'feed_trips' AS sample, id FROM (SELECT DISTINCT id FROM ft ORDER BY id LIMIT 8) a
+  UNION ALL SELECT 'static_trips', id FROM (SELECT DISTINCT id FROM st ORDER BY id LIMIT 8) b
+  UNION ALL SELECT 'feed_trips_of_first_common_route', id FROM (SELECT DISTINCT id FROM ft, r0
+            WHERE starts_with(id, r0.r0 || '_') ORDER BY id LIMIT 8) c
+  UNION ALL SELECT 'static_trips_of_first_common_route', id FROM (SELECT DISTINCT id FROM st, r0
+            WHERE route = r0.r0 ORDER BY id LIMIT 8) d
+)
+SELECT sample, CAST(row_number() OVER (PARTITION BY sample ORDER BY id) AS INTEGER) AS pos, id FROM s""")
+def q_id_samples(spark, sf_dir):
+    """Sorted id samples on both sides (a sampling report: limit is the feature)."""
+    from transitlens.operators import diagnostics
+    _, _, trips, _ = _static(spark, sf_dir)
+    return diagnostics.id_samples(_raw(spark, sf_dir), trips)
+
+
+# ---------------------------------------------------------------- schedule delay
+
+def _delays(spark, sf_dir, **kw):
+    from transitlens.operators import delays
+    from transitlens.sources import feed, fixtures
+    st, sp, tr, ro = _static(spark, sf_dir)
+    pos = feed.positions_for_delay(fixtures.delay_positions(Tables(spark, sf_dir)("events")))
+    return delays.build_delays(pos, st, sp, tr, ro, **kw)
+
+
+@register("stop_candidates", with_static() + """
+SELECT vehicle_id, obs_epoch, stop_id, stop_sequence, sched_arrival_sec,
+       CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE) AS dist_to_stop_m FROM cand""")
+def q_stop_candidates(spark, sf_dir):
+    """Every ping x every scheduled stop of its trip."""
+    from transitlens.operators import delays
+    from transitlens.sources import feed, fixtures
+    st, sp, _, _ = _static(spark, sf_dir)
+    pos = delays.clean_positions(feed.positions_for_delay(fixtures.delay_positions(Tables(spark, sf_dir)("events"))))
+    c = delays.candidates(pos, st, sp)
+    return c.select("vehicle_id", "obs_epoch", "stop_id", "stop_sequence", "sched_arrival_sec",
+                    F.round(F.col("dist_to_stop_m").cast("decimal(38,6)"), 1).cast("double").alias("dist_to_stop_m"))
+
+
+DELAY_OUT_SQL = """vehicle_id, trip_id, route_id, route_short_name, route_long_name, stop_id, stop_name, stop_sequence,
+       lat, lon, speed, CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE) AS dist_to_stop_m,
+       obs_epoch, service_date, hour_of_day, day_of_week, delay_sec, delay_min, is_near_stop, is_outlier"""
+
+
+@register("schedule_delay", with_static() + f"SELECT {DELAY_OUT_SQL} FROM delays")
+def q_schedule_delay(spark, sf_dir):
+    """The vehicle_delays table (obs_ts as epoch seconds)."""
+    d = _delays(spark, sf_dir)
+    return d.drop("obs_ts").withColumn(
+        "dist_to_stop_m", F.round(F.col("dist_to_stop_m").cast("decimal(38,6)"), 1).cast("double")).select(
+        "vehicle_id", "trip_id", "route_id", "route_short_name", "route_long_name", "stop_id", "stop_name",
+        "stop_sequence", "lat", "lon", "speed", "dist_to_stop_m", "obs_epoch", "service_date", "hour_of_day",
+        "day_of_week", "delay_sec", "delay_min", "is_near_stop", "is_outlier")
+
+
+@register("delay_quantiles", with_static() + """
+, q AS (SELECT * FROM (VALUES ('min', 0.0), ('25%', 0.25), ('50%', 0.5), ('75%', 0.75), ('max', 1.0)) v(statistic, p))
+SELECT statistic,
+       CAST(round(CAST(quantile_cont(delay_min, p) AS DECIMAL(38,6)), 4) AS DOUBLE) AS delay_min,
+       CAST(round(CAST(quantile_cont(CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE), p) AS DECIMAL(38,6)), 4) AS DOUBLE) AS dist_to_stop_m
+FROM delays CROSS JOIN q GROUP BY statistic, p""")
+def q_delay_quantiles(spark, sf_dir):
+    """A4: exact quartile summary of delay and stop distance."""
+    from transitlens.operators import delays
+    return delays.delay_quantiles(_delays(spark, sf_dir))

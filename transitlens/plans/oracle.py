@@ -243,3 +243,67 @@ def batch_ctes(suffix: str, event_filter: str) -> str:
     for n in sorted(_BATCH_NAMES, key=len, reverse=True):
         text = re.sub(rf"\b{n}\b(?!\.)", f"{n}{suffix}", text)
     return text
+
+CTE_STATIC = """
+stop_times AS (
+  SELECT CAST(l_orderkey AS VARCHAR) AS trip_id, CAST(l_suppkey AS VARCHAR) AS stop_id,
+         TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS stop_sequence,
+         CAST(split_part(hms, ':', 1) AS INTEGER) * 3600 + CAST(split_part(hms, ':', 2) AS INTEGER) * 60
+           + CAST(split_part(hms, ':', 3) AS INTEGER) AS sched_arrival_sec
+  FROM (SELECT *, lpad(CAST(sec // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST((sec // 60) % 60 AS VARCHAR), 2, '0')
+                  || ':' || lpad(CAST(sec % 60 AS VARCHAR), 2, '0') AS hms
+        FROM (SELECT *, (l_partkey * 37) % 108000 AS sec FROM lineitem) a) b
+),
+stops AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS stop_id, s_name AS stop_name,
+         28.55::DOUBLE + CAST(s_suppkey % 10 AS DOUBLE) / 100.0::DOUBLE AS stop_lat,
+         77.10::DOUBLE + CAST((s_suppkey // 10) % 10 AS DOUBLE) / 100.0::DOUBLE AS stop_lon
+  FROM supplier
+),
+trips AS (SELECT CAST(o_orderkey AS VARCHAR) AS trip_id, CAST(o_custkey AS VARCHAR) AS route_id FROM orders),
+routes AS (SELECT CAST(c_custkey AS VARCHAR) AS route_id, c_mktsegment AS route_short_name, c_name AS route_long_name FROM customer),
+dpos AS (
+  SELECT vehicle_id, CAST(user_id AS VARCHAR) AS trip_id, route_id AS route_id_rt, latitude AS lat, longitude AS lon,
+         speed, vehicle_timestamp AS obs_epoch
+  FROM raw
+),
+dpos_clean AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY vehicle_id, obs_epoch ORDER BY trip_id NULLS FIRST,
+             route_id_rt NULLS FIRST, lat NULLS FIRST, lon NULLS FIRST, speed NULLS FIRST) AS rn
+    FROM dpos WHERE trip_id IS NOT NULL AND lat IS NOT NULL AND lon IS NOT NULL AND obs_epoch IS NOT NULL) x
+  WHERE rn = 1
+),
+cand AS (
+  SELECT p.*, st.stop_id, st.stop_sequence, st.sched_arrival_sec, s.stop_name, s.stop_lat, s.stop_lon,
+         12742000.0::DOUBLE * asin(sqrt(
+           sin(radians(s.stop_lat - p.lat) / 2) * sin(radians(s.stop_lat - p.lat) / 2)
+           + cos(radians(p.lat)) * cos(radians(s.stop_lat)) * sin(radians(s.stop_lon - p.lon) / 2) * sin(radians(s.stop_lon - p.lon) / 2)
+         )) AS dist_to_stop_m
+  FROM dpos_clean p JOIN stop_times st USING (trip_id) JOIN stops s USING (stop_id)
+),
+nearest AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT *, row_number() OVER (PARTITION BY vehicle_id, obs_epoch
+             ORDER BY CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE), stop_sequence NULLS FIRST,
+                      stop_id NULLS FIRST, sched_arrival_sec NULLS FIRST, dist_to_stop_m) AS rn
+    FROM cand) x WHERE rn = 1
+),
+delays AS (
+  SELECT n.*, t.route_id, r.route_short_name, r.route_long_name,
+         DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER) + day_shift AS service_date,
+         CAST(((obs_epoch + 19800) // 3600) % 24 AS INTEGER) AS hour_of_day,
+         CAST(dayofweek(DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER)) + 1 AS INTEGER) AS day_of_week,
+         raw_delay - CAST(day_shift AS BIGINT) * 86400 AS delay_sec,
+         CAST(round(CAST((raw_delay - CAST(day_shift AS BIGINT) * 86400) / 60.0 AS DECIMAL(38,6)), 2) AS DOUBLE) AS delay_min,
+         dist_to_stop_m <= 150.0 AS is_near_stop,
+         abs(raw_delay - CAST(day_shift AS BIGINT) * 86400) > 10800 AS is_outlier
+  FROM (SELECT *, CAST(round(raw_delay / 86400.0) AS INTEGER) AS day_shift
+        FROM (SELECT *, obs_epoch - (((obs_epoch + 19800) // 86400) * 86400 - 19800 + sched_arrival_sec) AS raw_delay
+              FROM nearest) a) n
+  LEFT JOIN trips t USING (trip_id) LEFT JOIN routes r USING (route_id)
+)"""
+
+
+def with_static() -> str:
+    return with_ctes("raw") + "," + CTE_STATIC.strip("\n") + "\n"
