@@ -710,11 +710,13 @@ def q_schedule_delay(spark, sf_dir):
 
 
 @register("delay_quantiles", with_static() + """
-, q AS (SELECT * FROM (VALUES ('min', 0.0), ('25%', 0.25), ('50%', 0.5), ('75%', 0.75), ('max', 1.0)) v(statistic, p))
-SELECT statistic,
-       CAST(round(CAST(quantile_cont(delay_min, p) AS DECIMAL(38,6)), 4) AS DOUBLE) AS delay_min,
-       CAST(round(CAST(quantile_cont(CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE), p) AS DECIMAL(38,6)), 4) AS DOUBLE) AS dist_to_stop_m
-FROM delays CROSS JOIN q GROUP BY statistic, p""")
+, qs AS (
+  SELECT quantile_cont(delay_min, [0.0, 0.25, 0.5, 0.75, 1.0]) AS dq,
+         quantile_cont(CAST(round(CAST(dist_to_stop_m AS DECIMAL(38,6)), 1) AS DOUBLE), [0.0, 0.25, 0.5, 0.75, 1.0]) AS mq
+  FROM delays)
+SELECT statistic, CAST(round(CAST(dq[i] AS DECIMAL(38,6)), 4) AS DOUBLE) AS delay_min,
+       CAST(round(CAST(mq[i] AS DECIMAL(38,6)), 4) AS DOUBLE) AS dist_to_stop_m
+FROM qs CROSS JOIN (VALUES ('min', 1), ('25%', 2), ('50%', 3), ('75%', 4), ('max', 5)) v(statistic, i)""")
 def q_delay_quantiles(spark, sf_dir):
     """A4: exact quartile summary of delay and stop distance."""
     from transitlens.operators import delays
