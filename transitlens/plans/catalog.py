@@ -721,3 +721,95 @@ def q_delay_quantiles(spark, sf_dir):
     """A4: exact quartile summary of delay and stop distance."""
     from transitlens.operators import delays
     return delays.delay_quantiles(_delays(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- model
+
+def _model_data(spark, sf_dir):
+    from transitlens.operators import model
+    from transitlens.plans import reports
+    wh = _wh(spark, sf_dir)
+    return wh, model.prepared(reports.route_hour_view(wh))
+
+
+_MODEL_CTE = with_ctes("warehouse") + """
+, tr AS (
+  SELECT route_id, route_key, date_key, full_date, CAST(hour_key AS INTEGER) AS hour_key,
+         CAST(day_of_week AS INTEGER) AS day_of_week, n_moving,
+         CAST(avg_moving_speed_kmph AS DOUBLE) AS avg_moving_speed_kmph,
+         CAST(hour_key IN (8, 9, 18, 19, 20) AS INTEGER) AS is_peak_hour,
+         CAST(day_of_week IN (1, 7) AS INTEGER) AS is_weekend,
+         ((CAST(date_key AS BIGINT) * 31 + hour_key) * 1000003 + CAST(route_key AS BIGINT) * 7919 + 42) % 100 < 80 AS is_train
+  FROM rh_view WHERE n_moving >= 3
+), ravg AS (SELECT route_id, avg(avg_moving_speed_kmph) AS r FROM tr WHERE is_train GROUP BY route_id),
+gavg AS (SELECT avg(avg_moving_speed_kmph) AS g FROM tr WHERE is_train),
+enc AS (SELECT tr.*, coalesce(ravg.r, gavg.g) AS route_avg_speed FROM tr LEFT JOIN ravg USING (route_id) CROSS JOIN gavg)
+"""
+
+
+@register("model_features", _MODEL_CTE + """
+SELECT route_id, full_date, hour_key, day_of_week, is_peak_hour, is_weekend, is_train,
+       CAST(round(CAST(route_avg_speed AS DECIMAL(38,6)), 4) AS DOUBLE) AS route_avg_speed, avg_moving_speed_kmph FROM enc""")
+def q_model_features(spark, sf_dir):
+    """Training rows with features, split flag and route-mean encoding."""
+    from transitlens.functions.fmt import dec_round as dr
+    _, d = _model_data(spark, sf_dir)
+    return d.select("route_id", "full_date", "hour_key", "day_of_week", "is_peak_hour", "is_weekend", "is_train",
+                    dr("route_avg_speed", 4).alias("route_avg_speed"), "avg_moving_speed_kmph")
+
+
+@register("model_baseline_metrics", _MODEL_CTE + """
+, t AS (SELECT * FROM enc WHERE NOT is_train),
+ybar AS (SELECT avg(avg_moving_speed_kmph) AS y FROM t)
+SELECT (SELECT CAST(count(*) AS BIGINT) FROM enc WHERE is_train) AS n_train,
+       (SELECT CAST(count(*) AS BIGINT) FROM enc WHERE NOT is_train) AS n_test,
+       (SELECT CAST(count(DISTINCT full_date) AS BIGINT) FROM enc) AS n_dates,
+       CAST(round(CAST(avg(abs(avg_moving_speed_kmph - route_avg_speed)) AS DECIMAL(38,6)), 4) AS DOUBLE) AS baseline_mae,
+       CAST(round(CAST(1.0 - sum((avg_moving_speed_kmph - route_avg_speed) ^ 2)
+                  / sum((avg_moving_speed_kmph - ybar.y) ^ 2) AS DECIMAL(38,6)), 4) AS DOUBLE) AS baseline_r2
+FROM t CROSS JOIN ybar""")
+def q_model_baseline_metrics(spark, sf_dir):
+    """Route-mean baseline MAE and R^2 on the held-out split."""
+    from transitlens.operators import model
+    _, d = _model_data(spark, sf_dir)
+    return model.baseline_metrics(d)
+
+
+def _trained(spark, sf_dir):
+    from transitlens.operators import model
+    wh, d = _model_data(spark, sf_dir)
+    d = d.cache()
+    return wh, d, model.train(d)
+
+
+@register("model_forest_metrics")
+def q_model_forest_metrics(spark, sf_dir):
+    """M5 M6 M8: random forest (200 trees, depth 8, min leaf 3) vs baseline (rows-only check)."""
+    from transitlens.operators import model
+    _, d, m = _trained(spark, sf_dir)
+    return model.evaluate(m, d)
+
+
+@register("model_importance")
+def q_model_importance(spark, sf_dir):
+    """Feature importances, descending (rows-only check)."""
+    from transitlens.operators import model
+    _, _, m = _trained(spark, sf_dir)
+    return model.importances(m)
+
+
+@register("model_predict")
+def q_model_predict(spark, sf_dir):
+    """Batch scoring of every (route, hour, weekday) seen in the
+    facts, through a saved-and-reloaded model (rows-only check)."""
+    from transitlens.operators import model
+    from transitlens.plans import reports
+    from transitlens.session import scratch_path
+    import uuid
+    wh, _, m = _trained(spark, sf_dir)
+    path = scratch_path(spark, f"models/speed-{uuid.uuid4().hex}")
+    model.save(m, path)
+    view = reports.route_hour_view(wh)
+    req = view.select("route_id", F.col("hour_key").cast("int").alias("hour_key"),
+                      F.col("day_of_week").cast("int").alias("day_of_week")).distinct()
+    return model.score(model.load(path), req, view)
