@@ -813,3 +813,62 @@ def q_model_predict(spark, sf_dir):
     req = view.select("route_id", F.col("hour_key").cast("int").alias("hour_key"),
                       F.col("day_of_week").cast("int").alias("day_of_week")).distinct()
     return model.score(model.load(path), req, view)
+
+
+# ---------------------------------------------------------------- streaming (extensions)
+
+def _stream_setup(spark, sf_dir, name):
+    """Land the derived raw feed as time-ordered NDJSON chunks in a fresh folder
+    under the shared checkpoint directory; returns (input, output, checkpoint)."""
+    import uuid
+    from transitlens.session import scratch_path
+    from transitlens.streaming import stream as S
+    root = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
+    raw = _raw(spark, sf_dir).withColumn("_chunk", S.chunk_day())
+    S.land_in_time_order(raw, f"{root}/in", "_chunk")
+    return f"{root}/in", f"{root}/out", f"{root}/ckpt"
+
+
+@register("stream_dedup", with_ctes("pings") + "SELECT DISTINCT vehicle_id, obs_epoch FROM valid_pos")
+def q_stream_dedup(spark, sf_dir):
+    """File stream -> watermark dedup -> idempotent foreachBatch sink."""
+    from transitlens.streaming import stream as S
+    src, out, ck = _stream_setup(spark, sf_dir, "dedup")
+    s = S.dedup_stream(S.positions(S.snapshot_stream(spark, src, max_files=1))).select("vehicle_id", "obs_epoch")
+    S.run_available_now(s, S.idempotent_sink(out), ck)
+    return spark.read.parquet(out).select("vehicle_id", "obs_epoch")
+
+
+@register("stream_speed", with_ctes("pings") + """
+SELECT vehicle_id, obs_epoch, gap_s, CAST(round(CAST(dist_m AS DECIMAL(38,6)), 1) AS DOUBLE) AS dist_m,
+       speed_kmph, is_speed_valid, is_moving
+FROM pings""")
+def q_stream_speed(spark, sf_dir):
+    """Derived speed with keyed state (applyInPandasWithState) equals the batch result."""
+    from transitlens.streaming import stream as S
+    src, out, ck = _stream_setup(spark, sf_dir, "speed")
+    s = S.speed_stream(S.positions(S.snapshot_stream(spark, src, max_files=1)))
+    S.run_available_now(s, S.idempotent_sink(out), ck)
+    r = spark.read.parquet(out)
+    return r.select("vehicle_id", "obs_epoch", "gap_s",
+                    F.round(F.col("dist_m").cast("decimal(38,6)"), 1).cast("double").alias("dist_m"),
+                    "speed_kmph", "is_speed_valid", "is_moving")
+
+
+@register("stream_route_hour", with_ctes("pings") + """
+SELECT route_id, DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER) AS service_date,
+       CAST(((obs_epoch + 19800) // 3600) % 24 AS INTEGER) AS hour_of_day, CAST(count(*) AS BIGINT) AS n_reports
+FROM valid_pos GROUP BY ALL""")
+def q_stream_route_hour(spark, sf_dir):
+    """Reports per route and local hour from a windowed streaming
+    aggregate (update mode) merged by a foreachBatch upsert."""
+    from transitlens.functions.timefn import local_date, local_hour
+    from transitlens.streaming import stream as S
+    src, out, ck = _stream_setup(spark, sf_dir, "route-hour")
+    agg = S.local_hour_counts(S.positions(S.snapshot_stream(spark, src, max_files=2)))
+    start = F.unix_seconds(F.col("w.start"))
+    shaped = agg.select("route_id", local_date(start, DEFAULT.time_zone).alias("service_date"),
+                        local_hour(start, DEFAULT.time_zone).alias("hour_of_day"), "n_reports")
+    S.run_available_now(shaped, S.upsert_sink(spark, out, ["route_id", "service_date", "hour_of_day"], "service_date"),
+                        ck, mode="update")
+    return spark.read.parquet(out).select("route_id", "service_date", "hour_of_day", "n_reports")
