@@ -10,7 +10,8 @@ is exact but never enumerates all pairs:
    (functions.geo.fine_cell_deg).  A cell holding two or more distinct
    vehicles therefore bunches every vehicle in it; that is decided by a
    min/max aggregate with map-side partial aggregation, so a dense cell costs
-   no pairs at all.
+   no pairs at all (min/max of a 64-bit hash of the id, so the aggregate is
+   a hash aggregate).
 2. Probes.  Only points that are alone (one vehicle) in their fine cell still
    need a test.  Each probe is sent to the coarse cells that its
    ``bunch_m`` bounding box touches (at most 4 for the default sizes), and is
@@ -46,7 +47,10 @@ def close_vehicles(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
         "fx": F.floor(F.col("lon") / g).cast("long"),
     })
     fkey = KEY + ["fy", "fx"]
-    cells = pts.groupBy(*fkey).agg((F.min("vehicle_id") < F.max("vehicle_id")).alias("dense"))
+    # two distinct hashes prove two distinct vehicles; a hash collision can only
+    # hide density, which sends the cell down the exact probe path instead
+    vh = F.xxhash64("vehicle_id")
+    cells = pts.groupBy(*fkey).agg((F.min(vh) < F.max(vh)).alias("dense"))
     tagged = pts.join(cells, fkey)
 
     dense = tagged.filter("dense").select(*KEY, "vehicle_id")

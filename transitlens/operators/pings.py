@@ -72,11 +72,10 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
         "prev_lat": F.lag("lat").over(w_lag),
         "prev_lon": F.lag("lon").over(w_lag),
         "prev_epoch": F.lag("obs_epoch").over(w_lag),
+        "_is_last": F.lead("obs_epoch").over(w_lag).isNull(),
     })
-    # last ping of every (vehicle, bucket); grouping on the window's own
-    # partitioning keys needs no further shuffle of the pings
-    last = kept.groupBy(*part).agg(
-        F.max_by(F.struct("obs_epoch", "lat", "lon"), F.col("obs_epoch")).alias("_last"))
+    # last ping of every (vehicle, bucket), taken from the same window pass
+    last = lagged.filter("_is_last").select(*part, F.struct("obs_epoch", "lat", "lon").alias("_last"))
     if carry is not None:
         last = last.unionByName(carry.select(
             "vehicle_id", F.lit(None).cast("long").alias("_bkt"),
@@ -91,7 +90,7 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
         "prev_lat": F.when(first, F.col("_prev.lat")).otherwise(F.col("prev_lat")),
         "prev_lon": F.when(first, F.col("_prev.lon")).otherwise(F.col("prev_lon")),
         "prev_epoch": F.when(first, F.col("_prev.obs_epoch")).otherwise(F.col("prev_epoch")),
-    }).drop("_prev", "_bkt")
+    }).drop("_prev", "_bkt", "_is_last")
 
 
 def speed_columns(df: DataFrame, p: Params = DEFAULT) -> DataFrame:

@@ -5,16 +5,25 @@ Each stage is lazy; callers decide what to persist or write.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame
 
 from transitlens.config import DEFAULT, Params
 from transitlens.operators import bunching, metrics, pings as P
 from transitlens.sources import feed, fixtures
 
 
-def pings_from_raw(raw: DataFrame, p: Params = DEFAULT) -> DataFrame:
+def pings_from_raw(raw: DataFrame, p: Params = DEFAULT, persist: bool = True) -> DataFrame:
+    """Cleaned pings are read by several branches of the bunching plan and the
+    flagged pings by every consumer (route-hour, dimensions, facts, checks), so
+    both are persisted (memory, spilling to disk) instead of being recomputed
+    per branch; a lost executor's blocks are rebuilt from lineage."""
     pos = feed.positions_for_speed(raw)
-    return bunching.flag_bunching(P.clean(pos, p), p)
+    cleaned = P.clean(pos, p)
+    if persist:
+        cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = bunching.flag_bunching(cleaned, p)
+    return flagged.persist(StorageLevel.MEMORY_AND_DISK) if persist else flagged
 
 
 def fixture_raw(tables: fixtures.Tables) -> DataFrame:
