@@ -19,8 +19,9 @@ def small_wh(spark):
     rh = rh.withColumn("hour_key", F.col("hour_key").cast("short")) \
            .withColumn("avg_speed_kmph", F.col("avg_speed_kmph").cast("decimal(7,2)")) \
            .withColumn("avg_moving_speed_kmph", F.col("avg_moving_speed_kmph").cast("decimal(7,2)"))
-    empty = spark.createDataFrame([], "x int")
-    return Warehouse(W.dim_date(spark), W.dim_hour(spark), dr, empty, rh, empty, empty, empty)
+    wh = Warehouse(spark, None, None, fact_route_hour=rh)
+    wh.__dict__["dim_route"] = dr
+    return wh
 
 
 def test_slowest_ties_and_floor(spark):

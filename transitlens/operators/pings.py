@@ -94,18 +94,15 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
 
 
 def speed_columns(df: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """gap_s, dist_m, speed_kmph (rounded to 2 dp) and the two flags."""
+    """gap_s, dist_m, speed_kmph (rounded to 2 dp) and the two flags, in one projection."""
     gap = F.col("obs_epoch") - F.col("prev_epoch")
     dist = haversine_m("prev_lat", "prev_lon", "lat", "lon")
-    gap_ok = F.col("gap_s").between(p.min_gap_s, p.max_gap_s)
-    speed = F.when(gap_ok, F.try_divide(F.col("dist_m"), F.col("gap_s")) * 3.6)
-    valid = F.coalesce(F.col("speed_kmph") <= p.max_kmph, F.lit(False))
-    return (df.withColumns({"gap_s": gap, "dist_m": dist})
-              .withColumn("speed_kmph", F.round(speed, 2))
-              .withColumn("is_speed_valid", valid)
-              .withColumn("is_moving", F.coalesce(F.col("is_speed_valid")
-                                                  & (F.col("speed_kmph") > p.moving_kmph), F.lit(False)))
-              .drop("prev_lat", "prev_lon", "prev_epoch"))
+    speed = F.round(F.when(gap.between(p.min_gap_s, p.max_gap_s), F.try_divide(dist, gap) * 3.6), 2)
+    valid = F.coalesce(speed <= p.max_kmph, F.lit(False))
+    moving = F.coalesce(valid & (speed > p.moving_kmph), F.lit(False))
+    keep = [c for c in df.columns if c not in ("prev_lat", "prev_lon", "prev_epoch")]
+    return df.select(*keep, gap.alias("gap_s"), dist.alias("dist_m"), speed.alias("speed_kmph"),
+                     valid.alias("is_speed_valid"), moving.alias("is_moving"))
 
 
 def clean(pos: DataFrame, p: Params = DEFAULT, bucket_s: int = BUCKET_S, carry: DataFrame | None = None) -> DataFrame:
