@@ -113,6 +113,7 @@ def fact_route_hour(rh: DataFrame, dim_route: DataFrame, dates: DataFrame | None
                     now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """T4: (facts, quarantine).  Rows whose route has no key or whose date is
     outside dim_date go to quarantine instead of violating a foreign key."""
+    rh = nan_to_null(rh)
     x = _lookup(rh.withColumn("route_id", F.col("route_id").cast("string")), dim_route, "route_id", "route_key")
     x = x.withColumns({"date_key": date_key("service_date"), "hour_key": F.col("hour_of_day").cast("short")})
     bad = F.col("route_key").isNull() | F.col("date_key").isNull()
@@ -135,7 +136,7 @@ def fact_ping(pings: DataFrame, dim_route: DataFrame, dim_vehicle: DataFrame,
               dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """T5: ping facts keyed by (vehicle_key, obs_ts); doubles take the table's
     NUMERIC scales (explicit HALF_UP decimal casts)."""
-    x = _lookup(pings, dim_route, "route_id", "route_key")
+    x = _lookup(nan_to_null(pings), dim_route, "route_id", "route_key")
     x = _lookup(x, dim_vehicle, "vehicle_id", "vehicle_key")
     x = x.withColumns({"date_key": date_key("service_date"), "hour_key": F.col("hour_of_day").cast("short")})
     bad = F.col("route_key").isNull() | F.col("vehicle_key").isNull() | F.col("date_key").isNull()
@@ -254,3 +255,41 @@ def reconcile(a: DataFrame, b: DataFrame) -> DataFrame:
     """D-R1: rows in exactly one of two copies of a table (empty = identical as bags)."""
     return (a.exceptAll(b).withColumn("side", F.lit("left_only"))
             .unionByName(b.exceptAll(a).withColumn("side", F.lit("right_only"))))
+
+
+def nan_to_null(df: DataFrame) -> DataFrame:
+    """NaN in floating columns becomes null before a typed sink."""
+    out = []
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            out.append(F.when(F.isnan(f.name), F.lit(None)).otherwise(F.col(f.name)).alias(f.name))
+        else:
+            out.append(F.col(f.name))
+    return df.select(*out)
+
+
+PARTITION_OF = {"fact_route_hour_speed": "date_key", "fact_vehicle_ping": "date_key"}
+
+
+def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id: str) -> dict:
+    """Stage every table of a load first, publish only when all staging
+    writes succeeded.  Facts are published partition-wise (dynamic overwrite of
+    the touched date partitions); dimensions are small and replaced whole.
+    Returns the staged row count per table."""
+    from pyspark.sql import Observation
+    staged = {}
+    for name, df in tables.items():
+        obs = Observation(f"stage_{name}")
+        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        part = PARTITION_OF.get(name)
+        (w.partitionBy(part) if part else w).parquet(f"{root}/_staging/{run_id}/{name}")
+        staged[name] = int(obs.get["rows"])
+    for name in tables:
+        src = spark.read.parquet(f"{root}/_staging/{run_id}/{name}")
+        part = PARTITION_OF.get(name)
+        w = src.write.mode("overwrite")
+        if part:
+            w.option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(f"{root}/{name}")
+        else:
+            w.parquet(f"{root}/{name}")
+    return staged

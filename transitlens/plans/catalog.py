@@ -872,3 +872,82 @@ def q_stream_route_hour(spark, sf_dir):
     S.run_available_now(shaped, S.upsert_sink(spark, out, ["route_id", "service_date", "hour_of_day"], "service_date"),
                         ck, mode="update")
     return spark.read.parquet(out).select("route_id", "service_date", "hour_of_day", "n_reports")
+
+
+# ---------------------------------------------------------------- sources / sinks round trips
+
+@register("raw_landing_roundtrip", with_ctes("raw") + """
+SELECT strftime(make_timestamp(vehicle_timestamp * 1000000), '%Y') AS year,
+       strftime(make_timestamp(vehicle_timestamp * 1000000), '%m') AS month,
+       strftime(make_timestamp(vehicle_timestamp * 1000000), '%d') AS day,
+       CAST(count(*) AS BIGINT) AS n_records, CAST(count(DISTINCT fetched_at) AS BIGINT) AS n_snapshots,
+       CAST(count(*) FILTER (WHERE trip_id IS NULL) AS BIGINT) AS n_without_trip
+FROM raw GROUP BY ALL""")
+def q_raw_landing_roundtrip(spark, sf_dir):
+    """Land the decoded feed as NDJSON under year=/month=/day= (UTC fetch
+    day), read it back with the declared schema, count per partition."""
+    import uuid
+    from transitlens.functions.timefn import utc_ntz
+    from transitlens.session import scratch_path
+    from transitlens.sources import feed
+    path = scratch_path(spark, f"raw-landing-{uuid.uuid4().hex}")
+    raw = _raw(spark, sf_dir)
+    feed.land_raw(raw, path, day=F.to_date(utc_ntz("vehicle_timestamp")))
+    from pyspark.sql import types as T
+    landed = T.StructType(list(feed.schemas.RAW.fields) + [T.StructField(c, T.StringType()) for c in ("year", "month", "day")])
+    back = spark.read.schema(landed).option("multiLine", False).json(path)
+    return back.groupBy("year", "month", "day").agg(
+        F.count(F.lit(1)).alias("n_records"), F.count_distinct("fetched_at").alias("n_snapshots"),
+        F.count_if(F.col("trip_id").isNull()).alias("n_without_trip"))
+
+
+@register("partition_overwrite_roundtrip", _TWO_BATCH_CTES + """
+first_day AS (SELECT min(service_date) AS d FROM route_hour),
+final AS (
+  SELECT * FROM route_hour WHERE service_date <> (SELECT d FROM first_day)
+  UNION ALL SELECT * FROM route_hour_b1 WHERE service_date = (SELECT d FROM first_day))
+SELECT service_date, CAST(count(*) AS BIGINT) AS n_route_hours, CAST(sum(n_pings) AS BIGINT) AS n_pings,
+       CAST(sum(n_moving) AS BIGINT) AS n_moving
+FROM final GROUP BY service_date""")
+def q_partition_overwrite_roundtrip(spark, sf_dir):
+    """Write route-hours by service_date, then overwrite only the first
+    date's partition with batch-1 rows (dynamic mode); read back by partition."""
+    import uuid
+    from transitlens.operators import warehouse as W
+    from transitlens.session import scratch_path
+    path = scratch_path(spark, f"route-hour-{uuid.uuid4().hex}")
+    p1, p2 = _batches(spark, sf_dir)
+    rh1, rh2 = metrics.route_hour(p1), metrics.route_hour(p2)
+    W.write_partitioned(rh2, path, "service_date")
+    first = rh2.agg(F.min("service_date").alias("d"))
+    W.write_partitioned(rh1.join(first, rh1["service_date"] == first["d"], "left_semi"), path, "service_date")
+    back = spark.read.parquet(path)
+    return back.groupBy("service_date").agg(F.count(F.lit(1)).alias("n_route_hours"),
+                                            F.sum("n_pings").alias("n_pings"), F.sum("n_moving").alias("n_moving"))
+
+
+@register("feed_presence", with_ctes("raw") + """
+SELECT CAST(count(*) AS BIGINT) AS n_records,
+       CAST(count(*) FILTER (WHERE route_id IS NULL AND event_id % 5 = 0) AS BIGINT) AS n_without_trip,
+       CAST(count(*) FILTER (WHERE latitude IS NULL) AS BIGINT) AS n_without_position
+FROM (SELECT CAST(entity_id AS BIGINT) AS event_id, CASE WHEN CAST(entity_id AS BIGINT) % 5 = 0 THEN NULL ELSE route_id END AS route_id,
+             CASE WHEN CAST(entity_id AS BIGINT) % 7 = 0 THEN NULL ELSE latitude END AS latitude
+      FROM raw WHERE CAST(entity_id AS BIGINT) % 13 <> 0) x""")
+def q_feed_presence(spark, sf_dir):
+    """Decoded nested feed entities (some without vehicle, trip or position)
+    flattened by the presence rule; entities without a vehicle are dropped."""
+    from transitlens.sources import feed
+    raw = _raw(spark, sf_dir)
+    eid = F.col("entity_id").cast("long")
+    nested = raw.select(
+        F.col("entity_id").alias("id"),
+        F.when(eid % 13 != 0, F.struct(
+            F.struct(F.col("vehicle_id").alias("id")).alias("vehicle"),
+            F.when(eid % 5 != 0, F.struct("route_id", "trip_id")).alias("trip"),
+            F.when(eid % 7 != 0, F.struct("latitude", "longitude", "speed")).alias("position"),
+            F.col("vehicle_timestamp").alias("timestamp"))).alias("vehicle"),
+        "fetched_at")
+    flat = feed.feed_presence(nested, F.col("fetched_at"))
+    return flat.agg(F.count(F.lit(1)).alias("n_records"),
+                    F.count_if(F.col("route_id").isNull() & (F.col("entity_id").cast("long") % 5 == 0)).alias("n_without_trip"),
+                    F.count_if(F.col("latitude").isNull()).alias("n_without_position"))

@@ -36,3 +36,20 @@ def fixture_pings(tables: fixtures.Tables, p: Params = DEFAULT) -> DataFrame:
 
 def fixture_route_hour(tables: fixtures.Tables, p: Params = DEFAULT) -> DataFrame:
     return metrics.route_hour(fixture_pings(tables, p))
+
+
+def run_speed_job(spark, raw: DataFrame, output: str, p: Params = DEFAULT) -> dict:
+    """The batch job (R14, K1, K9): pings and route-hours written as Parquet by
+    service_date with dynamic partition overwrite.  Row counts come back through
+    observe() on the writes, so no extra pass runs just to print a number."""
+    from pyspark.sql import Observation, functions as F
+    from transitlens.operators import warehouse as W
+    pings = pings_from_raw(raw, p)
+    rh = metrics.route_hour(pings)
+    o1, o2 = Observation("pings"), Observation("route_hour")
+    W.write_partitioned(pings.observe(o1, F.count(F.lit(1)).alias("rows"),
+                                      F.count_if("is_speed_valid").alias("valid_speed")),
+                        f"{output}/vehicle_pings_clean", "service_date")
+    W.write_partitioned(rh.observe(o2, F.count(F.lit(1)).alias("rows")), f"{output}/route_hour_speed", "service_date")
+    pings.unpersist()
+    return {"pings": o1.get["rows"], "valid_speed": o1.get["valid_speed"], "route_hours": o2.get["rows"]}

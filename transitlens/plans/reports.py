@@ -179,3 +179,8 @@ def insight_prompt(wh: Warehouse, p: Params = DEFAULT) -> DataFrame:
                  .unionByName(bunch_lines.select(F.col("sec").cast("int"), F.col("_r").cast("int"), "line"))
     return lines.agg(F.concat_ws("\n", F.transform(
         F.array_sort(F.collect_list(F.struct("sec", "_r", "line"))), lambda x: x["line"])).alias("prompt"))
+
+
+def save_prompt(prompt: DataFrame, path: str) -> None:
+    """K8: the one-row prompt as a text file (a single row by construction)."""
+    prompt.select("prompt").write.mode("overwrite").text(path)
