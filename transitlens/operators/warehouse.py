@@ -70,6 +70,8 @@ def assign_keys(new_ids: DataFrame, id_col: str, key_col: str, base: Column | in
         .withColumn("_pid", F.spark_partition_id()) \
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
     if materialize:
+        from transitlens.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(new_ids.sparkSession)
         ordered = ordered.checkpoint(eager=True)
     counts = ordered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

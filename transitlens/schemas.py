@@ -41,25 +41,3 @@ STOPS_CSV = T.StructType([T.StructField(c, T.StringType()) for c in
 TRIPS_CSV = T.StructType([T.StructField(c, T.StringType()) for c in ("route_id", "trip_id")])
 ROUTES_CSV = T.StructType([T.StructField(c, T.StringType()) for c in
                            ("route_id", "route_short_name", "route_long_name")])
-
-# Positions as used by the speed job (S1 projection).
-POSITIONS = T.StructType([
-    T.StructField("vehicle_id", T.StringType()),
-    T.StructField("route_id", T.StringType()),
-    T.StructField("trip_id", T.StringType()),
-    T.StructField("lat", T.DoubleType()),
-    T.StructField("lon", T.DoubleType()),
-    T.StructField("obs_epoch", T.LongType()),
-    T.StructField("snapshot_id", T.StringType()),
-])
-
-PING_COLUMNS = [
-    "snapshot_id", "route_id", "vehicle_id", "trip_id", "lat", "lon", "obs_epoch", "obs_ts",
-    "hour_of_day", "day_of_week", "dispatch_hour", "dispatch_minute", "gap_s", "dist_m",
-    "speed_kmph", "is_speed_valid", "is_moving", "is_bunched", "service_date",
-]
-
-ROUTE_HOUR_COLUMNS = [
-    "route_id", "hour_of_day", "day_of_week", "n_pings", "n_vehicles", "n_speed_obs",
-    "n_moving", "avg_speed_kmph", "avg_moving_speed_kmph", "n_bunched", "service_date",
-]

@@ -11,8 +11,6 @@ stream equals the batch computation.
 """
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -164,4 +162,4 @@ def chunk_day(epoch_col: str = "vehicle_timestamp", seconds: int = 86400):
 
 
 __all__ = ["snapshot_stream", "positions", "dedup_stream", "speed_stream", "local_hour_counts",
-           "idempotent_sink", "upsert_sink", "run_available_now", "land_in_time_order", "chunk_day", "math"]
+           "idempotent_sink", "upsert_sink", "run_available_now", "land_in_time_order", "chunk_day"]
