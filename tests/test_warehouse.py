@@ -70,3 +70,11 @@ def test_reconcile_detects_differences(spark):
     b = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "k int, v string")
     assert rows(W.reconcile(a, b)) == [(2, "y", "left_only"), (3, "z", "right_only")]
     assert W.reconcile(a, a).count() == 0
+
+
+def test_write_partitioned_clusters_and_keeps_rows(spark, tmp_path):
+    df = spark.range(0, 2000, numPartitions=5).select(
+        (F.col("id") % 3).alias("d"), (F.col("id") % 24).alias("h"), F.col("id").alias("v"))
+    W.write_partitioned(df, str(tmp_path / "t"), "d", ["h"])
+    back = spark.read.parquet(str(tmp_path / "t"))
+    assert back.count() == 2000 and back.select("d").distinct().count() == 3

@@ -229,9 +229,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, sort_cols: list[str] | None = None) -> None:
     """Parquet by ``part_col`` with dynamic partition overwrite; rows are
-    clustered inside each partition for min/max skipping on lookups."""
+    clustered inside each partition for min/max skipping on lookups.  Range
+    partitioning on (partition column, sort columns) spreads a large date over
+    many tasks instead of sending a whole date to one task."""
     if sort_cols:
-        df = df.repartition(part_col).sortWithinPartitions(part_col, *sort_cols)
+        df = df.repartitionByRange(part_col, *sort_cols).sortWithinPartitions(part_col, *sort_cols)
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path)
 
 

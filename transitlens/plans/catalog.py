@@ -728,8 +728,10 @@ def q_delay_quantiles(spark, sf_dir):
 def _model_data(spark, sf_dir):
     from transitlens.operators import model
     from transitlens.plans import reports
+    from pyspark import StorageLevel
     wh = _wh(spark, sf_dir)
-    return wh, model.prepared(reports.route_hour_view(wh))
+    # the prepared rows feed several aggregates (split counts, encodings, metrics)
+    return wh, model.prepared(reports.route_hour_view(wh)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 _MODEL_CTE = with_ctes("warehouse") + """
@@ -778,7 +780,6 @@ def q_model_baseline_metrics(spark, sf_dir):
 def _trained(spark, sf_dir):
     from transitlens.operators import model
     wh, d = _model_data(spark, sf_dir)
-    d = d.cache()
     return wh, d, model.train(d)
 
 

@@ -13,17 +13,27 @@ from transitlens.operators import bunching, metrics, pings as P
 from transitlens.sources import feed, fixtures
 
 
-def pings_from_raw(raw: DataFrame, p: Params = DEFAULT, persist: bool = True) -> DataFrame:
-    """Cleaned pings are read by several branches of the bunching plan and the
-    flagged pings by every consumer (route-hour, dimensions, facts, checks), so
-    both are persisted (memory, spilling to disk) instead of being recomputed
-    per branch; a lost executor's blocks are rebuilt from lineage."""
+def pings_from_raw(raw: DataFrame, p: Params = DEFAULT, materialize: bool = True) -> DataFrame:
+    """Cleaned pings are read by several branches of the bunching plan, so they
+    are persisted (memory, spilling to disk) for the duration of the bunching
+    job.  The flagged pings -- the vehicle_pings_clean table -- are written
+    once to the shared checkpoint folder and read back, so every consumer
+    (route-hour, dimensions, facts, checks, reports) starts from a pruned
+    columnar scan instead of re-planning and re-running the whole flow."""
     pos = feed.positions_for_speed(raw)
     cleaned = P.clean(pos, p)
-    if persist:
-        cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
-    flagged = bunching.flag_bunching(cleaned, p)
-    return flagged.persist(StorageLevel.MEMORY_AND_DISK) if persist else flagged
+    if not materialize:
+        return bunching.flag_bunching(cleaned, p)
+    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return write_and_read(bunching.flag_bunching(cleaned, p), "vehicle_pings_clean")
+    finally:
+        cleaned.unpersist()
+
+
+def write_and_read(df: DataFrame, name: str) -> DataFrame:
+    from transitlens.session import materialize
+    return materialize(df, name)
 
 
 def fixture_raw(tables: fixtures.Tables) -> DataFrame:
@@ -51,5 +61,4 @@ def run_speed_job(spark, raw: DataFrame, output: str, p: Params = DEFAULT) -> di
                                       F.count_if("is_speed_valid").alias("valid_speed")),
                         f"{output}/vehicle_pings_clean", "service_date")
     W.write_partitioned(rh.observe(o2, F.count(F.lit(1)).alias("rows")), f"{output}/route_hour_speed", "service_date")
-    pings.unpersist()
     return {"pings": o1.get["rows"], "valid_speed": o1.get["valid_speed"], "route_hours": o2.get["rows"]}

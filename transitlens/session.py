@@ -53,3 +53,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def apply_job_conf(spark: SparkSession) -> None:
     for k, v in JOB_CONF.items():
         spark.conf.set(k, v)
+
+
+def materialize(df, name: str, partition_by: str | None = None):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and return
+    a DataFrame reading it back.  Cuts lineage (a lost executor does not
+    recompute the upstream plan) and gives consumers a pruned, columnar scan."""
+    import uuid
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition_by) if partition_by else w).parquet(path)
+    return spark.read.parquet(path)
