@@ -3,9 +3,10 @@
 Scale notes
 -----------
 * Filtering happens before any shuffle, so it is pushed towards the scan.
-* De-duplication and the previous-ping lookup share one shuffle: rows are
-  partitioned by (vehicle_id, time bucket) and sorted once; the dedup window
-  and the lag window reuse that order (no second sort).
+* De-duplication is an aggregate with map-side partial aggregation, so
+  repeated copies of a report collapse before the shuffle; the previous-ping
+  lookup is then one window over (vehicle_id, time bucket), whose partitions
+  hold distinct epochs only (at most bucket_s rows per vehicle).
 * A vehicle's history is split into time buckets so that a hot vehicle does
   not end up as one unbounded window partition.  The first ping of a bucket
   takes its predecessor from a small "carry" table: the last ping of each
@@ -55,6 +56,16 @@ def _bucket(bucket_s: int):
     return F.floor(F.col("obs_epoch") / bucket_s).cast("long")
 
 
+def dedup(df: DataFrame) -> DataFrame:
+    """One report per (vehicle_id, obs_epoch): the smallest
+    (snapshot_id, route_id, trip_id, lat, lon), nulls first, i.e. the earliest
+    snapshot wins.  An aggregate, so copies collapse map-side (partial
+    aggregation) before anything is shuffled: a report repeated in a huge
+    number of snapshots never forms a large group."""
+    best = df.groupBy("vehicle_id", "obs_epoch").agg(F.min(F.struct(*DEDUP_ORDER)).alias("_b"))
+    return best.select("vehicle_id", "obs_epoch", *(F.col(f"_b.{c}").alias(c) for c in DEDUP_ORDER))
+
+
 def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | None = None) -> DataFrame:
     """Keep one report per (vehicle_id, obs_epoch) and attach the previous
     report of the same vehicle as prev_lat / prev_lon / prev_epoch.
@@ -62,12 +73,9 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
     ``carry`` (vehicle_id, obs_epoch, lat, lon) optionally supplies the last
     ping per vehicle of an earlier batch, for incremental runs.
     """
-    df = df.withColumn("_bkt", _bucket(bucket_s))
+    kept = dedup(df).withColumn("_bkt", _bucket(bucket_s))
     part = ["vehicle_id", "_bkt"]
-    w_dedup = Window.partitionBy(*part).orderBy("obs_epoch", *DEDUP_ORDER)
     w_lag = Window.partitionBy(*part).orderBy("obs_epoch")
-    kept = (df.withColumn("_dup", F.lag("obs_epoch").over(w_dedup) == F.col("obs_epoch"))
-              .filter(~F.coalesce(F.col("_dup"), F.lit(False))).drop("_dup"))
     lagged = kept.withColumns({
         "prev_lat": F.lag("lat").over(w_lag),
         "prev_lon": F.lag("lon").over(w_lag),
