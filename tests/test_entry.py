@@ -5,7 +5,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 FAST = ["clean_pings", "route_hour_speed", "report_slowest", "report_bunching", "quality_route_hour",
-        "snapshot_profile", "schedule_delay", "delay_quantiles", "upsert_ping_two_batches", "insight_prompt"]
+        "snapshot_profile", "schedule_delay", "delay_quantiles", "upsert_ping_two_batches", "insight_prompt",
+        "stream_speed", "stream_route_hour"]
 
 
 def test_entry_smoke(spark):
