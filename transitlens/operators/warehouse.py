@@ -86,7 +86,9 @@ def upsert_dim(dim: DataFrame, ids: DataFrame, id_col: str, key_col: str, now: C
                materialize: bool = True) -> DataFrame:
     """Insert ids not yet present (non-null, as strings); existing rows keep
     their keys.  Returns the full new dimension."""
-    ids = ids.select(F.col(id_col).cast("string").alias(id_col)).filter(F.col(id_col).isNotNull())
+    # distinct first: partial aggregation shrinks every ping's id to the set of
+    # ids before anything is shuffled for the anti-join
+    ids = ids.select(F.col(id_col).cast("string").alias(id_col)).filter(F.col(id_col).isNotNull()).distinct()
     new = ids.join(dim.select(id_col), id_col, "left_anti")
     base = dim.agg(F.coalesce(F.max(key_col), F.lit(0)).alias("_base"))
     keyed = assign_keys(new, id_col, key_col, 0, materialize)
@@ -135,7 +137,7 @@ def fact_route_hour(rh: DataFrame, dim_route: DataFrame, dates: DataFrame | None
 
 
 def fact_ping(pings: DataFrame, dim_route: DataFrame, dim_vehicle: DataFrame,
-              dates: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+              dates: DataFrame | None = None, ensure_unique: bool = False) -> tuple[DataFrame, DataFrame]:
     """T5: ping facts keyed by (vehicle_key, obs_ts); doubles take the table's
     NUMERIC scales (explicit HALF_UP decimal casts)."""
     x = _lookup(nan_to_null(pings), dim_route, "route_id", "route_key")
@@ -155,9 +157,11 @@ def fact_ping(pings: DataFrame, dim_route: DataFrame, dim_vehicle: DataFrame,
         F.col("dist_m").cast("decimal(10,1)").alias("dist_m"),
         F.col("speed_kmph").cast("decimal(8,2)").alias("speed_kmph"),
         "is_speed_valid", "is_moving", "is_bunched")
-    # one source row per key, like the loaders (pings are already unique per
-    # vehicle and epoch, so this is a no-op guard with partial aggregation)
-    facts = facts.dropDuplicates(["vehicle_key", "obs_ts"])
+    # pings from the speed flow are unique per (vehicle, epoch) by construction
+    # (A11); sources of unknown quality can ask for the loaders' explicit
+    # one-row-per-key guard, which costs a shuffle of the whole fact
+    if ensure_unique:
+        facts = facts.dropDuplicates(["vehicle_key", "obs_ts"])
     quarantine = x.filter(F.col("_bad")).drop("_bad", "_in_dim")
     return facts, quarantine
 
