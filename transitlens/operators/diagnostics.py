@@ -28,9 +28,10 @@ def snapshot_diff(raw: DataFrame) -> DataFrame:
     is its latest report (ties: larger coordinates), decided by an aggregate."""
     last = raw.groupBy(F.col("fetched_at").alias("snapshot_id"), "vehicle_id").agg(
         F.max(F.struct(F.col("vehicle_timestamp"), F.col("latitude"), F.col("longitude"))).alias("p"))
-    # number the snapshots: one row per snapshot, a small table
-    snaps = last.select("snapshot_id").distinct()
-    snaps = snaps.withColumn("n", F.dense_rank().over(Window.orderBy("snapshot_id")))
+    # number the snapshots 1..n in id order with the distributed key allocator
+    # (no single-partition window: the snapshot list grows with every fetch)
+    from transitlens.operators.warehouse import assign_keys
+    snaps = assign_keys(last.select("snapshot_id"), "snapshot_id", "n")
     cur = last.join(snaps, "snapshot_id")
     prev = cur.select(F.col("vehicle_id").alias("pv"), (F.col("n") + 1).alias("n"),
                       F.col("p").alias("pp"), F.col("snapshot_id").alias("prev_snapshot_id"))
