@@ -8,6 +8,11 @@ function de-duplicates the vehicle's reports of one micro-batch with the
 batch rule (earliest snapshot first) and drops reports at or before the last
 epoch already emitted.  With snapshot files arriving in time order the
 stream equals the batch computation.
+
+The state function sees one vehicle's reports of one micro-batch, copies
+included; ``maxFilesPerTrigger`` bounds that group.  A watermark dedup in
+front of it would shrink copies but keeps whichever copy arrives first, not
+the earliest snapshot, so it is not used: the batch survivor rule stays exact.
 """
 from __future__ import annotations
 
