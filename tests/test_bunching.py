@@ -60,3 +60,12 @@ def test_grid_method_on_fixture(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     cleaned = P.clean(feed.positions_for_speed(fixtures.raw_feed(ev)))
     assert rows(bunching.close_vehicles(cleaned)) == brute(spark, cleaned)
+
+
+def test_null_snapshot_never_pairs(spark):
+    df = spark.createDataFrame([
+        (None, "1", "a", 28.5, 77.0, True), (None, "1", "b", 28.5, 77.0, True),
+        ("s", "1", "c", 28.5, 77.0, True), ("s", "1", "d", 28.5, 77.0, True)], SCHEMA)
+    assert rows(bunching.close_vehicles(df)) == [("s", "1", "c"), ("s", "1", "d")]
+    flagged = {r["vehicle_id"]: r["is_bunched"] for r in bunching.flag_bunching(df).collect()}
+    assert flagged == {"a": False, "b": False, "c": True, "d": True}
