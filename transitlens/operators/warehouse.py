@@ -213,13 +213,11 @@ def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[s
     folder (never overwrite a path the same plan reads), then published with
     dynamic partition overwrite.  Returns the number of rows written."""
     from pyspark.sql import Observation
-    from transitlens.session import scratch_path
-    try:
+    from transitlens.session import path_exists, scratch_path
+    if path_exists(spark, path):
         target = spark.read.parquet(path)
         merged = merge(touched_slice(target, source, part_col), source, keys, update_cols, touch)
-    except Exception as e:  # noqa: BLE001 - first load: the table does not exist yet
-        if "PATH_NOT_FOUND" not in str(e) and "does not exist" not in str(e):
-            raise
+    else:                                  # first load: the table does not exist yet
         merged = source
     staging = staging or scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}")
     obs = Observation("staged")

@@ -50,6 +50,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/tables/{name}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop FileSystem of the path (works for any
+    cluster file system the session is configured for)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def apply_job_conf(spark: SparkSession) -> None:
     for k, v in JOB_CONF.items():
         spark.conf.set(k, v)
