@@ -16,6 +16,8 @@ the earliest snapshot, so it is not used: the batch survivor rule stays exact.
 """
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
@@ -24,6 +26,10 @@ from transitlens.config import DEFAULT, EARTH_RADIUS_M, Params
 from transitlens.operators import pings as P
 from transitlens.sources import feed
 
+# PySpark's grouped-state serializer concatenates batches that may be empty and
+# pandas warns about it once per call; the message is specific, nothing else is hidden.
+warnings.filterwarnings("ignore", message="The behavior of DataFrame concatenation with empty or all-NA entries")
+
 SPEED_OUT = T.StructType([
     T.StructField("snapshot_id", T.StringType()), T.StructField("route_id", T.StringType()),
     T.StructField("vehicle_id", T.StringType()), T.StructField("trip_id", T.StringType()),
