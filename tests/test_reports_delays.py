@@ -84,3 +84,22 @@ def test_nearest_stop_tie_break(spark):
                                   "stop_id string, stop_name string, stop_lat double, stop_lon double")
     near = delays.nearest_stop(delays.candidates(delays.clean_positions(pos), st, stops)).first()
     assert near["stop_id"] == "a"
+
+
+def test_snapshot_diff_semantics(spark):
+    from transitlens import schemas
+    from transitlens.operators import diagnostics
+    recs = [
+        ("e1", "A", "1", None, 28.50, 77.0, 0.0, 100, "s1"), ("e2", "B", "1", None, 28.60, 77.0, 0.0, 100, "s1"),
+        ("e3", None, "1", None, 28.70, 77.0, None, 100, "s1"),
+        ("e4", "A", "1", None, 28.50, 77.0, 0.0, 200, "s2"),                 # A did not move
+        ("e5", "B", "1", None, 28.61, 77.0, 0.0, 150, "s2"),
+        ("e6", "B", "1", None, 28.62, 77.0, 0.0, 250, "s2"),                 # B's latest report wins: moved
+        ("e7", None, "1", None, 28.70, 77.0, None, 200, "s2"),               # missing id counts as one value
+        ("e8", "C", "1", None, 28.80, 77.0, 5.0, 200, "s2")]                 # new vehicle
+    raw = spark.createDataFrame(recs, schemas.RAW)
+    got = [tuple(r) for r in diagnostics.snapshot_diff(raw).collect()]
+    assert got == [("s2", "s1", 3, 1)]
+    prof = {r["snapshot_id"]: r for r in diagnostics.snapshot_profile(raw).collect()}
+    assert (prof["s2"]["records"], prof["s2"]["distinct_vehicles"], prof["s2"]["speed_nonzero"],
+            prof["s2"]["max_speed"], prof["s2"]["distinct_speeds"]) == (5, 4, 1, 5.0, 3)
