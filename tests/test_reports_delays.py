@@ -103,3 +103,15 @@ def test_snapshot_diff_semantics(spark):
     prof = {r["snapshot_id"]: r for r in diagnostics.snapshot_profile(raw).collect()}
     assert (prof["s2"]["records"], prof["s2"]["distinct_vehicles"], prof["s2"]["speed_nonzero"],
             prof["s2"]["max_speed"], prof["s2"]["distinct_speeds"]) == (5, 4, 1, 5.0, 3)
+
+
+def test_insight_prompt_format(spark):
+    text = reports.insight_prompt(small_wh(spark)).first()["prompt"]
+    lines = text.split("\n")
+    assert lines[0] == reports.PROMPT_SLOW_HEADER
+    assert lines[1] == "- Route r1 on 2026-01-01 at 08:00-08:59: 5 buses, 4.86 km/h"
+    assert lines[2] == "- Route r2 on 2026-01-01 at 08:00-08:59: 5 buses, 4.86 km/h"
+    assert "- Route r1: 18.2% bunched (2 of 11 moving pings)" in lines
+    assert text.endswith("beyond one short suggestion.")
+    assert lines.index("- Route r1: 18.2% bunched (2 of 11 moving pings)") > lines.index(
+        "Routes with the highest bus-bunching rate (same route, buses within 300m):")
