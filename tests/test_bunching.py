@@ -69,3 +69,17 @@ def test_null_snapshot_never_pairs(spark):
     assert rows(bunching.close_vehicles(df)) == [("s", "1", "c"), ("s", "1", "d")]
     flagged = {r["vehicle_id"]: r["is_bunched"] for r in bunching.flag_bunching(df).collect()}
     assert flagged == {"a": False, "b": False, "c": True, "d": True}
+
+
+def test_salted_hot_cells_equal_all_pairs(spark):
+    rnd = random.Random(11)
+    recs = []
+    for i in range(300):
+        # everything inside one coarse cell: with salt_rows=20 it is split over many salts
+        lat, lon = 28.6 + rnd.uniform(0, 0.008), 77.2 + rnd.uniform(0, 0.008)
+        recs.append(("s", "1", f"v{i:04d}", lat, lon, True))
+    df = spark.createDataFrame(recs, SCHEMA)
+    p = Params(salt_rows=20, max_salt=8)
+    assert rows(bunching.close_vehicles(df, p)) == brute(spark, df)
+    # list of hot cells above the broadcast bound: falls back to the unsalted join
+    assert rows(bunching.close_vehicles(df, Params(salt_rows=20, max_salted_keys=0))) == brute(spark, df)

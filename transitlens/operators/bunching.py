@@ -74,11 +74,36 @@ def close_vehicles(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
     dist = F.when(first, haversine_m("plat", "plon", "tlat", "tlon")).otherwise(
         haversine_m("tlat", "tlon", "plat", "plon"))
     ckey = KEY + ["cy", "cx"]
-    cond = [probes[c] == targets[c] for c in ckey] + [F.col("pv") != F.col("tv"), dist < F.lit(p.bunch_m)]
+    probes, targets = _salt_hot_cells(probes, targets, ckey, p)
+    cond = [probes[c] == targets[c] for c in ckey + ["_salt"]] + [F.col("pv") != F.col("tv"), dist < F.lit(p.bunch_m)]
     matched = probes.join(targets, cond).select(*(probes[c] for c in KEY), F.col("pv").alias("vehicle_id"))
     return dense.unionByName(matched).distinct()
 
 
+def _salt_hot_cells(probes: DataFrame, targets: DataFrame, ckey: list[str], p: Params):
+    """Split coarse cells holding more than ``p.salt_rows`` target points.
+
+    Each target row of a hot cell goes to one of ``s`` salts (hash of its
+    content) and every probe of that cell is replicated to all ``s`` salts,
+    so every (probe, target) pair still meets exactly once.  The hot-cell list
+    is found with one count aggregate; it has at most total / salt_rows rows
+    and is broadcast only when it is also below ``max_salted_keys``."""
+    counts = targets.groupBy(*ckey).agg(F.count(F.lit(1)).alias("_n"))
+    hot = counts.filter(F.col("_n") > F.lit(p.salt_rows))
+    n_hot = hot.count()
+    if n_hot == 0 or n_hot > p.max_salted_keys:
+        return probes.withColumn("_salt", F.lit(0)), targets.withColumn("_salt", F.lit(0))
+    hot = F.broadcast(hot.select(*ckey, F.least(F.ceil(F.col("_n") / F.lit(p.salt_rows)),
+                                               F.lit(p.max_salt)).cast("int").alias("_s")))
+    t = targets.join(hot, ckey, "left").withColumn(
+        "_salt", F.when(F.col("_s").isNull(), F.lit(0))
+                  .otherwise(F.pmod(F.xxhash64("tv", "tlat", "tlon"), F.col("_s")).cast("int"))).drop("_s")
+    pr = probes.join(hot, ckey, "left").withColumn(
+        "_salt", F.explode(F.when(F.col("_s").isNull(), F.array(F.lit(0)))
+                            .otherwise(F.sequence(F.lit(0), F.col("_s") - 1)))).drop("_s")
+    return pr, t
+
+
 def close_pairs_bruteforce(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """Reference formulation (all pairs of a snapshot-route group); for tests on
     small fixtures only."""
