@@ -2,6 +2,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -44,8 +45,10 @@ class Scratch:
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of finished steps now
     instead of at the driver's next garbage collection."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):          # the first lets go of plans, the second of what only they held
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

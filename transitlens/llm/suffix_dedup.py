@@ -3,7 +3,11 @@
 Removes every byte that lies in a ``window``-byte string which also starts
 earlier in the corpus.  Blockwise construction over a difference cover:
 
-1. *Blocks.*  Documents are written once as blocks of about ``block_bytes``.
+1. *Blocks.*  Documents are range-partitioned by doc_id and written once as
+   blocks of about ``block_bytes``; blocks are numbered in doc_id order, so of
+   two blocks the lower number starts earlier.  A document that equals an
+   earlier one (128-bit digest of the text) is wholly covered by it: it leaves
+   here with its length alone.
 2. *Cover ranks.*  Only suffixes at positions ``p`` with ``p mod v`` in a
    difference cover are sampled.  Any two equal windows have an offset below
    ``v`` at which both are sampled, and the samples agree on
@@ -21,14 +25,13 @@ Order inside a bucket is that of 64-bit fingerprints of the whole window, not
 of its letters: the result depends on equality and earliest start alone.
 
 What moves: a block sends each distinct fingerprint of a bucket once, sorted
-and difference-coded (about 3 bytes a sample and 7 a window), and gets one bit
+and difference-coded (about 3 bytes a sample and 6 a window), and gets one bit
 back for each.  A string that a third of all documents hold is therefore one
 entry per block, never a group of rows.  Memory: a block and one bucket.
 
 Defined cases: null text counts as empty (0 bytes, nothing removed); a text
 shorter than the window is kept whole; null doc_id sorts last; rows that repeat
-a doc_id are separate documents, the one in the earlier block (then row)
-counts as earlier; extra columns are ignored; empty table, empty result.
+a doc_id are separate documents, ordered by their text; extra columns are ignored; empty table, empty result.
 """
 from __future__ import annotations
 
@@ -104,15 +107,6 @@ def unpack_sorted(blob: bytes, planes: int) -> np.ndarray:
     return np.cumsum(d.view(U64).ravel(), dtype=U64)
 
 
-def _planes(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a.view(np.uint8).reshape(-1, 4).T).tobytes())
-
-
-def _unplanes(blob: bytes) -> np.ndarray:
-    b = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(b.T).view(np.uint32).ravel()
-
-
 def _bits(flags: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(np.packbits(flags).tobytes())
 
@@ -121,39 +115,33 @@ def _unbits(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), count=n).astype(bool)
 
 
-BLOCK_SCHEMA = "block long, ids binary, nulls binary, sizes binary, body binary"
+BLOCK_SCHEMA = "block long, ids binary, nulls binary, copies binary, sizes binary, body binary"
 
 
 def _to_blocks(block_bytes: int):
+    """Rows (doc_id, text, copy, size) in doc_id order to blocks; a copy has no text."""
     def pack(batches):
         part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
 
         def block():
-            ids = np.concatenate([h[0] for h in held])
-            order = np.argsort(ids, kind="stable")
-            docs = [d for h in held for d in h[1]]
-            docs = [docs[i] for i in order]
-            sizes = np.array([len(d) for d in docs], np.int64)
-            z = zstandard.ZstdCompressor(level=3)
+            ids, nulls, copies, sizes, body = zip(*held)
+            join = lambda arrays: np.concatenate(arrays).tobytes()
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([(part << 24) | no], pa.int64()), "ids": [ids[order].tobytes()],
-                "nulls": [np.concatenate([h[2] for h in held])[order].tobytes()], "sizes": [sizes.tobytes()],
-                "body": [z.compress(b"".join(docs))]})
+                "block": pa.array([(part << 24) | no], pa.int64()), "ids": [join(ids)], "nulls": [join(nulls)], "copies": [join(copies)],
+                "sizes": [join(sizes)], "body": [zstandard.ZstdCompressor(level=3).compress(b"".join(body))]})
 
         for batch in batches:
-            col = batch.column(0)
-            nulls = np.array(col.is_null())
-            ids = np.array(col.fill_null(NULL_ID), np.int64)
+            nulls = np.array(batch.column(0).is_null())
+            ids = np.array(batch.column(0).fill_null(NULL_ID), np.int64)
+            copies, sizes = np.array(batch.column(2)), np.array(batch.column(3), np.int64)
             raw, off = text_buffers(batch.column(1))
             lo = 0
             while lo < len(ids):
                 hi = max(lo + 1, int(np.searchsorted(off, off[lo] + block_bytes - size, side="right")) - 1)
-                body = raw[off[lo]:off[hi]].tobytes()
-                base = off[lo]
-                held.append((ids[lo:hi], [body[off[i] - base:off[i + 1] - base] for i in range(lo, hi)], nulls[lo:hi]))
-                size += len(body)
+                held.append((ids[lo:hi], nulls[lo:hi], copies[lo:hi], sizes[lo:hi], raw[off[lo]:off[hi]].tobytes()))
+                size += int(off[hi] - off[lo])
                 lo = hi
-                if size >= block_bytes or (lo < len(ids) and size + off[lo + 1] - off[lo] > block_bytes):
+                if lo < len(ids) or size >= block_bytes:
                     yield block()
                     held, size, no = [], 0, no + 1
         if held:
@@ -168,7 +156,9 @@ class _Block:
         self.no = row["block"]
         self.ids = np.frombuffer(row["ids"], np.int64)
         self.nulls = np.frombuffer(row["nulls"], bool)
-        self.sizes = np.frombuffer(row["sizes"], np.int64)
+        self.copies = np.frombuffer(row["copies"], bool)
+        self.full = np.frombuffer(row["sizes"], np.int64)
+        self.sizes = np.where(self.copies, 0, self.full)
         self.raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["body"]), np.uint8)
         self.start = np.concatenate(([0], np.cumsum(self.sizes)))
 
@@ -271,35 +261,21 @@ def _send_windows(window: int, n_buckets: int):
         for row in left.to_pylist():
             blk = _Block(row)
             shared = {r["bucket"]: r["bits"] for r in right.to_pylist()}
-            cand = blk.candidates(window, shared, n_buckets)
-            keys, first, _ = blk.windows(window, cand)
-            docs = np.searchsorted(blk.start, cand[first], side="right") - 1 if len(keys) else first
-            for b, lo, hi in _cuts(keys, 64, n_buckets):
-                used, which = np.unique(docs[lo:hi], return_inverse=True)
-                out.append((b, blk.no, pack_sorted(keys[lo:hi], 8), _planes(which.astype(np.uint32)), blk.ids[used].tobytes()))
-        return pa.Table.from_batches([_batch(out, ("bucket", "block", "keys", "docs", "ids"),
-                                             (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))])
+            keys, _, _ = blk.windows(window, blk.candidates(window, shared, n_buckets))
+            out += [(b, blk.no, pack_sorted(keys[lo:hi], 8)) for b, lo, hi in _cuts(keys, 64, n_buckets)]
+        return pa.Table.from_batches([_batch(out, ("bucket", "block", "keys"), (pa.int32(), pa.int64(), pa.binary()))])
     return send
 
 
 def _earliest(table: pa.Table) -> pa.Table:
-    """Sort one suffix bucket; tell each block which windows start earlier elsewhere."""
+    """Sort one suffix bucket; tell each block which windows an earlier block starts."""
     rows = sorted(table.to_pylist(), key=lambda r: r["block"])
     parts = [unpack_sorted(r["keys"], 8) for r in rows]
-    docs = np.concatenate([np.frombuffer(r["ids"], np.int64)[_unplanes(r["docs"])] for r in rows])
     keys = np.concatenate(parts)
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys, kind="stable")                     # ties stay in block order
     k = keys[order]
-    head = np.concatenate(([True], k[1:] != k[:-1]))
-    group = np.cumsum(head) - 1
-    starts = np.flatnonzero(head)
-    d = docs[order]
-    least = np.minimum.reduceat(d, starts)[group]
-    at_least = np.flatnonzero(d == least)
-    g = group[at_least]
-    keep = at_least[np.concatenate(([True], g[1:] != g[:-1]))]      # first block among equal doc ids
-    later = np.ones(len(k), bool)
-    later[order[keep]] = False
+    later = np.zeros(len(k), bool)
+    later[order[1:]] = k[1:] == k[:-1]
     out, lo = [], 0
     for r, part in zip(rows, parts):
         flag = later[lo:lo + len(part)]
@@ -335,10 +311,14 @@ def _cut(window: int, n_buckets: int):
             np.add.at(edge, hit + window, -1)
             gone = np.cumsum(edge[:-1]) > 0
             for i, (s, n) in enumerate(zip(blk.start[:-1].tolist(), blk.sizes.tolist())):
+                ids.append(None if blk.nulls[i] else int(blk.ids[i]))
+                sizes.append(int(blk.full[i]))
+                if blk.copies[i]:
+                    spans.append([{"start": 0, "end": sizes[-1]}])
+                    kept.append(b"")
+                    continue
                 g = gone[s:s + n]
                 turn = np.flatnonzero(np.diff(np.concatenate(([False], g, [False])).view(np.int8))).tolist() if g.any() else []
-                ids.append(None if blk.nulls[i] else int(blk.ids[i]))
-                sizes.append(n)
                 spans.append([{"start": a, "end": b} for a, b in zip(turn[::2], turn[1::2])])
                 kept.append(blk.raw[s:s + n][~g].tobytes() if turn else blk.raw[s:s + n].tobytes())
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_bytes": pa.array(sizes, pa.int64()),
@@ -352,15 +332,25 @@ def suffix_dedup(docs: DataFrame, window: int = 100, block_bytes: int = 8 << 20,
     spark = docs.sparkSession
     cover_for(window)
     tmp = Scratch(spark, "suffix-dedup")
-    blocks = tmp.write(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                       .mapInArrow(_to_blocks(block_bytes), BLOCK_SCHEMA), "blocks")
-    total = blocks.select(F.sum(F.octet_length("body"))).first()[0] or 0
-    n_buckets = int(max(16, -(-total * 2 // bucket_bytes)))
+    rows = (docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+            .withColumns({"id": F.coalesce("doc_id", F.lit(NULL_ID)), "size": F.octet_length("text").cast("long"),
+                          "h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("second"), "text")}))
+    long = rows.filter(F.col("size") >= window).select("id", "h1", "h2")
+    first = long.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    copies = tmp.write(long.join(first, ["h1", "h2"]).filter("id > first").select("id", "h1", "h2").distinct()
+                       .withColumn("copy", F.lit(True)), "copies")
+    total = rows.agg(F.sum("size")).first()[0] or 0
+    marked = rows.join(copies, ["id", "h1", "h2"], "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
+    marked = marked.select("doc_id", F.when(F.col("copy"), F.lit("")).otherwise(F.col("text")).alias("text"), "copy", "size", "id")
+    ranges = marked.repartitionByRange(max(1, -(-total // (2 * block_bytes))), "id").sortWithinPartitions("id", "text")
+    blocks = tmp.write(ranges.drop("id").mapInArrow(_to_blocks(block_bytes), BLOCK_SCHEMA), "blocks")
+    release(spark)
+    n_buckets = int(max(16, -(-total // bucket_bytes)))
     ranks = tmp.write(blocks.mapInArrow(_send_samples(window, n_buckets), "bucket int, block long, keys binary")
                       .groupBy("bucket").applyInArrow(_rank_samples, REPLY_SCHEMA), "ranks")
     release(spark)
     later = tmp.write(blocks.groupBy("block").cogroup(ranks.groupBy("block"))
-                      .applyInArrow(_send_windows(window, n_buckets), "bucket int, block long, keys binary, docs binary, ids binary")
+                      .applyInArrow(_send_windows(window, n_buckets), "bucket int, block long, keys binary")
                       .groupBy("bucket").applyInArrow(_earliest, REPLY_SCHEMA), "later")
     release(spark)
     return (blocks.groupBy("block").cogroup(ranks.unionByName(later).groupBy("block"))
