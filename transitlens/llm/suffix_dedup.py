@@ -6,8 +6,8 @@ earlier in the corpus.  Blockwise construction over a difference cover:
 1. *Blocks.*  Documents are range-partitioned by doc_id and written once as
    blocks of about ``block_bytes``; blocks are numbered in doc_id order, so of
    two blocks the lower number starts earlier.  A document that equals an
-   earlier one (128-bit digest of the text) is wholly covered by it: it leaves
-   here with its length alone.
+   earlier one (128-bit digest of the text) is wholly covered by it, and takes
+   no part in what follows.
 2. *Cover ranks.*  Only suffixes at positions ``p`` with ``p mod v`` in a
    difference cover are sampled.  Any two equal windows have an offset below
    ``v`` at which both are sampled, and the samples agree on
@@ -51,7 +51,6 @@ COVERS = {
     31: (0, 1, 3, 8, 12, 18),
     57: (0, 1, 3, 13, 32, 36, 43, 52),
 }
-NULL_ID = np.iinfo(np.int64).max
 SAMPLE_BITS = 40
 _SLICE = 1 << 17
 
@@ -115,30 +114,29 @@ def _unbits(blob: bytes, n: int) -> np.ndarray:
     return np.unpackbits(np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8), count=n).astype(bool)
 
 
-BLOCK_SCHEMA = "block long, ids binary, nulls binary, copies binary, sizes binary, body binary"
+BLOCK_SCHEMA = "block long, ids array<long>, h1 array<long>, h2 array<long>, sizes array<long>, body binary"
 
 
 def _to_blocks(block_bytes: int):
-    """Rows (doc_id, text, copy, size) in doc_id order to blocks; a copy has no text."""
+    """Rows (doc_id, text, h1, h2) in doc_id order to blocks."""
     def pack(batches):
         part, no, held, size = TaskContext.get().partitionId(), 0, [], 0
+        longs = pa.list_(pa.int64())
 
         def block():
-            ids, nulls, copies, sizes, body = zip(*held)
-            join = lambda arrays: np.concatenate(arrays).tobytes()
+            ids, h1, h2, sizes, body = ([x for h in held for x in h[i]] for i in range(5))
             return pa.RecordBatch.from_pydict({
-                "block": pa.array([(part << 24) | no], pa.int64()), "ids": [join(ids)], "nulls": [join(nulls)], "copies": [join(copies)],
-                "sizes": [join(sizes)], "body": [zstandard.ZstdCompressor(level=3).compress(b"".join(body))]})
+                "block": pa.array([(part << 24) | no], pa.int64()), "ids": pa.array([ids], longs), "h1": pa.array([h1], longs),
+                "h2": pa.array([h2], longs), "sizes": pa.array([sizes], longs),
+                "body": [zstandard.ZstdCompressor(level=3).compress(b"".join(body))]})
 
         for batch in batches:
-            nulls = np.array(batch.column(0).is_null())
-            ids = np.array(batch.column(0).fill_null(NULL_ID), np.int64)
-            copies, sizes = np.array(batch.column(2)), np.array(batch.column(3), np.int64)
+            ids, h1, h2 = (batch.column(i).to_pylist() for i in (0, 2, 3))
             raw, off = text_buffers(batch.column(1))
             lo = 0
             while lo < len(ids):
                 hi = max(lo + 1, int(np.searchsorted(off, off[lo] + block_bytes - size, side="right")) - 1)
-                held.append((ids[lo:hi], nulls[lo:hi], copies[lo:hi], sizes[lo:hi], raw[off[lo]:off[hi]].tobytes()))
+                held.append((ids[lo:hi], h1[lo:hi], h2[lo:hi], np.diff(off[lo:hi + 1]).tolist(), [raw[off[lo]:off[hi]].tobytes()]))
                 size += int(off[hi] - off[lo])
                 lo = hi
                 if lo < len(ids) or size >= block_bytes:
@@ -150,22 +148,22 @@ def _to_blocks(block_bytes: int):
 
 
 class _Block:
-    """One block's text with the start, in the block, of each document."""
-
-    def __init__(self, row: dict):
-        self.no = row["block"]
-        self.ids = np.frombuffer(row["ids"], np.int64)
-        self.nulls = np.frombuffer(row["nulls"], bool)
-        self.copies = np.frombuffer(row["copies"], bool)
-        self.full = np.frombuffer(row["sizes"], np.int64)
-        self.sizes = np.where(self.copies, 0, self.full)
+    """One block's text with the start, in the block, of each document.
+    ``replies``: what other steps found about the block (see REPLY)."""
+
+    def __init__(self, row: dict, replies: list[dict]):
+        self.no, self.ids = row["block"], row["ids"]
+        self.sizes = np.array(row["sizes"], np.int64)
         self.raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["body"]), np.uint8)
         self.start = np.concatenate(([0], np.cumsum(self.sizes)))
+        self.shared, self.later = ({r["bucket"]: r["bits"] for r in replies if r["kind"] == k} for k in (SHARED, LATER))
+        self.copies = {r["bucket"] for r in replies if r["kind"] == COPY}
+        self.own = [(s, n) for i, (s, n) in enumerate(zip(self.start[:-1].tolist(), row["sizes"])) if i not in self.copies]
 
     def valid(self, length: int) -> np.ndarray:
         """Positions at which ``length`` bytes of one document start."""
         ok = np.zeros(len(self.raw), bool)
-        for s, n in zip(self.start[:-1].tolist(), self.sizes.tolist()):
+        for s, n in self.own:
             if n >= length:
                 ok[s:s + n - length + 1] = True
         return ok
@@ -177,12 +175,12 @@ class _Block:
         member = np.zeros(v, bool)
         member[list(cover)] = True
         ok = self.valid(length)
-        for s, n in zip(self.start[:-1].tolist(), self.sizes.tolist()):
+        for s, n in self.own:
             ok[s:s + n] &= np.resize(member, n)
         pos = np.flatnonzero(ok)
         return pos, fingerprints(self.raw, length)[pos] >> U64(64 - SAMPLE_BITS) if len(pos) else np.zeros(0, U64)
 
-    def candidates(self, window: int, shared: dict[int, bytes], n_buckets: int) -> np.ndarray:
+    def candidates(self, window: int, n_buckets: int) -> np.ndarray:
         """Positions whose window holds a cover sample of shared rank."""
         v, _ = cover_for(window)
         pos, keys = self.samples(window)
@@ -191,8 +189,8 @@ class _Block:
         uniq, inverse, counts = np.unique(keys, return_inverse=True, return_counts=True)
         flag = counts > 1
         for b, lo, hi in _cuts(uniq, SAMPLE_BITS, n_buckets):
-            if b in shared:
-                flag[lo:hi] |= _unbits(shared[b], hi - lo)
+            if b in self.shared:
+                flag[lo:hi] |= _unbits(self.shared[b], hi - lo)
         hit = pos[flag[inverse]]
         edge = np.zeros(len(self.raw) + 1, np.int32)      # windows that start within v-1 bytes before the sample
         np.add.at(edge, np.maximum(hit - (v - 1), 0), 1)
@@ -219,16 +217,19 @@ def _cuts(keys: np.ndarray, bits: int, n_buckets: int):
 
 
 def _send_samples(window: int, n_buckets: int):
-    def send(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                blk = _Block(row)
-                keys = np.unique(blk.samples(window)[1])
-                out = [(b, blk.no, pack_sorted(keys[lo:hi], SAMPLE_BITS // 8)) for b, lo, hi in _cuts(keys, SAMPLE_BITS, n_buckets)]
-                yield _batch(out, ("bucket", "block", "keys"), (pa.int32(), pa.int64(), pa.binary()))
+    def send(left: pa.Table, right: pa.Table) -> pa.Table:
+        out = []
+        for row in left.to_pylist():
+            blk = _Block(row, right.to_pylist())
+            keys = np.unique(blk.samples(window)[1])
+            out += [(b, blk.no, pack_sorted(keys[lo:hi], SAMPLE_BITS // 8)) for b, lo, hi in _cuts(keys, SAMPLE_BITS, n_buckets)]
+        return pa.Table.from_batches([_batch(out, KEYS, KEY_TYPES)])
     return send
 
 
+KEYS, KEY_TYPES, KEY_SCHEMA = ("bucket", "block", "keys"), (pa.int32(), pa.int64(), pa.binary()), "bucket int, block long, keys binary"
+
+
 def _batch(rows: list[tuple], names, types) -> pa.RecordBatch:
     cols = list(zip(*rows)) if rows else [[] for _ in names]
     return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=list(names))
@@ -246,10 +247,13 @@ def _rank_samples(table: pa.Table) -> pa.Table:
             at = np.minimum(np.searchsorted(shared, part), len(shared) - 1)
             flag = shared[at] == part
             if flag.any():
-                out.append((r["block"], 0, r["bucket"], _bits(flag)))
+                out.append((r["block"], SHARED, r["bucket"], _bits(flag)))
     return pa.Table.from_batches([_batch(out, REPLY, REPLY_TYPES)])
 
 
+# A reply: the block's samples of a bucket with shared rank, its windows of a bucket that
+# start earlier elsewhere (one bit each), or (bucket: its place) a document that is a copy.
+SHARED, LATER, COPY = 0, 1, 2
 REPLY = ("block", "kind", "bucket", "bits")
 REPLY_TYPES = (pa.int64(), pa.int32(), pa.int32(), pa.binary())
 REPLY_SCHEMA = "block long, kind int, bucket int, bits binary"
@@ -259,11 +263,10 @@ def _send_windows(window: int, n_buckets: int):
     def send(left: pa.Table, right: pa.Table) -> pa.Table:
         out = []
         for row in left.to_pylist():
-            blk = _Block(row)
-            shared = {r["bucket"]: r["bits"] for r in right.to_pylist()}
-            keys, _, _ = blk.windows(window, blk.candidates(window, shared, n_buckets))
+            blk = _Block(row, right.to_pylist())
+            keys, _, _ = blk.windows(window, blk.candidates(window, n_buckets))
             out += [(b, blk.no, pack_sorted(keys[lo:hi], 8)) for b, lo, hi in _cuts(keys, 64, n_buckets)]
-        return pa.Table.from_batches([_batch(out, ("bucket", "block", "keys"), (pa.int32(), pa.int64(), pa.binary()))])
+        return pa.Table.from_batches([_batch(out, KEYS, KEY_TYPES)])
     return send
 
 
@@ -281,7 +284,7 @@ def _earliest(table: pa.Table) -> pa.Table:
         flag = later[lo:lo + len(part)]
         lo += len(part)
         if flag.any():
-            out.append((r["block"], 1, r["bucket"], _bits(flag)))
+            out.append((r["block"], LATER, r["bucket"], _bits(flag)))
     return pa.Table.from_batches([_batch(out, REPLY, REPLY_TYPES)])
 
 
@@ -291,18 +294,15 @@ OUT_SCHEMA = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>
 
 def _cut(window: int, n_buckets: int):
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
-        replies = right.to_pylist()
-        shared = {r["bucket"]: r["bits"] for r in replies if r["kind"] == 0}
-        later = {r["bucket"]: r["bits"] for r in replies if r["kind"] == 1}
         ids, sizes, spans, kept = [], [], [], []
         for row in left.to_pylist():
-            blk = _Block(row)
-            cand = blk.candidates(window, shared, n_buckets)
+            blk = _Block(row, right.to_pylist())
+            cand = blk.candidates(window, n_buckets)
             keys, first, inverse = blk.windows(window, cand)
             flag = np.zeros(len(keys), bool)
             for b, lo, hi in _cuts(keys, 64, n_buckets):
-                if b in later:
-                    flag[lo:hi] = _unbits(later[b], hi - lo)
+                if b in blk.later:
+                    flag[lo:hi] = _unbits(blk.later[b], hi - lo)
             again = np.ones(len(cand), bool)
             again[first] = False                                  # a repeat inside the block
             hit = cand[again | flag[inverse]] if len(cand) else cand
@@ -311,10 +311,10 @@ def _cut(window: int, n_buckets: int):
             np.add.at(edge, hit + window, -1)
             gone = np.cumsum(edge[:-1]) > 0
             for i, (s, n) in enumerate(zip(blk.start[:-1].tolist(), blk.sizes.tolist())):
-                ids.append(None if blk.nulls[i] else int(blk.ids[i]))
-                sizes.append(int(blk.full[i]))
-                if blk.copies[i]:
-                    spans.append([{"start": 0, "end": sizes[-1]}])
+                ids.append(blk.ids[i])
+                sizes.append(n)
+                if i in blk.copies:
+                    spans.append([{"start": 0, "end": n}])
                     kept.append(b"")
                     continue
                 g = gone[s:s + n]
@@ -333,24 +333,22 @@ def suffix_dedup(docs: DataFrame, window: int = 100, block_bytes: int = 8 << 20,
     cover_for(window)
     tmp = Scratch(spark, "suffix-dedup")
     rows = (docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-            .withColumns({"id": F.coalesce("doc_id", F.lit(NULL_ID)), "size": F.octet_length("text").cast("long"),
-                          "h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("second"), "text")}))
-    long = rows.filter(F.col("size") >= window).select("id", "h1", "h2")
-    first = long.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    copies = tmp.write(long.join(first, ["h1", "h2"]).filter("id > first").select("id", "h1", "h2").distinct()
-                       .withColumn("copy", F.lit(True)), "copies")
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    marked = rows.join(copies, ["id", "h1", "h2"], "left").withColumn("copy", F.coalesce("copy", F.lit(False)))
-    marked = marked.select("doc_id", F.when(F.col("copy"), F.lit("")).otherwise(F.col("text")).alias("text"), "copy", "size", "id")
-    ranges = marked.repartitionByRange(max(1, -(-total // (2 * block_bytes))), "id").sortWithinPartitions("id", "text")
-    blocks = tmp.write(ranges.drop("id").mapInArrow(_to_blocks(block_bytes), BLOCK_SCHEMA), "blocks")
+            .withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64(F.lit("second"), "text")}))
+    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    order = F.col("doc_id").asc_nulls_last()
+    blocks = tmp.write(rows.repartitionByRange(max(1, -(-total // (2 * block_bytes))), order).sortWithinPartitions(order, "text")
+                       .mapInArrow(_to_blocks(block_bytes), BLOCK_SCHEMA), "blocks")
     release(spark)
+    each = blocks.select("block", F.posexplode(F.arrays_zip("h1", "h2", "sizes")).alias("at", "d")).filter(F.col("d.sizes") >= window)
+    each = each.select("block", "at", "d.h1", "d.h2")
+    first = each.groupBy("h1", "h2").agg(F.min(F.struct("block", "at")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    copies = tmp.write(each.join(first, ["h1", "h2"]).filter(F.struct("block", "at") != F.col("first"))
+                       .select("block", F.lit(COPY).alias("kind"), F.col("at").alias("bucket"), F.lit(None).cast("binary").alias("bits")), "copies")
     n_buckets = int(max(16, -(-total // bucket_bytes)))
-    ranks = tmp.write(blocks.mapInArrow(_send_samples(window, n_buckets), "bucket int, block long, keys binary")
-                      .groupBy("bucket").applyInArrow(_rank_samples, REPLY_SCHEMA), "ranks")
+    ranks = tmp.write(blocks.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(_send_samples(window, n_buckets), KEY_SCHEMA)
+                      .groupBy("bucket").applyInArrow(_rank_samples, REPLY_SCHEMA), "ranks").unionByName(copies)
     release(spark)
-    later = tmp.write(blocks.groupBy("block").cogroup(ranks.groupBy("block"))
-                      .applyInArrow(_send_windows(window, n_buckets), "bucket int, block long, keys binary")
+    later = tmp.write(blocks.groupBy("block").cogroup(ranks.groupBy("block")).applyInArrow(_send_windows(window, n_buckets), KEY_SCHEMA)
                       .groupBy("bucket").applyInArrow(_earliest, REPLY_SCHEMA), "later")
     release(spark)
     return (blocks.groupBy("block").cogroup(ranks.unionByName(later).groupBy("block"))
