@@ -82,7 +82,7 @@ def line_dedup(docs: DataFrame, size: int = 3) -> DataFrame:
     tmp = Scratch(docs.sparkSession, "line-dedup")
     keyed = _keyed(docs)
     drops = tmp.write(repeated_lines(keyed.select(_ID, _KEY, "text"), size), "drops")
-    joined = keyed.join(drops, [_ID, _KEY], "left")
+    joined = keyed.join(drops.hint("merge"), [_ID, _KEY], "left")      # it grows with the corpus: dealt by key at any size
     cut = joined.withColumn("__cut", _cut("text", _DROP))
     n_lines = F.coalesce(F.size(_counted(F.col("text"))), F.lit(0)).cast("long")
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
