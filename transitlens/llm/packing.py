@@ -108,10 +108,10 @@ class Packer:
 def _pack(tokenizer: str, end_id: int, size: int, open_windows: int):
     def pack(batches):
         part = TaskContext.get().partitionId()
-        packer, enc = Packer(size, open_windows, part << 36), encoder(tokenizer)
+        packer, enc = Packer(size, open_windows, part << 36), encoder(tokenizer, end_id)
         for batch in batches:
             docs = batch.column(0).to_pylist()
-            for doc, ids in zip(docs, enc.encode(batch.column(1), end_id)):
+            for doc, ids in zip(docs, enc.encode(batch.column(1))):
                 packer.document(doc, ids)
             yield packer.batch(part)
         packer.merge()

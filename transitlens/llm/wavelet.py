@@ -168,10 +168,10 @@ def read_file(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, WaveletMa
 
 def _write(tokenizer: str, end_id: int, shard_tokens: int):
     def write(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, end_id)
         docs, nulls, ids, size = [], [], [], 0
         for batch in batches:
-            for doc, one in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1), end_id)):
+            for doc, one in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1))):
                 docs.append(doc or 0)
                 nulls.append(doc is None)
                 ids.append(one)
