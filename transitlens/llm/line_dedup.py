@@ -20,13 +20,11 @@ extra columns stay as they are; empty table, no rows.
 """
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from transitlens.llm.common import Scratch
 
-_ID, _KEY, _DROP = "__id", "__key", "__drop"
+_ID, _KEY, _DROP, _FROM, _TO = "__id", "__key", "__drop", "__from", "__to"
 NULL_LAST = (1 << 63) - 1
 BLANK = "[ \\t\\x0B\\f\\r]"
 
@@ -51,7 +49,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
-    """(__id, __key, __drop): numbers of the lines to remove from a document."""
+    """(__id, __key, __drop): sorted numbers of the lines to remove from a document."""
     windows = (docs.select(_ID, _KEY, _counted(F.col("text")).alias("c"))
                .select(_ID, _KEY, F.explode(_windows(F.col("c"), size)).alias("w"))
                .select(_ID, _KEY, "w.lines", "w.h1", "w.h2"))
@@ -59,21 +57,23 @@ def repeated_lines(docs: DataFrame, size: int = 3) -> DataFrame:
     first = (windows.groupBy("h1", "h2").agg(F.min(here).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").select("h1", "h2", "first"))
     later = windows.join(first, ["h1", "h2"]).filter(here != F.col("first"))
-    return later.groupBy(_ID, _KEY).agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias(_DROP))
+    return later.groupBy(_ID, _KEY).agg(F.sort_array(F.array_distinct(F.flatten(F.collect_set("lines")))).alias(_DROP))
 
 
-@F.arrow_udf(T.StructType().add("text", T.StringType()).add("n_removed", T.LongType()))
-def _cut(text: pa.Array, drop: pa.Array) -> pa.Array:
-    out, n = [], []
-    for t, d in zip(text.to_pylist(), drop.to_pylist()):
-        if d:
-            lines = t.split("\n")
-            keep = np.ones(len(lines), bool)
-            keep[d] = False
-            t = "\n".join([l for l, k in zip(lines, keep.tolist()) if k])
-        out.append(t)
-        n.append(len(d) if d else 0)
-    return pa.StructArray.from_arrays([pa.array(out, pa.string()), pa.array(n, pa.int64())], names=["text", "n_removed"])
+def _runs(drop: str) -> tuple[Column, Column]:
+    """First lines of the runs of consecutive numbers in a sorted array, and the lines after the runs."""
+    d = F.col(drop)
+    start = F.filter(d, lambda x, i: (i == 0) | (F.get(d, i - 1) != x - 1))
+    end = F.transform(F.filter(d, lambda x, i: (i == F.size(d) - 1) | (F.get(d, i + 1) != x + 1)), lambda x: x + 1)
+    return start, end
+
+
+def _cut(text: Column) -> Column:
+    """Text without the runs [__from, __to) of lines: the stretches between them, joined."""
+    lines = F.split(text, "\n", -1)
+    begin, stop = F.concat(F.array(F.lit(0)), F.col(_TO)), F.concat(F.col(_FROM), F.array(F.size(lines)))
+    part = F.filter(F.arrays_zip(begin.alias("a"), stop.alias("b")), lambda p: p["b"] > p["a"])
+    return F.array_join(F.flatten(F.transform(part, lambda p: F.slice(F.col("__split"), p["a"] + 1, p["b"] - p["a"]))), "\n")
 
 
 def line_dedup(docs: DataFrame, size: int = 3) -> DataFrame:
@@ -81,10 +81,12 @@ def line_dedup(docs: DataFrame, size: int = 3) -> DataFrame:
     n_lines (those that count) and n_removed."""
     tmp = Scratch(docs.sparkSession, "line-dedup")
     keyed = _keyed(docs)
-    drops = tmp.write(repeated_lines(keyed.select(_ID, _KEY, "text"), size), "drops")
-    joined = keyed.join(drops.hint("merge"), [_ID, _KEY], "left")      # it grows with the corpus: dealt by key at any size
-    cut = joined.withColumn("__cut", _cut("text", _DROP))
+    found = repeated_lines(keyed.select(_ID, _KEY, "text"), size)
+    first, after = _runs(_DROP)
+    drops = tmp.write(found.select(_ID, _KEY, F.size(_DROP).cast("long").alias("__n"), first.alias(_FROM), after.alias(_TO)), "drops")
+    # it grows with the corpus: dealt by key at any size
+    joined = keyed.join(drops.hint("merge"), [_ID, _KEY], "left").withColumn("__split", F.split("text", "\n", -1))
     n_lines = F.coalesce(F.size(_counted(F.col("text"))), F.lit(0)).cast("long")
     keep = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
-    return cut.select(*keep, F.greatest(n_lines, F.lit(0)).alias("n_lines"), F.col("__cut.n_removed").alias("n_removed"),
-                      F.col("__cut.text").alias("text"))
+    return joined.select(*keep, F.greatest(n_lines, F.lit(0)).alias("n_lines"), F.coalesce("__n", F.lit(0)).cast("long").alias("n_removed"),
+                         F.when(F.col("__n").isNull(), F.col("text")).otherwise(_cut(F.col("text"))).alias("text"))
