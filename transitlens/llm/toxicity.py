@@ -208,46 +208,41 @@ def _highest(logit: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
     return best
 
 
-def _log_odds(rows: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
-    """Smoothed log-odds of each feature; rows: (feature, document) pairs, each once."""
-    pos = np.bincount(rows[:, 0], y[rows[:, 1]], n)
-    neg = np.bincount(rows[:, 0], 1 - y[rows[:, 1]], n)
-    return np.log((pos + 0.5) / (y.sum() + 1)) - np.log((neg + 0.5) / ((1 - y).sum() + 1))
+def _log_odds(pos: np.ndarray, seen: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Smoothed log-odds of features that ``seen`` documents hold, ``pos`` of them positive."""
+    return np.log((pos + 0.5) / (y.sum() + 1)) - np.log((seen - pos + 0.5) / ((1 - y).sum() + 1))
 
 
 def train(docs: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 96, most_words: int = 20_000, least_docs: int = 3,
           word_dropout: float = 0.0, seed: int = 11) -> Model:
-    words = [words_of(t) for t in docs]
-    seen: dict[bytes, int] = {}
-    for ws in words:
-        for w in set(ws):
-            seen[w] = seen.get(w, 0) + 1
-    kept = sorted((w for w, n in seen.items() if n >= least_docs), key=lambda w: (-seen[w], w))[:most_words]
+    number: dict[bytes, int] = {}
+    rows = [np.array([number.setdefault(w, len(number)) for w in words_of(t)], np.int32) for t in docs]
+    names = list(number)
+    seen, pos = np.zeros(len(names), np.int64), np.zeros(len(names))
+    gram_n, gram_pos = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    for r, label in zip(rows, y):
+        own = np.unique(r)
+        if len(own):
+            seen[own] += 1
+            pos[own] += label
+            b = np.unique(ngrams([names[i] for i in own])[0])
+            gram_n[b] += 1
+            gram_pos[b] += label
+    kept = sorted((w for w, n in zip(names, seen.tolist()) if n >= least_docs), key=lambda w: (-seen[number[w]], w))[:most_words]
     vocab = {w: i + 1 for i, w in enumerate(kept)}
-    names = sorted(seen)
-    number = {w: i for i, w in enumerate(names)}
     rng = np.random.default_rng(seed)
     word = rng.normal(0, 0.1, (len(vocab) + 1, D))
     gram = rng.normal(0, 0.1, (BUCKETS, D))
-    pairs = np.array([(vocab.get(w, 0), i) for i, ws in enumerate(words) for w in set(ws)], np.int64).reshape(-1, 2)
-    word[:, 0] = 0.5 * _log_odds(np.unique(pairs, axis=0), y, len(word))
+    at = np.array([number[w] for w in kept], np.int64)
+    word[1:, 0] = 0.5 * _log_odds(pos[at], seen[at], y)
     word[0, 0] = 0
-    bucket, owner = ngrams(names) if names else (np.zeros(0, np.int64),) * 2
-    cut = np.searchsorted(owner, np.arange(len(names) + 1))
-    held = []
-    for i, ws in enumerate(words):
-        own = sorted({number[w] for w in ws})
-        if own:
-            b = np.unique(np.concatenate([bucket[cut[w]:cut[w + 1]] for w in own]))
-            held.append(np.stack((b, np.full(len(b), i)), 1))
-    if held:
-        gram[:, 0] = 0.5 * _log_odds(np.concatenate(held), y, BUCKETS)
+    gram[:, 0] = 0.5 * _log_odds(gram_pos, gram_n, y)
     model = Model(vocab, word, gram, seed)
-    idx, size, doc = _grid([np.array([number[w] for w in ws], np.int64) for ws in words])
+    idx, size, doc = _grid(rows)
     first = {k: np.zeros_like(v) for k, v in model.p.items()}
     second = {k: np.zeros_like(v) for k, v in model.p.items()}
     step, share = 0, np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
-    table = lambda: model.inputs(names)[0]
+    table = lambda: np.concatenate([model.inputs(names[i:i + 20_000])[0] for i in range(0, len(names), 20_000)] or [np.zeros((0, 2 * D), np.float32)])
     for epoch in range(epochs):
         x = table()
         if epoch == 0:      # before the network has learnt, the window with the most telling words
@@ -346,11 +341,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_byte
     """Train on the bounded sample; the share of toxic labels if one class is missing."""
     marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1) and doc_id is not null")
     marked = marked.filter(~held_out())
-    some = (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(F.octet_length("text").between(1, sample_bytes))
-            .join(marked, "doc_id"))
-    rows = []
-    for k in (0, 1):
-        rows += some.filter(F.col("toxic") == k).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(sample_docs).collect()
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    sized = texts.select("doc_id", F.octet_length("text").alias("size")).filter(F.col("size").between(1, sample_bytes))
+    known = sized.select("doc_id").join(marked, "doc_id")                # numbers only: texts follow for the sample alone
+    pick = [known.filter(F.col("toxic") == k).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for k in (0, 1)]
+    some = pick[0].unionByName(pick[1])
+    rows = (texts.filter(F.octet_length("text").between(1, sample_bytes)).join(F.broadcast(some), "doc_id")
+            .orderBy("toxic", F.xxhash64("doc_id"), "text").collect())
     y = np.array([r["toxic"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.0
