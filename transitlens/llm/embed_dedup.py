@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from transitlens.llm.common import Scratch, release
-from transitlens.llm.graph import components
+from transitlens.llm.graph import components, forest
 
 
 def unit_rows(col: pa.Array, dim: int) -> np.ndarray:
@@ -166,24 +166,6 @@ def _place(index, visits: int):
     return place
 
 
-def _forest(p_ids: np.ndarray, h_ids: np.ndarray, p: np.ndarray, h: np.ndarray) -> tuple[list[int], list[int]]:
-    """Edges (vertex, smallest id of its component) of the links p_ids[p] - h_ids[h]."""
-    ids, inv = np.unique(np.concatenate((p_ids[p], h_ids[h])), return_inverse=True)
-    a, b = inv[:len(p)], inv[len(p):]
-    label = np.arange(len(ids))
-    while True:
-        low = np.minimum(label[a], label[b])
-        new = label.copy()
-        np.minimum.at(new, a, low)
-        np.minimum.at(new, b, low)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    at = np.flatnonzero(label != np.arange(len(ids)))
-    return ids[at].tolist(), ids[label[at]].tolist()
-
-
 def _compare(dim: int, least: float):
     """All pairs of one block: (0, vector, links) counts and (1, vector, vector) forest edges.
     A pair met from both ends is counted at each end by its own visit only."""
@@ -208,7 +190,7 @@ def _compare(dim: int, least: float):
                     kinds += [0] * len(at)
                     first += who[at].tolist()
                     second += n[at].tolist()
-                a, b = _forest(ids[P], ids[H], p, h)
+                a, b = forest(ids[P][p], ids[H][h])
                 kinds += [1] * len(a)
                 first += a
                 second += b

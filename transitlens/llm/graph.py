@@ -6,6 +6,7 @@ have one row per vertex on one side; nothing is gathered per vertex).
 """
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from transitlens.llm.common import Scratch
@@ -46,3 +47,21 @@ def components(edges: DataFrame, tmp: Scratch, name: str, most_rounds: int = 60)
 def _state(edges: DataFrame) -> tuple:
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
     return r[0], r[1]
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:
+    """Edges (vertex, smallest id of its component) that span the links a[i] - b[i] of one task."""
+    ids, inv = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = inv[:len(a)], inv[len(a):]
+    label = np.arange(len(ids))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    at = np.flatnonzero(label != np.arange(len(ids)))
+    return ids[at].tolist(), ids[label[at]].tolist()

@@ -15,10 +15,19 @@ Candidates are verified on full sets.  No group is expanded into pairs:
   table key and are dropped before keys are formed;
 * each round, every class is checked against one member ("pivot") of a table
   key it shares, the one it shares most keys with; verified links are merged
-  to components; keys whose classes are in one component are done;
-* after ``pivot_rounds`` rounds the few keys left with several components give
-  all their pairs across components, so no candidate pair stays untested unless
-  its ends are connected already.
+  to components; keys whose classes are in one component are done.  The first
+  pivot of a key is its most central class (most meetings over all keys), which
+  in a group of copies is the text they come from; later ones are drawn by hash;
+* after ``pivot_rounds`` rounds, the shingles of the classes in keys left with
+  several components are counted: only x of a class's shingles occur in another
+  component at all.  A pair whose sets reach the threshold t shares at least
+  t/(1+t) of the sum of their sizes, so a class with fewer than t of its
+  shingles outside is out: copies of one text that differ too much for a link
+  have shingles of their own and leave here, however many they are.  The rest
+  meet block by block, on the hashes of the first collection: a task takes two
+  blocks of at most about ``block`` classes, counts common shingles of all
+  pairs by a matrix product, and returns a spanning forest of the links.  No
+  candidate pair stays untested unless its ends are connected already.
 
 Defined cases: null or empty text, or text of white space, has an empty set and
 links with nothing; fewer words than a shingle make one shingle; rows that
@@ -33,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from transitlens.llm.common import Scratch, WordHasher, mix64, release, spans_of, texts
-from transitlens.llm.graph import components
+from transitlens.llm.graph import components, forest
 
 U64 = np.uint64
 SHINGLE = 5
@@ -146,7 +155,7 @@ def _sets(batches):
             h, off = shingle_sets(docs, hasher)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(np.diff(off), pa.int64()),
-                 pa.array([h[a:b].tobytes() for a, b in zip(off[:-1].tolist(), off[1:].tolist())], pa.binary())],
+                 pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))],
                 names=["id", "n", "set"])
 
 
@@ -155,8 +164,7 @@ def _verify(percent: int):
         for batch in batches:
             a, b = [], []
             for x, y, s, t in zip(*[batch.column(i) for i in range(4)]):
-                s, t = np.frombuffer(s.as_py(), U64), np.frombuffer(t.as_py(), U64)
-                both = np.concatenate((s, t))
+                both = np.concatenate((s.values.to_numpy(), t.values.to_numpy()))
                 both.sort(kind="stable")
                 same = int(np.count_nonzero(both[1:] == both[:-1]))
                 if 100 * same >= percent * (len(both) - same):
@@ -185,7 +193,49 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_verify(percent), "a long, b long"))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, collection: int = 10, per_key: int = 2, pivot_rounds: int = 3) -> DataFrame:
+def _shared_outside(open_ids: DataFrame, sets: DataFrame) -> DataFrame:
+    """(id, c, n, x): x of the n shingles occur in another component's classes as well."""
+    each = sets.join(open_ids, "id").select("id", "c", "n", F.explode("set").alias("s"))
+    wide = each.groupBy("s").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("s")
+    return each.join(wide, "s").groupBy("id", "c", "n").agg(F.count(F.lit(1)).alias("x"))
+
+
+def _meet(shared: DataFrame, reps: DataFrame, sets: DataFrame, percent: int, block: int) -> DataFrame:
+    """Links (a, b) that span those of all classes of ``shared`` with a common hash of the first collection."""
+    rows = shared.select("id", "c").join(reps, "id").select("id", "c", F.explode("u").alias("hu"))
+    size = (rows.groupBy("hu").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / block).alias("blocks"))
+            .filter("lo <> hi").select("hu", "blocks"))
+    mine = F.pmod(F.xxhash64("id"), F.col("blocks"))
+    dealt = (rows.join(size, "hu").withColumn("own", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select("id", "c", "hu", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own"))
+    return dealt.join(sets, "id").groupBy("hu", "i", "j").applyInArrow(_common(percent), "a long, b long").distinct()
+
+
+def _common(percent: int):
+    def common(table: pa.Table) -> pa.Table:
+        ids, c, n, own = (np.array(table[k].combine_chunks(), np.int64) for k in ("id", "c", "n", "own"))
+        col = table["set"].combine_chunks()
+        owner = np.repeat(np.arange(len(ids)), col.value_lengths().to_numpy())
+        _, at, seen = np.unique(col.flatten().to_numpy(), return_inverse=True, return_counts=True)
+        often = seen > 1                                # a shingle of one class alone is in no intersection
+        owner, at = owner[often[at]], (np.cumsum(often) - 1)[at[often[at]]]
+        both = np.zeros((len(ids), len(ids)), np.float32)
+        order = np.argsort(at, kind="stable")
+        owner, at = owner[order], at[order]
+        for lo in range(0, int(often.sum()), 4096):
+            part = slice(*np.searchsorted(at, [lo, lo + 4096]))
+            has = np.zeros((len(ids), 4096), np.float32)
+            has[owner[part], at[part] - lo] = 1
+            both += has @ has.T
+        link = ((100 + percent) * both.astype(np.int64) >= percent * (n[:, None] + n[None])) & (c[:, None] < c[None])
+        if (own != own[0]).any():
+            link &= own[:, None] != own[None]
+        a, b = forest(*(ids[k] for k in np.nonzero(link))) if link.any() else ([], [])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+    return common
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75, collection: int = 10, per_key: int = 2, pivot_rounds: int = 3, block: int = 400) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), a row per document."""
     spark = docs.sparkSession
     tmp = Scratch(spark, "minhash")
@@ -195,32 +245,35 @@ def near_duplicates(docs: DataFrame, percent: int = 75, collection: int = 10, pe
     classes = tmp.write(some.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("id")), "classes")
     reps = some.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "u", "v")
     keys = table_keys(reps)
-    tables = tmp.write(keys.distinct().join(keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
-                                            .filter("lo <> hi").select("key"), "key"), "tables")
+    met = tmp.write(keys.distinct().join(keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("met"))
+                                         .filter("lo <> hi").select("key", "met"), "key"), "met")
+    tables = tmp.write(met.select("key", "id").join(met.groupBy("id").agg(F.sum("met").alias("central")), "id"), "tables")
     release(spark)
     members = tables.select(F.col("id").alias("doc_id")).distinct()
-    sets = tmp.write(base.join(members, "doc_id", "left_semi").mapInArrow(_sets, "id long, n long, set binary"), "sets")
+    sets = tmp.write(base.join(members, "doc_id", "left_semi").mapInArrow(_sets, "id long, n long, set array<long>"), "sets")
     release(spark)
     links = comp = tested = None
     for r in range(pivot_rounds + 1):
         rows = tables.withColumn("c", F.col("id")) if comp is None else (
-            tables.join(comp, "id", "left").select("key", "id", F.coalesce("component", "id").alias("c")))
-        order = F.struct(F.lit(0) if r == 0 else F.xxhash64("id", "key", F.lit(r)), F.col("id"), F.col("c"))
+            tables.join(comp, "id", "left").select("key", "id", "central", F.coalesce("component", "id").alias("c")))
+        order = F.struct(-F.col("central") if r == 0 else F.xxhash64("id", "key", F.lit(r)), F.col("id"), F.col("c"))
         open_keys = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(order).alias("p"))
                      .filter("lo <> hi").select("key", F.col("p.id").alias("pivot"), F.col("p.c").alias("pc")))
         met = rows.join(open_keys, "key")
-        if r < pivot_rounds:
-            met = met.filter("c <> pc").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
-            if tested is not None:
-                met = met.join(tested.select(F.col("a").alias("id"), F.col("b").alias("pivot")), ["id", "pivot"], "left_anti")
-            pairs = met.groupBy("id").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("id").alias("a"), "b")
-        else:
-            one = met.select("key", F.col("id").alias("a"), F.col("c").alias("ca"))
-            two = met.select("key", F.col("id").alias("b"), F.col("c").alias("cb"))
-            pairs = one.join(two, "key").filter("ca < cb").select("a", "b").distinct()
-        pairs = tmp.write(pairs, f"pairs-{r}")
-        if pairs.isEmpty():
+        if r == pivot_rounds:
+            shared = tmp.write(_shared_outside(met.select("id", "c").distinct(), sets).filter(f"100 * x >= {percent} * n"), "shared")
+            found = tmp.write(_meet(shared, reps, sets, percent, block), f"links-{r}")
+            if not found.isEmpty():
+                links = found if links is None else links.unionByName(found)
+                comp = components(links, tmp, f"comp-{r}")
             break
+        met = met.filter("c <> pc").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
+        if tested is not None:
+            met = met.join(tested.select(F.col("a").alias("id"), F.col("b").alias("pivot")), ["id", "pivot"], "left_anti")
+        pairs = met.groupBy("id").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("id").alias("a"), "b")
+        pairs = tmp.write(pairs, f"pairs-{r}")
+        if pairs.isEmpty():         # every open pivot has been tried: go on to what is left
+            continue
         tested = pairs if tested is None else tested.unionByName(pairs)
         found = tmp.write(_checked(pairs, sets, percent), f"links-{r}")
         release(spark)
