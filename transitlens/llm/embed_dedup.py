@@ -4,9 +4,10 @@ Unit vectors are cut into halves; each half has its own codebook of K centroids
 (k-means on a bounded sample), and a vector's cell is its nearest centroid pair
 on the K x K grid.  Each vector visits cells by multi-sequence traversal: in the
 order of the sum of its two half distances.  How many cells it visits is set by
-measurement: a bounded set of sampled vectors is compared with all rows by brute
-force, and the fewest cells are taken at which ``recall`` of their true links
-are met from either end.  Every met pair is verified by cosine in double
+measurement: ``queries`` sampled vectors are compared with all rows by brute
+force, and the fewest cells are taken at which all true links of a share of
+``recall`` of them (of those that have any) are met from either end; a group of
+copies thus weighs no more than its vectors.  Every met pair is verified by cosine in double
 precision.
 
 Only vectors with equal labels (and equal lengths) meet.  Equal vectors are one
@@ -110,13 +111,13 @@ def _rank(d1: np.ndarray, d2: np.ndarray, cell: np.ndarray) -> np.ndarray:
 
 
 def _measure(index, queries: np.ndarray, q_ids: np.ndarray, q_group: list, least: float):
-    """Histogram of visits needed per true link of the sampled queries."""
+    """(query, most visits needed before a true link of it) as far as one task's rows tell."""
     def measure(batches):
         ix = index.value
         qd1, qd2 = ix.distances(queries)
         q_home = ix.home(qd1, qd2)
         groups = {g: np.array([i for i, h in enumerate(q_group) if h == g]) for g in set(q_group)}
-        tally: dict[int, int] = {}
+        most = np.full(len(queries), -1)
         for batch in batches:
             ids = np.array(batch.column(0), np.int64)
             grp = list(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()))
@@ -135,9 +136,9 @@ def _measure(index, queries: np.ndarray, q_ids: np.ndarray, q_group: list, least
                 if len(qi):
                     q, r = qs[qi], at[ri]
                     need = np.minimum(_rank(qd1[q], qd2[q], home[r]), _rank(d1[r], d2[r], q_home[q]))
-                    for v, n in zip(*np.unique(need, return_counts=True)):
-                        tally[int(v)] = tally.get(int(v), 0) + int(n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(tally), pa.int64()), pa.array(list(tally.values()), pa.int64())], names=["visits", "n"])
+                    np.maximum.at(most, q, need)
+        at = np.flatnonzero(most >= 0)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(most[at], pa.int64())], names=["query", "visits"])
     return measure
 
 
@@ -198,7 +199,7 @@ def _compare(dim: int, least: float):
     return compare
 
 
-def near_vectors(vectors: DataFrame, least: float = 0.93, recall: float = 0.995, sample: int = 20_000, queries: int = 512,
+def near_vectors(vectors: DataFrame, least: float = 0.93, recall: float = 0.995, sample: int = 20_000, queries: int = 4096, least_visits: int = 4,
                  cell_rows: int = 16, block: int = 1500) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per vector."""
     spark = vectors.sparkSession
@@ -222,13 +223,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, recall: float = 0.995,
         few = min(queries, len(x))
         group = list(zip(picked["label"].to_pylist()[:few], picked["dim"].to_pylist()[:few]))
         ask = _measure(index, x[:few], np.array(picked["id"].combine_chunks(), np.int64)[:few], group, least)
-        tally = (classes.select("id", "label", "dim", "embedding").mapInArrow(ask, "visits long, n long")
-                 .groupBy("visits").agg(F.sum("n").alias("n")).orderBy("visits").collect())
-        total, got, visits = sum(r["n"] for r in tally), 0, 1
-        for r in tally:
-            if got >= recall * total:
-                break
-            got, visits = got + r["n"], r["visits"] + 1
+        need = (classes.select("id", "label", "dim", "embedding").mapInArrow(ask, "query long, visits long")
+                .groupBy("query").agg(F.max("visits").alias("visits")).collect())            # at most ``queries`` rows
+        need = sorted(r["visits"] for r in need)
+        visits = max(least_visits, 1 + need[max(0, int(np.ceil(recall * len(need))) - 1)] if need else 1)
         placed = classes.select("id", "m", "label", "dim", "embedding").mapInArrow(_place(index, visits), PLACED)
         placed = tmp.write(placed, "placed")
         cells = placed.groupBy("label", "dim", "cell").agg(
