@@ -1,6 +1,7 @@
 """Helpers shared by the operators: scratch tables, Arrow text access, hashing."""
 from __future__ import annotations
 
+import ctypes
 import gc
 import time
 import uuid
@@ -51,6 +52,14 @@ def release(spark: SparkSession) -> None:
         time.sleep(0.2)
 
 
+def hand_back() -> None:
+    """Return memory that numpy has freed to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary Arrow array; null counts as empty."""
     if isinstance(col, pa.ChunkedArray):

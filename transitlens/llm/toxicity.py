@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import mix64, text_buffers
+from transitlens.llm.common import hand_back, mix64, text_buffers
 from transitlens.llm.decontam import _FOLD
 
 WINDOW, STRIDE = 64, 32
@@ -195,8 +195,8 @@ def _grid(docs: list[np.ndarray]):
         base += len(d)
     if not starts:
         return np.zeros((0, 1), np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    flat, size = np.concatenate(docs), np.array(size)
-    at = np.array(starts)[:, None] + np.minimum(np.arange(size.max())[None], size[:, None] - 1)
+    flat, size = np.concatenate(docs).astype(np.int32), np.array(size)
+    at = np.array(starts, np.int32)[:, None] + np.minimum(np.arange(size.max())[None], size[:, None] - 1).astype(np.int32)
     return flat[at], size, np.array(doc)
 
 
@@ -249,7 +249,7 @@ def train(docs: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 96, m
             known = np.where(np.arange(idx.shape[1])[None] < size[:, None], (x[:, 0] + x[:, D])[idx], 0)
             logit = np.sort(known, axis=1)[:, -3:].sum(1)
         else:
-            logit = np.concatenate([model.logits(x, idx[i:i + 4096], size[i:i + 4096]) for i in range(0, len(idx), 4096)])
+            logit = np.concatenate([model.logits(x, idx[i:i + 1024], size[i:i + 1024]) for i in range(0, len(idx), 1024)])
         best = _highest(logit, doc, len(docs))
         have = np.flatnonzero(best >= 0)
         rng.shuffle(have)
@@ -351,7 +351,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_byte
     y = np.array([r["toxic"] for r in rows], np.float64)
     if not len(y) or y.min() == y.max():
         return float(y.mean()) if len(y) else 0.0
-    return train([r["text"].encode() for r in rows], y)
+    model = train([r["text"].encode() for r in rows], y)
+    hand_back()
+    return model
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_bytes: int = 65_536) -> DataFrame:
