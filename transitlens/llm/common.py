@@ -53,8 +53,10 @@ def release(spark: SparkSession) -> None:
 
 
 def hand_back() -> None:
-    """Return memory that numpy has freed to the system, where the C library can."""
+    """Return freed memory of numpy (where the C library can) and Arrow to the system:
+    Python workers outlive their task, beside those of the next stage."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
     if trim is not None:
         trim(0)

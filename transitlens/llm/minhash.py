@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import Scratch, WordHasher, mix64, release, spans_of, texts
+from transitlens.llm.common import Scratch, WordHasher, hand_back, mix64, release, spans_of, texts
 from transitlens.llm.graph import components, forest
 
 U64 = np.uint64
@@ -93,7 +93,7 @@ def shingle_sets(docs: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> tup
     return h, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(docs)))))
 
 
-def _chunks(ids: list, docs: list[bytes], most: int = 2 << 20):
+def _chunks(ids: list, docs: list[bytes], most: int = 1 << 20):
     lo = size = 0
     for i, d in enumerate(docs):
         size += len(d)
@@ -145,6 +145,7 @@ def _sign(collection: int, per_key: int):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(d1), pa.array(d2), pa.array(u, longs), pa.array(v, longs)],
                     names=["doc_id", "n_shingles", "d1", "d2", "u", "v"])
+        hand_back()
     return sign
 
 
@@ -157,6 +158,7 @@ def _sets(batches):
                 [pa.array(ids, pa.int64()), pa.array(np.diff(off), pa.int64()),
                  pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))],
                 names=["id", "n", "set"])
+    hand_back()
 
 
 def _verify(percent: int):

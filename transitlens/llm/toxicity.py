@@ -274,7 +274,7 @@ def train(docs: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 96, m
 class Scorer:
     """Scores texts; keeps the projected inputs of a bounded number of words it has met."""
 
-    def __init__(self, model: Model, most_words: int = 250_000):
+    def __init__(self, model: Model, most_words: int = 150_000):
         self.model, self.most = model, most_words
         self._reset()
 
@@ -304,8 +304,8 @@ class Scorer:
         rows = [np.fromiter(map(self.no.__getitem__, d), np.int64, len(d)) for d in docs]
         idx, size, doc = _grid(rows)
         best = np.full(len(docs), -np.inf)
-        for lo in range(0, len(idx), 2048):
-            part = slice(lo, lo + 2048)
+        for lo in range(0, len(idx), 512):
+            part = slice(lo, lo + 512)
             np.maximum.at(best, doc[part], self.model.logits((self.f, self.b), idx[part], size[part]).astype(np.float64))
         best[np.isneginf(best)] = self.model.p["bias"][0]
         return 1 / (1 + np.exp(-best))
@@ -330,6 +330,7 @@ def _score(shared):
             raw, off = text_buffers(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(_scores(scorer, shared.value, raw, off), pa.float64())],
                                              names=["doc_id", "score"])
+        hand_back()
     return score
 
 
@@ -374,6 +375,7 @@ def _keep(shared):
         for batch in batches:
             raw, off = text_buffers(batch.column(batch.schema.get_field_index("text")))
             yield batch.filter(pa.array(_scores(scorer, shared.value, raw, off) < 0.5))
+        hand_back()
     return keep
 
 
