@@ -8,6 +8,7 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from transitlens.session import scratch_path
@@ -80,6 +81,20 @@ def text_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
+def pieces(batches, column: int | str, most: int = 1 << 20):
+    """Slices of Arrow batches with about ``most`` bytes of text each (one row at least).
+    Nothing is copied, so a task holds one batch and works on one slice."""
+    for batch in batches:
+        at = column if isinstance(column, int) else batch.schema.get_field_index(column)
+        end = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(batch.column(at)), 0), np.int64))
+        lo = 0
+        while lo < len(batch):
+            before = int(end[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(end, before + most, side="right")))
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def texts(col: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each row; null counts as empty."""
     raw, off = text_buffers(col)

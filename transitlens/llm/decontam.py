@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import text_buffers
+from transitlens.llm.common import hand_back, pieces, text_buffers
 
 WINDOW = 13
 COVERAGE = 20
@@ -187,7 +187,7 @@ def _automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[S
 def _scan(shared):
     def scan(batches):
         auto = shared.value
-        for batch in batches:
+        for batch in pieces(batches, 1):
             raw, off = text_buffers(batch.column(1))
             body = raw.tobytes().translate(_FOLD)
             n, spans, items = [], [], []
@@ -257,13 +257,11 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
 def _clean(shared, coverage: int):
     def clean(batches):
         auto = shared.value
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             at = batch.schema.get_field_index("text")
             raw, off = text_buffers(batch.column(at))
-            raw = raw.tobytes()
-            body = raw.translate(_FOLD)
-            keep, new = [], []
-            nulls = batch.column(at).is_null().to_pylist()
+            body = raw.tobytes().translate(_FOLD)
+            keep, cut = [], {}
             for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
                 words = body[a:b].split()
                 spans, _ = auto.hits(words)
@@ -271,9 +269,13 @@ def _clean(shared, coverage: int):
                 if n_hit and coverage * n_hit >= len(words):
                     continue
                 keep.append(i)
-                new.append(None if nulls[i] else (cut_words(raw[a:b], spans) if spans else raw[a:b]).decode())
-            out = batch.take(pa.array(keep, pa.int64()))
-            yield out.set_column(at, batch.schema.field(at).name, pa.array(new, batch.schema.field(at).type))
+                if spans:
+                    cut[i] = cut_words(raw[a:b].tobytes(), spans).decode()
+            if cut:
+                new = [cut.get(i, t) for i, t in enumerate(batch.column(at).to_pylist())]
+                batch = batch.set_column(at, batch.schema.field(at).name, pa.array(new, batch.schema.field(at).type))
+            yield batch if len(keep) == len(batch) else batch.take(pa.array(keep, pa.int64()))
+        hand_back()
     return clean
 
 

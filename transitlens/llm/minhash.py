@@ -41,7 +41,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import Scratch, WordHasher, hand_back, mix64, release, spans_of, texts
+from transitlens.llm.common import Scratch, WordHasher, hand_back, mix64, pieces, release, spans_of, texts
 from transitlens.llm.graph import components, forest
 
 U64 = np.uint64
@@ -93,17 +93,6 @@ def shingle_sets(docs: list[bytes], hasher: WordHasher, k: int = SHINGLE) -> tup
     return h, np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(docs)))))
 
 
-def _chunks(ids: list, docs: list[bytes], most: int = 1 << 20):
-    lo = size = 0
-    for i, d in enumerate(docs):
-        size += len(d)
-        if size >= most:
-            yield ids[lo:i + 1], docs[lo:i + 1]
-            lo, size = i + 1, 0
-    if lo < len(docs):
-        yield ids[lo:], docs[lo:]
-
-
 def collections(h: np.ndarray, off: np.ndarray, collection: int, per_key: int) -> np.ndarray:
     """Hashes of both collections, a row of 2*collection for each non-empty set."""
     n = 2 * collection * per_key
@@ -126,38 +115,37 @@ SIGNATURE = "doc_id long, n_shingles long, d1 long, d2 long, u array<long>, v ar
 def _sign(collection: int, per_key: int):
     def sign(batches):
         hasher = WordHasher()
-        for batch in batches:
-            for ids, docs in _chunks(batch.column(0).to_pylist(), texts(batch.column(1))):
-                h, off = shingle_sets(docs, hasher)
-                n = np.diff(off)
-                full = np.flatnonzero(n)
-                d1, d2 = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
-                u = v = [None] * len(docs)
-                if len(full):
-                    at = off[:-1][full]
-                    d1[full] = np.add.reduceat(mix64(h + U64(7)), at).view(np.int64)
-                    d2[full] = np.add.reduceat(mix64(h ^ U64(0xA5A5A5A5A5A5A5A5)), at).view(np.int64)
-                    keys = collections(h, off, collection, per_key).view(np.int64)
-                    u, v = [None] * len(docs), [None] * len(docs)
-                    for i, row in zip(full.tolist(), keys.tolist()):
-                        u[i], v[i] = row[:collection], row[collection:]
-                longs = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, pa.int64()), pa.array(n, pa.int64()), pa.array(d1), pa.array(d2), pa.array(u, longs), pa.array(v, longs)],
-                    names=["doc_id", "n_shingles", "d1", "d2", "u", "v"])
+        for batch in pieces(batches, 1):
+            ids, docs = batch.column(0), texts(batch.column(1))
+            h, off = shingle_sets(docs, hasher)
+            n = np.diff(off)
+            full = np.flatnonzero(n)
+            d1, d2 = np.zeros(len(docs), np.int64), np.zeros(len(docs), np.int64)
+            u = v = [None] * len(docs)
+            if len(full):
+                at = off[:-1][full]
+                d1[full] = np.add.reduceat(mix64(h + U64(7)), at).view(np.int64)
+                d2[full] = np.add.reduceat(mix64(h ^ U64(0xA5A5A5A5A5A5A5A5)), at).view(np.int64)
+                keys = collections(h, off, collection, per_key).view(np.int64)
+                u, v = [None] * len(docs), [None] * len(docs)
+                for i, row in zip(full.tolist(), keys.tolist()):
+                    u[i], v[i] = row[:collection], row[collection:]
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1), pa.array(d2), pa.array(u, longs), pa.array(v, longs)],
+                names=["doc_id", "n_shingles", "d1", "d2", "u", "v"])
         hand_back()
     return sign
 
 
 def _sets(batches):
     hasher = WordHasher()
-    for batch in batches:
-        for ids, docs in _chunks(batch.column(0).to_pylist(), texts(batch.column(1))):
-            h, off = shingle_sets(docs, hasher)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(np.diff(off), pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))],
-                names=["id", "n", "set"])
+    for batch in pieces(batches, 1):
+        h, off = shingle_sets(texts(batch.column(1)), hasher)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).cast(pa.int64()), pa.array(np.diff(off), pa.int64()),
+             pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(h.view(np.int64)))],
+            names=["id", "n", "set"])
     hand_back()
 
 

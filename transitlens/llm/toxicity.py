@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import hand_back, mix64, text_buffers
+from transitlens.llm.common import hand_back, mix64, pieces, text_buffers
 from transitlens.llm.decontam import _FOLD
 
 WINDOW, STRIDE = 64, 32
@@ -312,21 +312,16 @@ class Scorer:
 
 
 def _scores(scorer: Scorer | None, prior, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
-    n = len(off) - 1
     if scorer is None:
-        return np.full(n, float(prior))
-    body, out, lo = raw.tobytes().translate(_FOLD), [np.zeros(0)], 0
-    while lo < n:
-        hi = max(lo + 1, min(n, int(np.searchsorted(off, off[lo] + (1 << 20), side="right")) - 1))
-        out.append(scorer([body[off[i]:off[i + 1]].split() for i in range(lo, hi)]))
-        lo = hi
-    return np.concatenate(out)
+        return np.full(len(off) - 1, float(prior))
+    body = raw.tobytes().translate(_FOLD)
+    return scorer([body[a:b].split() for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
 
 
 def _score(shared):
     def score(batches):
         scorer = Scorer(shared.value) if isinstance(shared.value, Model) else None
-        for batch in batches:
+        for batch in pieces(batches, 1):
             raw, off = text_buffers(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(_scores(scorer, shared.value, raw, off), pa.float64())],
                                              names=["doc_id", "score"])
@@ -372,7 +367,7 @@ def score_with(docs: DataFrame, model: Model | float) -> DataFrame:
 def _keep(shared):
     def keep(batches):
         scorer = Scorer(shared.value) if isinstance(shared.value, Model) else None
-        for batch in batches:
+        for batch in pieces(batches, "text"):
             raw, off = text_buffers(batch.column(batch.schema.get_field_index("text")))
             yield batch.filter(pa.array(_scores(scorer, shared.value, raw, off) < 0.5))
         hand_back()
