@@ -1,7 +1,6 @@
+import math
 import random
 
-from pyspark.sql import functions as F
-
 from tests.conftest import rows
 from transitlens.config import Params
 from transitlens.operators import bunching
@@ -10,10 +9,21 @@ SCHEMA = "snapshot_id string, route_id string, vehicle_id string, lat double, lo
 M_PER_DEG = 6371000.0 * 3.141592653589793 / 180.0
 
 
-def brute(spark, df, p=Params()):
-    pairs = bunching.close_pairs_bruteforce(df, p)
-    return rows(pairs.select("snapshot_id", "route_id", F.col("v1").alias("vehicle_id"))
-                .union(pairs.select("snapshot_id", "route_id", F.col("v2").alias("vehicle_id"))).distinct())
+def brute(df, p=Params()):
+    """All pairs of a snapshot and route, in plain Python."""
+    pts = [r for r in df.select("snapshot_id", "route_id", "vehicle_id", "lat", "lon", "is_moving").collect()
+           if r["is_moving"] and r["snapshot_id"] is not None and r["route_id"] is not None]
+
+    def metres(a, b):
+        x, y = (a, b) if a["vehicle_id"] < b["vehicle_id"] else (b, a)
+        f, g = math.radians(x["lat"]), math.radians(y["lat"])
+        h = math.sin((g - f) / 2) ** 2 + math.cos(f) * math.cos(g) * math.sin(math.radians(y["lon"] - x["lon"]) / 2) ** 2
+        return 2 * 6371000.0 * math.asin(min(1.0, math.sqrt(h)))
+    groups = {}
+    for r in pts:
+        groups.setdefault((r["snapshot_id"], r["route_id"]), []).append(r)
+    return sorted({(*k, a["vehicle_id"]) for k, g in groups.items() for a in g for b in g
+                   if a["vehicle_id"] != b["vehicle_id"] and metres(a, b) < p.bunch_m})
 
 
 def test_threshold_is_strict(spark):
@@ -51,7 +61,7 @@ def test_grid_method_equals_all_pairs(spark):
                 lat, lon = 28.5 + rnd.uniform(0, 0.05), 77.0 + rnd.uniform(0, 0.05)
             recs.append((f"s{s}", str(i % 3), f"v{i:04d}", lat, lon, rnd.random() < 0.8))
     df = spark.createDataFrame(recs, SCHEMA)
-    assert rows(bunching.close_vehicles(df)) == brute(spark, df)
+    assert rows(bunching.close_vehicles(df)) == brute(df)
 
 
 def test_grid_method_on_fixture(spark):
@@ -59,7 +69,7 @@ def test_grid_method_on_fixture(spark):
     from transitlens.sources import feed, fixtures
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet")
     cleaned = P.clean(feed.positions_for_speed(fixtures.raw_feed(ev)))
-    assert rows(bunching.close_vehicles(cleaned)) == brute(spark, cleaned)
+    assert rows(bunching.close_vehicles(cleaned)) == brute(cleaned)
 
 
 def test_null_snapshot_never_pairs(spark):
@@ -79,7 +89,5 @@ def test_salted_hot_cells_equal_all_pairs(spark):
         lat, lon = 28.6 + rnd.uniform(0, 0.008), 77.2 + rnd.uniform(0, 0.008)
         recs.append(("s", "1", f"v{i:04d}", lat, lon, True))
     df = spark.createDataFrame(recs, SCHEMA)
-    p = Params(salt_rows=20, max_salt=8)
-    assert rows(bunching.close_vehicles(df, p)) == brute(spark, df)
-    # list of hot cells above the broadcast bound: falls back to the unsalted join
-    assert rows(bunching.close_vehicles(df, Params(salt_rows=20, max_salted_keys=0))) == brute(spark, df)
+    p = Params(salt_rows=20)
+    assert rows(bunching.close_vehicles(df, p)) == brute(df)

@@ -31,7 +31,7 @@ def test_json_array_snapshots_and_static_reader(spark, tmp_path):
     (st / "stops.txt").write_text("stop_id,stop_name,stop_lat,stop_lon\nS1,One,28.6,77.2\n")
     (st / "trips.txt").write_text("﻿route_id,trip_id\nR1,T1\n", encoding="utf-8")
     (st / "routes.txt").write_text("route_id,route_short_name,route_long_name\nR1,1,Route One\n")
-    stop_times, stops, trips, routes = feed.read_static(spark, str(st))
+    stop_times, stops, trips, routes = (feed.read_static(spark, str(st))[t] for t in ("stop_times", "stops", "trips", "routes"))
     assert sorted((r["stop_id"], r["stop_sequence"], r["sched_arrival_sec"]) for r in stop_times.collect()) == [
         ("S1", 1, 90600), ("S2", None, None)]
     assert trips.first()["trip_id"] == "T1"

@@ -4,6 +4,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
+from tests.test_bunching import brute
 from transitlens.functions import geo
 from transitlens.operators import bunching
 
@@ -20,10 +21,7 @@ point = st.tuples(st.sampled_from(["s1", "s2"]), st.sampled_from(["1", "2"]),
 @given(st.lists(point, min_size=2, max_size=60))
 def test_grid_equals_all_pairs(spark, pts):
     df = spark.createDataFrame(pts, SCHEMA)
-    pairs = bunching.close_pairs_bruteforce(df)
-    want = rows(pairs.select("snapshot_id", "route_id", F.col("v1").alias("vehicle_id"))
-                .union(pairs.select("snapshot_id", "route_id", F.col("v2").alias("vehicle_id"))).distinct())
-    assert rows(bunching.close_vehicles(df)) == want
+    assert rows(bunching.close_vehicles(df)) == brute(df)
 
 
 coord = st.tuples(st.floats(-80, 80, allow_nan=False), st.floats(-179, 179, allow_nan=False))

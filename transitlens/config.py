@@ -7,7 +7,7 @@ pipeline uses; they must stay equal for results to match.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 # Fixed values that results depend on (must equal the reference's).
@@ -59,19 +59,13 @@ class Params:
     # are always closer than bunch_m (see operators/bunching.py); coarse cells
     # bound the probe join.  Sizes are in degrees.
     coarse_cell_deg: float = 0.01
-    # Explicit salting of hot coarse cells in the bunching probe join: a cell
-    # with more than salt_rows target points is split over ceil(n / salt_rows)
-    # salts (at most max_salt).  The hot-cell list has at most
-    # total / salt_rows rows and is broadcast only below max_salted_keys;
-    # otherwise AQE skew-join handling is left to split the partitions.
+    # A coarse cell of the bunching probe join is dealt over as many salts as
+    # it has multiples of this many points.
     salt_rows: int = 2_000_000
-    max_salt: int = 512
-    max_salted_keys: int = 100_000
     # Nearest-stop tie-break rounds the distance to this many decimals first.
     stop_dist_dp: int = 1
     # Strict bunching also requires the flagged ping itself to be moving.
     strict_bunching: bool = False
-    extra: dict = field(default_factory=dict, compare=False)
 
 
 DEFAULT = Params()

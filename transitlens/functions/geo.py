@@ -34,21 +34,6 @@ def fine_cell_deg(within_m: float, radius_m: float = EARTH_RADIUS_M, margin: flo
     return math.degrees(margin * within_m / (2.0 * radius_m))
 
 
-def fine_cell(lat, lon, cell_deg: float) -> Column:
-    """struct(fy, fx) of the fine cell containing the point."""
-    return F.struct(
-        F.floor(_c(lat) / F.lit(cell_deg)).alias("fy"),
-        F.floor(_c(lon) / F.lit(cell_deg)).alias("fx"),
-    )
-
-
-def coarse_cell(lat, lon, cell_deg: float) -> Column:
-    return F.struct(
-        F.floor(_c(lat) / F.lit(cell_deg)).alias("cy"),
-        F.floor(_c(lon) / F.lit(cell_deg)).alias("cx"),
-    )
-
-
 def reach_deg(lat, within_m: float, radius_m: float = EARTH_RADIUS_M):
     """(dlat, dlon) in degrees that bound every point closer than ``within_m``.
 

@@ -18,8 +18,7 @@ is exact but never enumerates all pairs:
    joined with the points of those coarse cells, with the exact haversine
    test as the join condition.  Probes per coarse cell are bounded by the
    number of fine cells that can reach it, so the join does work linear in
-   the number of points; a coarse cell holding a huge share of the points is
-   split by AQE's skew-join handling.
+   the number of points; a coarse cell with many points is dealt over salts.
 3. The flag is joined back on (snapshot, route, vehicle), like the reference,
    so every ping of a flagged vehicle in that snapshot is flagged (trap 2);
    ``strict_bunching`` additionally requires the ping itself to be moving.
@@ -74,44 +73,22 @@ def close_vehicles(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
     dist = F.when(first, haversine_m("plat", "plon", "tlat", "tlon")).otherwise(
         haversine_m("tlat", "tlon", "plat", "plon"))
     ckey = KEY + ["cy", "cx"]
-    probes, targets = _salt_hot_cells(probes, targets, ckey, p)
+    probes, targets = _salted(probes, targets, ckey, p)
     cond = [probes[c] == targets[c] for c in ckey + ["_salt"]] + [F.col("pv") != F.col("tv"), dist < F.lit(p.bunch_m)]
-    matched = probes.join(targets, cond).select(*(probes[c] for c in KEY), F.col("pv").alias("vehicle_id"))
+    # the first hit of a probe settles it
+    matched = probes.join(targets, cond, "left_semi").select(*KEY, F.col("pv").alias("vehicle_id"))
     return dense.unionByName(matched).distinct()
 
 
-def _salt_hot_cells(probes: DataFrame, targets: DataFrame, ckey: list[str], p: Params):
-    """Split coarse cells holding more than ``p.salt_rows`` target points.
-
-    Each target row of a hot cell goes to one of ``s`` salts (hash of its
-    content) and every probe of that cell is replicated to all ``s`` salts,
-    so every (probe, target) pair still meets exactly once.  The hot-cell list
-    is found with one count aggregate; it has at most total / salt_rows rows
-    and is broadcast only when it is also below ``max_salted_keys``."""
-    counts = targets.groupBy(*ckey).agg(F.count(F.lit(1)).alias("_n"))
-    hot = counts.filter(F.col("_n") > F.lit(p.salt_rows))
-    n_hot = hot.count()
-    if n_hot == 0 or n_hot > p.max_salted_keys:
-        return probes.withColumn("_salt", F.lit(0)), targets.withColumn("_salt", F.lit(0))
-    hot = F.broadcast(hot.select(*ckey, F.least(F.ceil(F.col("_n") / F.lit(p.salt_rows)),
-                                               F.lit(p.max_salt)).cast("int").alias("_s")))
-    t = targets.join(hot, ckey, "left").withColumn(
-        "_salt", F.when(F.col("_s").isNull(), F.lit(0))
-                  .otherwise(F.pmod(F.xxhash64("tv", "tlat", "tlon"), F.col("_s")).cast("int"))).drop("_s")
-    pr = probes.join(hot, ckey, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_s").isNull(), F.array(F.lit(0)))
-                            .otherwise(F.sequence(F.lit(0), F.col("_s") - 1)))).drop("_s")
-    return pr, t
-
-
-def close_pairs_bruteforce(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Reference formulation (all pairs of a snapshot-route group); for tests on
-    small fixtures only."""
-    m = _moving_points(pings)
-    a = m.select(*KEY, F.col("vehicle_id").alias("v1"), F.col("lat").alias("lat1"), F.col("lon").alias("lon1"))
-    b = m.select(*KEY, F.col("vehicle_id").alias("v2"), F.col("lat").alias("lat2"), F.col("lon").alias("lon2"))
-    return (a.join(b, KEY).filter(F.col("v1") < F.col("v2"))
-             .filter(haversine_m("lat1", "lon1", "lat2", "lon2") < p.bunch_m))
+def _salted(probes: DataFrame, targets: DataFrame, ckey: list[str], p: Params) -> tuple[DataFrame, DataFrame]:
+    """Deal the targets of a coarse cell over ceil(n / salt_rows) salts, n being
+    the cell's own count, and send every probe of the cell to each of them, so
+    a pair meets exactly once however many points a cell holds."""
+    salts = (targets.groupBy(*ckey).agg(F.ceil(F.count(F.lit(1)) / F.lit(p.salt_rows)).alias("_s")).filter("_s > 1"))
+    n = F.coalesce(F.col("_s"), F.lit(1))
+    dealt = targets.join(salts, ckey, "left").withColumn("_salt", F.pmod(F.xxhash64("tv", "tlat", "tlon"), n)).drop("_s")
+    every = probes.join(salts, ckey, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), n - 1))).drop("_s")
+    return every, dealt
 
 
 def flag_bunching(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:

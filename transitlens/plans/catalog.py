@@ -132,11 +132,13 @@ def _r():
 
 
 @register("dim_date", with_ctes("warehouse") + """
-SELECT * FROM dim_date WHERE date_key IN (SELECT date_key FROM fact_rh)""")
+SELECT d.*, CAST(coalesce(f.n, 0) AS BIGINT) AS n_facts
+FROM dim_date d LEFT JOIN (SELECT date_key, count(*) AS n FROM fact_rh GROUP BY date_key) f USING (date_key)""")
 def q_dim_date(spark, sf_dir):
-    """Date dimension rows referenced by the route-hour facts."""
+    """The whole date dimension, with the route-hour facts of each date."""
     wh = _wh(spark, sf_dir)
-    return wh.dim_date.join(wh.fact_route_hour.select("date_key").distinct(), "date_key", "left_semi")
+    facts = wh.fact_route_hour.groupBy("date_key").agg(F.count(F.lit(1)).alias("n"))
+    return wh.dim_date.join(facts, "date_key", "left").withColumn("n_facts", F.coalesce("n", F.lit(0))).drop("n")
 
 
 @register("dim_hour", with_ctes("warehouse") + """
@@ -598,7 +600,7 @@ def _static(spark, sf_dir):
     from transitlens.sources import feed, fixtures
     T = Tables(spark, sf_dir)
     st, sp, tr, ro = fixtures.static_timetable(T("lineitem"), T("supplier"), T("orders"), T("customer"))
-    return feed.static_frames(st, sp, tr, ro)
+    return tuple(feed.static_frames(stop_times=st, stops=sp, trips=tr, routes=ro).values())
 
 
 @register("snapshot_profile", with_ctes("raw") + """
