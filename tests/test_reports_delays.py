@@ -115,3 +115,13 @@ def test_insight_prompt_format(spark):
     assert text.endswith("beyond one short suggestion.")
     assert lines.index("- Route r1: 18.2% bunched (2 of 11 moving pings)") > lines.index(
         "Routes with the highest bus-bunching rate (same route, buses within 300m):")
+
+
+def test_malformed_stops_are_no_candidates(spark):
+    from transitlens.operators import delays
+    rows = [("v", 1, "t", None, 10, 1, "s1"), ("v", 1, "t", 5.0, 20, 2, "s2"), ("v", 1, "t", 1.0, None, 3, "s3")]
+    cand = spark.createDataFrame([(*r, "n", "r", 28.5, 77.0, 0.0) for r in rows],
+                                 "vehicle_id string, obs_epoch long, trip_id string, dist_to_stop_m double, sched_arrival_sec long, "
+                                 "stop_sequence int, stop_id string, stop_name string, route_id_rt string, lat double, lon double, speed double")
+    assert [r["stop_id"] for r in delays.nearest_stop(cand).collect()] == ["s2"]
+    assert [tuple(r) for r in delays.unusable_stops(cand).collect()] == [("t", 2)]

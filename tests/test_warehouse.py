@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import rows
@@ -43,13 +44,13 @@ def test_merge_partial_columns_and_idempotence(spark):
 def test_upsert_table_rewrites_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "fact")
     a = spark.createDataFrame([(1, "d1", 1.0), (2, "d1", 2.0), (3, "d2", 3.0)], "k int, day string, v double")
-    W.upsert_table(spark, path, a, ["k"], "day", staging=str(tmp_path / "stg1"))
+    W.upsert_table(spark, path, a, ["k"], "day")
     b = spark.createDataFrame([(2, "d1", 20.0), (4, "d3", 4.0)], "k int, day string, v double")
-    n = W.upsert_table(spark, path, b, ["k"], "day", staging=str(tmp_path / "stg2"))
+    n = W.upsert_table(spark, path, b, ["k"], "day")
     assert n == 3  # d1 (2 rows) and d3 (1 row) were rewritten, d2 untouched
     got = rows(spark.read.parquet(path), "k", "day", "v")
     assert got == [(1, "d1", 1.0), (2, "d1", 20.0), (3, "d2", 3.0), (4, "d3", 4.0)]
-    W.upsert_table(spark, path, b, ["k"], "day", staging=str(tmp_path / "stg3"))
+    W.upsert_table(spark, path, b, ["k"], "day")
     assert rows(spark.read.parquet(path), "k", "day", "v") == got          # idempotent
 
 
@@ -78,3 +79,20 @@ def test_write_partitioned_clusters_and_keeps_rows(spark, tmp_path):
     W.write_partitioned(df, str(tmp_path / "t"), "d", ["h"])
     back = spark.read.parquet(str(tmp_path / "t"))
     assert back.count() == 2000 and back.select("d").distinct().count() == 3
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_upsert_keeps_what_other_writers_did(spark, tmp_path, mode):
+    was = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        path, schema = str(tmp_path / "t"), "k int, v int, day string"
+        W.upsert_table(spark, path, spark.createDataFrame([(1, 1, "d1"), (2, 1, "d2")], schema), ["k"], "day")
+        W.upsert_table(spark, path, spark.createDataFrame([(1, 5, "d1")], schema), ["k"], "day")
+        (spark.createDataFrame([(1, 99, "d1")], schema).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(path))                                        # another writer
+        n = W.upsert_table(spark, path, spark.createDataFrame([(2, 7, "d2"), (3, 8, "d2")], schema), ["k"], "day")
+        assert n == 2
+        assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, 99), (2, 7), (3, 8)]
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", was)

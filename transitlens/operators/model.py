@@ -123,25 +123,41 @@ def importances(model: PipelineModel) -> DataFrame:
     return s.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+# "seen" and "unseen" are fixed values: the texts of the scoring answer.
+NOTES = {
+    "seen": "using this route's historical average speed as a feature",
+    "unseen": "route not seen before - using the fleet-wide average speed instead",
+    "hour": "error: hour_key must be 0 to 23",
+    "day": "error: day_of_week must be 1 to 7",
+    "empty": "error: no route-hour with enough moving pings to compare with",
+}
+
+
 def score(model: PipelineModel, requests: DataFrame, rh_view: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """M9: requests (route_id, hour_key, day_of_week) -> predicted speed, the route's
     historical mean over all qualifying rows (global mean for unseen routes) and
-    a note.  With no qualifying rows at all the mean is null instead of failing."""
+    a note.  Every request gives one row: one that is out of range, or meets no
+    qualifying rows at all, has a null prediction and a note that says why."""
     q = rh_view.filter(F.col("n_moving") >= p.min_moving)
     hist = q.groupBy("route_id").agg(F.avg(F.col(LABEL).cast("double")).alias("_ravg"))
     glob = q.agg(F.avg(F.col(LABEL).cast("double")).alias("_gavg"))
-    bad = ~(F.col("hour_key").between(0, 23) & F.col("day_of_week").between(1, 7))
-    x = (requests.withColumn("_bad", bad).join(hist, "route_id", "left").crossJoin(F.broadcast(glob))
-                 .withColumn("route_avg_speed", F.coalesce("_ravg", "_gavg")))
-    x = time_features(x.withColumns({"hour_key": F.col("hour_key").cast("int"),
-                                     "day_of_week": F.col("day_of_week").cast("int")}), p)
-    out = model.transform(x.filter(~F.col("_bad") & F.col("route_avg_speed").isNotNull()))
+    hour, day = F.col("hour_key").try_cast("int"), F.col("day_of_week").try_cast("int")
+    asked = requests.withColumn("_request", F.struct("route_id", "hour_key", "day_of_week"))
+    x = (asked.join(hist, "route_id", "left").crossJoin(F.broadcast(glob))
+              .withColumns({"route_avg_speed": F.coalesce("_ravg", "_gavg"),
+                            "_why": F.when(~F.coalesce(hour.between(0, 23), F.lit(False)), F.lit(NOTES["hour"]))
+                                     .when(~F.coalesce(day.between(1, 7), F.lit(False)), F.lit(NOTES["day"]))}))
+    x = x.withColumn("_why", F.coalesce("_why", F.when(F.col("route_avg_speed").isNull(), F.lit(NOTES["empty"]))))
+    fine = F.col("_why").isNull()
+    # the model never sees a request it cannot answer; such a row carries stand-ins and loses its prediction below
+    x = time_features(x.withColumns({"hour_key": F.when(fine, hour).otherwise(0), "day_of_week": F.when(fine, day).otherwise(1),
+                                     "_avg": F.col("route_avg_speed"), "route_avg_speed": F.coalesce("route_avg_speed", F.lit(0.0))}), p)
+    out = model.transform(x)
+    note = F.when(F.col("_ravg").isNull(), F.lit(NOTES["unseen"])).otherwise(F.lit(NOTES["seen"]))
     return out.select(
-        "route_id", "hour_key", "day_of_week",
-        dec_round("prediction", 2).alias("predicted_speed_kmph"),
-        dec_round("route_avg_speed", 2).alias("route_historical_avg_kmph"),
-        F.when(F.col("_ravg").isNull(), F.lit("route not seen before - using the fleet-wide average speed instead"))
-         .otherwise(F.lit("using this route's historical average speed as a feature")).alias("note"))
+        "_request.route_id", "_request.hour_key", "_request.day_of_week",
+        F.when(F.col("_why").isNull(), dec_round("prediction", 2)).alias("predicted_speed_kmph"),
+        dec_round("_avg", 2).alias("route_historical_avg_kmph"), F.coalesce("_why", note).alias("note"))
 
 
 def save(model: PipelineModel, path: str) -> None:

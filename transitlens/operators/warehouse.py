@@ -206,27 +206,35 @@ def touched_slice(target: DataFrame, source: DataFrame, part_col: str) -> DataFr
 
 
 def upsert_table(spark: SparkSession, path: str, source: DataFrame, keys: list[str], part_col: str,
-                 update_cols: list[str] | None = None, touch: dict | None = None,
-                 staging: str | None = None) -> int:
+                 update_cols: list[str] | None = None, touch: dict | None = None) -> int:
     """Upsert into a Parquet table partitioned by ``part_col``: rewrite only the
-    touched partitions.  The merged partitions are first written to a staging
-    folder (never overwrite a path the same plan reads), then published with
-    dynamic partition overwrite.  Returns the number of rows written."""
+    touched partitions.  They are staged in a folder of this call alone (never
+    overwrite a path the same plan reads), the staged rows are counted against
+    the source of the write, then published with dynamic partition overwrite,
+    and the folder is deleted.  Both writes name their overwrite mode, so the
+    session's does not matter.  Returns the number of rows written."""
+    import uuid
+
     from pyspark.sql import Observation
-    from transitlens.session import path_exists, scratch_path
+    from transitlens.session import delete_path, path_exists, scratch_path
     if path_exists(spark, path):
         target = spark.read.parquet(path)
         merged = merge(touched_slice(target, source, part_col), source, keys, update_cols, touch)
     else:                                  # first load: the table does not exist yet
         merged = source
-    staging = staging or scratch_path(spark, f"staging/{path.strip('/').replace('/', '_')}")
+    staging = scratch_path(spark, f"staging/{uuid.uuid4().hex}")
     obs = Observation("staged")
-    merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-        .partitionBy(part_col).parquet(staging)
-    staged_rows = int(obs.get["rows"])
-    spark.read.parquet(staging).write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(part_col).parquet(path)
-    return staged_rows
+    (merged.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").partitionBy(part_col).parquet(staging))
+    written = int(obs.get["rows"])
+    try:
+        staged = spark.read.schema(merged.schema).parquet(staging)
+        found = staged.count()
+        if found != written:               # K6
+            raise RuntimeError(f"staged {found} of {written} rows for {path}")
+        (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part_col).parquet(path))
+    finally:
+        delete_path(spark, staging)
+    return written
 
 
 def write_partitioned(df: DataFrame, path: str, part_col: str, sort_cols: list[str] | None = None) -> None:
@@ -286,7 +294,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame], root: str, run_id
     staged = {}
     for name, df in tables.items():
         obs = Observation(f"stage_{name}")
-        w = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+        # static: a retried run_id replaces all it staged before
+        w = (df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("partitionOverwriteMode", "static"))
         part = PARTITION_OF.get(name)
         (w.partitionBy(part) if part else w).parquet(f"{root}/_staging/{run_id}/{name}")
         staged[name] = int(obs.get["rows"])

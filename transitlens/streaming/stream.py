@@ -142,7 +142,11 @@ def upsert_sink(spark: SparkSession, path: str, keys: list[str], part_col: str):
     from transitlens.operators import warehouse as W
 
     def write(batch: DataFrame, batch_id: int):
-        W.upsert_table(spark, path, batch, keys, part_col)
+        batch.persist()              # the upsert reads it twice; a stateful batch must run once
+        try:
+            W.upsert_table(spark, path, batch, keys, part_col)
+        finally:
+            batch.unpersist()
     return write
 
 
@@ -155,7 +159,7 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"
         raise q.exception()
 
 
-def land_in_time_order(raw: DataFrame, path: str, chunk_col: str, files_per_chunk: int = 2) -> int:
+def land_in_time_order(raw: DataFrame, path: str, chunk_col: str) -> int:
     """Write raw records as NDJSON, one write per chunk in ascending order, so the
     file stream sees them in event-time order.  Returns the number of chunks.
     The chunk list is a handful of values (e.g. local dates)."""
@@ -163,7 +167,7 @@ def land_in_time_order(raw: DataFrame, path: str, chunk_col: str, files_per_chun
     for c in chunks:
         # a vehicle's reports of one chunk land in one file, so they are never
         # split across micro-batches out of order
-        raw.filter(F.col(chunk_col) == F.lit(c)).drop(chunk_col).repartition(files_per_chunk, "vehicle_id") \
+        raw.filter(F.col(chunk_col) == F.lit(c)).drop(chunk_col).repartition("vehicle_id") \
            .write.mode("append").json(path)
     return len(chunks)
 
