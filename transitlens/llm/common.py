@@ -140,7 +140,7 @@ class WordHasher:
     def __call__(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         n = len(raw)
         if len(self._p) < n + 1:
-            size = 1 << (n + 1).bit_length()
+            size = n + n // 8 + 1024
             self._p, self._q = _powers(size, self.BASE), _powers(size, self.INV)
         acc = np.zeros(n + 1, U64)
         np.cumsum((raw.astype(U64) + U64(1)) * self._p[:n], out=acc[1:])

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import Scratch
+from transitlens.llm.common import Scratch, hand_back
 from transitlens.llm.tokens import encoder
 
 PIECE = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -116,6 +116,7 @@ def _pack(tokenizer: str, end_id: int, size: int, open_windows: int):
             yield packer.batch(part)
         packer.merge()
         yield packer.batch(part)
+        hand_back()
     return pack
 
 

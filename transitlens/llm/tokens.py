@@ -80,7 +80,7 @@ class HashTable:
 
 
 class WordCachedEncoder:
-    def __init__(self, path: str, end_id: int, most_words: int = 2_000_000, most_ids: int = 16_000_000):
+    def __init__(self, path: str, end_id: int, most_words: int = 1_000_000, most_ids: int = 5_000_000):
         self.tok, self.end_id = Tokenizer.from_file(path), end_id
         self.most_words, self.most_ids = most_words, most_ids
         mark = self.ids(_MARK)
@@ -96,7 +96,7 @@ class WordCachedEncoder:
     def _reset(self) -> None:
         self.table = HashTable()
         # number 0 is the end id
-        self.flat, self.at, self.len = (np.zeros(1 << 16, t) for t in (np.uint32, np.int64, np.int64))
+        self.flat, self.at, self.len = (np.zeros(1 << 16, t) for t in (np.uint32, np.int32, np.int32))
         self.flat[0], self.len[0], self.used, self.words = self.end_id, 1, 1, 1
 
     def _learn(self, h: np.ndarray, words: list[str]) -> None:
@@ -162,12 +162,12 @@ class WordCachedEncoder:
         no += 1
         where = np.searchsorted(start, off[1:])
         no = np.insert(no, where, 0)
-        size = self.len[no]
+        size = self.len[no].astype(np.int64)
         stop = np.cumsum(size)
         ids = self.flat[np.repeat(self.at[no] - (stop - size), size) + np.arange(int(stop[-1]) if docs else 0)]
         return ids, np.concatenate(([0], stop[where + np.arange(docs)]))
 
-    def encode(self, col: pa.Array, chunk: int = 1 << 20):
+    def encode(self, col: pa.Array, chunk: int = 1 << 19):
         """Ids of each row's text (null: empty), worked off in runs of about ``chunk`` bytes."""
         raw, off = text_buffers(col)
         lo, n = 0, len(off) - 1
