@@ -510,6 +510,63 @@ def q_upsert_ping_two_batches(spark, sf_dir):
     return merged.select(F.unix_seconds("obs_ts").alias("obs_epoch"), "vehicle_key", *_PING_KEEP, *_PING_UPD)
 
 
+# ---------------------------------------------------------------- gated load into the stored warehouse
+
+def _published_pings(spark, root):
+    """Ping facts of the published version with natural ids."""
+    from transitlens.plans import published
+    wh = published.open_warehouse(spark, root)
+    return (wh.fact_ping.join(wh.dim_route.select("route_key", "route_id"), "route_key")
+              .join(wh.dim_vehicle.select("vehicle_key", "vehicle_id"), "vehicle_key")
+              .select("vehicle_id", F.unix_seconds("obs_ts").alias("obs_epoch"), "date_key", "hour_key", "route_id",
+                      "trip_id", "dispatch_minute", "speed_kmph", "is_moving"))
+
+
+def _warehouse_root(spark):
+    import uuid
+    from transitlens.session import scratch_path
+    return scratch_path(spark, f"warehouse-{uuid.uuid4().hex}")
+
+
+_PUBLISHED_SQL = """SELECT vehicle_id, obs_epoch,
+       CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) AS date_key,
+       CAST(hour_of_day AS SMALLINT) AS hour_key, route_id, {trip} AS trip_id,
+       CAST({minute} AS SMALLINT) AS dispatch_minute, CAST(speed_kmph AS DECIMAL(8,2)) AS speed_kmph, is_moving{more}
+FROM pings WHERE is_speed_valid AND vehicle_id IS NOT NULL AND route_id IS NOT NULL
+  AND CAST(year(service_date) * 10000 + month(service_date) * 100 + day(service_date) AS INTEGER) IN (SELECT date_key FROM dim_date)"""
+
+
+@register("load_blocked", with_ctes("warehouse") + _PUBLISHED_SQL.format(
+    trip="trip_id", minute="dispatch_minute", more=", CAST(1 AS INTEGER) AS version, true AS second_load_blocked"))
+def q_load_blocked(spark, sf_dir):
+    """Valid pings are published; a batch with hours outside the day
+    is stopped by the gate, and the first version stays readable."""
+    from transitlens.plans import published
+    root, pings = _warehouse_root(spark), _pings(spark, sf_dir).filter("is_speed_valid")
+    published.gated_load(spark, root, pings)
+    try:
+        published.gated_load(spark, root, pings.withColumn("hour_of_day", F.lit(24)))
+        blocked = False
+    except _q().QualityGateError:
+        blocked = True
+    version = published.current(spark, root)["version"]
+    return _published_pings(spark, root).withColumns({"version": F.lit(version), "second_load_blocked": F.lit(blocked)})
+
+
+@register("load_two_versions", with_ctes("warehouse") + _PUBLISHED_SQL.format(
+    trip="CASE WHEN obs_epoch % 3 <> 1 THEN 'r' || trip_id ELSE trip_id END",
+    minute="CASE WHEN obs_epoch % 3 = 0 THEN 59 ELSE dispatch_minute END", more=""))
+def q_load_two_versions(spark, sf_dir):
+    """Two loads whose batches share a third of the pings: kept,
+    updated (trip, not dispatch time) and inserted rows, read from the second version."""
+    from transitlens.plans import published
+    root, pings = _warehouse_root(spark), _pings(spark, sf_dir).filter("is_speed_valid")
+    published.gated_load(spark, root, pings.filter("obs_epoch % 3 <> 0"))
+    published.gated_load(spark, root, pings.filter("obs_epoch % 3 <> 1").withColumns({
+        "trip_id": F.concat(F.lit("r"), "trip_id"), "dispatch_minute": F.lit(59)}))
+    return _published_pings(spark, root)
+
+
 # ---------------------------------------------------------------- integrity, audits, reconcile
 
 INTEGRITY_SQL = """
