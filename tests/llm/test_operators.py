@@ -112,6 +112,36 @@ def test_decontamination_odd_inputs(spark):
     assert {r["doc_id"] for r in docs.collect()} - {r["doc_id"] for r in kept.collect()} == {5, 9, 12, 13}
 
 
+@pytest.mark.parametrize("block_words", [200, 500_000])
+def test_spans_of_all_blocks_are_judged_and_cut_once(spark, block_words):
+    items = [(i, " ".join(f"i{i}w{k}" for k in range(100))) for i in range(6)]       # three blocks of two items at 200 words
+    shared = " ".join(f"s{k}" for k in range(20))
+    items += [(10, shared + " " + " ".join(f"x{k}" for k in range(180))), (11, " ".join(f"y{k}" for k in range(180)) + " " + shared)]
+    word = lambda i, a, n: " ".join(f"i{i}w{k}" for k in range(a, a + n))
+    own = lambda t, n: " ".join(f"{t}{k}" for k in range(n))
+    both = own("p", 200) + " " + word(0, 5, 13) + " " + own("q", 200) + " " + word(4, 50, 13) + " " + own("r", 80)     # 13 + 13 of 506
+    one = own("p", 300) + " " + word(0, 5, 13) + " " + own("q", 200)                                                # 13 of 513
+    split = own("p", 200) + " " + word(2, 0, 7) + " " + word(0, 5, 13) + " " + word(2, 7, 13) + " " + own("q", 800)    # neighbours only after a cut
+    lap = own("p", 900) + " y175 y176 y177 y178 y179 " + shared + " x0 x1 x2 " + own("q", 900)                       # spans of two blocks overlap
+    rows = [(1, both), (2, one), (3, split), (4, lap), (2, lap), (2, "plain words"), (2, one), (None, both), (None, one), (None, None), (5, "")]
+    docs = spark.createDataFrame([(*r, i) for i, r in enumerate(rows)], "doc_id long, text string, row long")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    words, wins = {}, {tuple(w[i:i + 13]) for _, t in items for w in [t.split()] for i in range(len(w) - 12)}
+    for i, (_, t) in enumerate(rows):
+        w = (t or "").split()
+        hit = {p for k in range(len(w) - 12) if tuple(w[k:k + 13]) in wins for p in range(k, k + 13)}
+        if not hit or 20 * len(hit) < len(w):
+            words[i] = [x for p, x in enumerate(w) if p not in hit]
+    assert set(words) == {1, 2, 3, 4, 5, 6, 8, 9, 10} and len(words[2]) == 1007 and len(words[3]) == 1800
+    got = {r["row"]: r for r in decontam.remove_spans(docs, bench, block_words=block_words).collect()}
+    assert {i: (r["text"] or "").split() for i, r in got.items()} == words
+    assert got[9]["text"] is None and got[5]["text"] == "plain words"
+    scanned = decontam.judged(decontam.scan(docs, bench, block_words=block_words))
+    want = [brute.decontam([(0, t)], items)[0][1:] for _, t in rows]
+    assert sorted((r["doc_id"] or -1, r["n_words"], r["n_hit"], r["n_items"], hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), r["contaminated"])
+                  for r in scanned.collect()) == sorted((r[0] or -1, *x) for r, x in zip(rows, want))
+
+
 def test_spans_are_cut():
     assert decontam.cut_words(b"One, two three; four.", [(1, 3)]) == b"One, ; four."
 

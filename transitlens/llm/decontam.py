@@ -13,10 +13,13 @@ Normalisation: A-Z to lower case, words are runs of 0-9, a-z and bytes from
 which not every pair of neighbours occurs in an item, or which are shorter than
 the shortest window, cannot match and are stepped over in numpy.
 
-Benchmark size: items are the stated query set.  They are cut into blocks of at
-most ``block_words`` words; each block gives one automaton, which is broadcast
+Benchmark size: items are the stated query set.  They are cut into blocks of
+about ``block_words`` words; each block gives one automaton, which is broadcast
 (so the broadcast is bounded whatever the benchmark's size), and documents are
-scanned once per block, with hits merged per document afterwards.
+scanned once per block, uncut, one block after the other.  Hits depend on the
+text alone, so those of all blocks are gathered per distinct text (its SHA-256)
+and merged; coverage is judged and spans are cut once, on all of them.  The
+number of blocks changes no result.
 
 Defined cases: null or empty text has no words and no hits; an item without
 words matches nothing; null item_ids are ignored as items; repeated items both
@@ -26,13 +29,14 @@ by ``scan`` and kept by ``remove_spans``.
 """
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import hand_back, pieces, text_buffers
+from transitlens.llm.common import Scratch, hand_back, pieces, text_buffers
 
 WINDOW = 13
 COVERAGE = 20
@@ -167,10 +171,9 @@ SCAN_SCHEMA = "doc_id long, n_words long, spans array<struct<start:long,end:long
 _SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[SuffixAutomaton]:
-    """One automaton per block of items, items in item_id order; at most one
-    block of items is held at a time."""
-    held, size = [], 0
+def _blocks(benchmark: DataFrame, block_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """Blocks of items in item_id order, one at least."""
+    held, size, any_full = [], 0, False
     rows = (benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
             .filter("item_id is not null").distinct().orderBy("item_id", "text"))
     for r in rows.toLocalIterator():
@@ -178,10 +181,10 @@ def _automata(benchmark: DataFrame, window: int, block_words: int) -> Iterator[S
         held.append((r["item_id"], words))
         size += len(words)
         if size >= block_words:
-            yield SuffixAutomaton(held, window)
-            held, size = [], 0
-    if held:
-        yield SuffixAutomaton(held, window)
+            yield held
+            held, size, any_full = [], 0, True
+    if held or not any_full:
+        yield held
 
 
 def _scan(shared):
@@ -203,29 +206,80 @@ def _scan(shared):
     return scan
 
 
-def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = 500_000) -> DataFrame:
-    """(doc_id, n_words, spans, items): spans are maximal ranges of hit word
-    numbers, items the sorted item_ids whose windows occur.  With more than one
-    block of items, rows are merged by doc_id (repeated doc_ids then merge)."""
+def _text_hits(shared):
+    """(text_key, spans, items) of the texts with hits."""
+    def hits(batches):
+        auto = shared.value
+        for batch in pieces(batches, 1):
+            raw, off = text_buffers(batch.column(1))
+            body = raw.tobytes().translate(_FOLD)
+            at, spans, items = [], [], []
+            for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+                s, f = auto.hits(body[a:b].split())
+                if s:
+                    at.append(i)
+                    spans.append([{"start": x, "end": y} for x, y in s])
+                    items.append(sorted(f))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())).cast(pa.string()), pa.array(spans, _SPAN),
+                                              pa.array(items, pa.list_(pa.string()))], names=["text_key", "spans", "items"])
+        hand_back()
+    return hits
+
+
+def _text_key() -> F.Column:
+    return F.sha2(F.col("text").cast("string").cast("binary"), 256)
+
+
+def _gathered(docs: DataFrame, blocks: Iterable[list[tuple[str, list[bytes]]]], window: int) -> DataFrame:
+    """(text_key, spans, items): hits of all blocks in the uncut texts, a row per distinct text
+    that has any.  Each block's hits are written before the next block is built."""
     spark = docs.sparkSession
-    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    parts = [base.mapInArrow(_scan(spark.sparkContext.broadcast(a)), SCAN_SCHEMA)
-             for a in _automata(benchmark, window, block_words)]
-    if not parts:
-        parts = [base.mapInArrow(_scan(spark.sparkContext.broadcast(SuffixAutomaton([], window))), SCAN_SCHEMA)]
-    if len(parts) == 1:
-        return parts[0]
-    # blocks after the first add a row only where they hit
-    rest = [p.filter("size(spans) > 0") for p in parts[1:]]
-    both = parts[0]
-    for p in rest:
-        both = both.unionByName(p)
-    merged = both.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
+    tmp = Scratch(spark, "decontam")
+    base = docs.select(_text_key().alias("text_key"), F.col("text").cast("string").alias("text")).filter("text is not null")
+    found = None
+    for i, block in enumerate(blocks):
+        shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        # copies of a text have the same hits: one row stays, with partial aggregation
+        part = tmp.write(base.mapInArrow(_text_hits(shared), "text_key string, spans array<struct<start:long,end:long>>, items array<string>")
+                         .dropDuplicates(["text_key"]), f"block-{i}")
+        shared.unpersist()
+        found = part if found is None else found.unionByName(part)
+    merged = found.groupBy("text_key").agg(
+        F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
     return merged.withColumn("spans", _merge_spans("spans"))
 
 
+def _split(blocks: Iterator) -> tuple[list, Iterator | None]:
+    """(first block, None) of a single block, else (first block, all blocks)."""
+    first = next(blocks)
+    second = next(blocks, None)
+    return first, None if second is None else chain([first, second], blocks)
+
+
+def scan(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = 500_000) -> DataFrame:
+    """(doc_id, n_words, spans, items), a row per document: spans are maximal
+    ranges of hit word numbers, items the sorted item_ids whose windows occur."""
+    spark = docs.sparkSession
+    first, several = _split(_blocks(benchmark, block_words))
+    base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    if several is None:
+        return base.mapInArrow(_scan(spark.sparkContext.broadcast(SuffixAutomaton(first, window))), SCAN_SCHEMA)
+    found = _gathered(docs, several, window)
+    counted = base.withColumn("text_key", _text_key()).mapInArrow(_sizes, "doc_id long, text_key string, n_words long")
+    return (counted.join(found, "text_key", "left")
+            .select("doc_id", "n_words", *[F.coalesce(c, F.array().cast(found.schema[c].dataType)).alias(c) for c in ("spans", "items")]))
+
+
+def _sizes(batches):
+    for batch in pieces(batches, 1):
+        raw, off = text_buffers(batch.column(1))
+        body = raw.tobytes().translate(_FOLD)
+        n = [len(body[a:b].split()) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
+        yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.string()), pa.array(n, pa.int64())],
+                                         names=["doc_id", "text_key", "n_words"])
+
+
 def _merge_spans(col: str) -> F.Column:
     """Union of sorted ranges."""
     kind = "array<struct<start:bigint,end:bigint>>"
@@ -254,27 +308,43 @@ def cut_words(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join(out)
 
 
+def _kept(batch: pa.RecordBatch, spans_of_row, coverage: int) -> pa.RecordBatch:
+    """The batch without contaminated rows, spans cut from the text of the others.
+    ``spans_of_row`` gives the spans of (row number, words)."""
+    at = batch.schema.get_field_index("text")
+    raw, off = text_buffers(batch.column(at))
+    body = raw.tobytes().translate(_FOLD)
+    keep, cut = [], {}
+    for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
+        words = body[a:b].split()
+        spans = spans_of_row(i, words)
+        n_hit = sum(y - x for x, y in spans)
+        if n_hit and coverage * n_hit >= len(words):
+            continue
+        keep.append(i)
+        if spans:
+            cut[i] = cut_words(raw[a:b].tobytes(), spans).decode()
+    if cut:
+        new = [cut.get(i, t) for i, t in enumerate(batch.column(at).to_pylist())]
+        batch = batch.set_column(at, batch.schema.field(at).name, pa.array(new, batch.schema.field(at).type))
+    return batch if len(keep) == len(batch) else batch.take(pa.array(keep, pa.int64()))
+
+
 def _clean(shared, coverage: int):
     def clean(batches):
         auto = shared.value
         for batch in pieces(batches, "text"):
-            at = batch.schema.get_field_index("text")
-            raw, off = text_buffers(batch.column(at))
-            body = raw.tobytes().translate(_FOLD)
-            keep, cut = [], {}
-            for i, (a, b) in enumerate(zip(off[:-1].tolist(), off[1:].tolist())):
-                words = body[a:b].split()
-                spans, _ = auto.hits(words)
-                n_hit = sum(y - x for x, y in spans)
-                if n_hit and coverage * n_hit >= len(words):
-                    continue
-                keep.append(i)
-                if spans:
-                    cut[i] = cut_words(raw[a:b].tobytes(), spans).decode()
-            if cut:
-                new = [cut.get(i, t) for i, t in enumerate(batch.column(at).to_pylist())]
-                batch = batch.set_column(at, batch.schema.field(at).name, pa.array(new, batch.schema.field(at).type))
-            yield batch if len(keep) == len(batch) else batch.take(pa.array(keep, pa.int64()))
+            yield _kept(batch, lambda _, words: auto.hits(words)[0], coverage)
+        hand_back()
+    return clean
+
+
+def _clean_found(coverage: int):
+    """As _clean, with the spans of a row in its last column, which goes."""
+    def clean(batches):
+        for batch in pieces(batches, "text"):
+            spans = [[(s["start"], s["end"]) for s in row or ()] for row in batch.column(batch.num_columns - 1).to_pylist()]
+            yield _kept(batch.select(batch.schema.names[:-1]), lambda i, _: spans[i], coverage)
         hand_back()
     return clean
 
@@ -282,9 +352,10 @@ def _clean(shared, coverage: int):
 def remove_spans(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: int = COVERAGE,
                  block_words: int = 500_000) -> DataFrame:
     """Documents (all columns) without contaminated ones; hit spans of the
-    others are cut from their text.  Judged block by block of items: with
-    several blocks, coverage is that of one block's items at a time."""
-    spark, out = docs.sparkSession, docs
-    for auto in _automata(benchmark, window, block_words):
-        out = out.mapInArrow(_clean(spark.sparkContext.broadcast(auto), coverage), out.schema)
-    return out
+    others are cut from their text.  Judged row by row on all items."""
+    first, several = _split(_blocks(benchmark, block_words))
+    if several is None:
+        return docs.mapInArrow(_clean(docs.sparkSession.sparkContext.broadcast(SuffixAutomaton(first, window)), coverage), docs.schema)
+    found = _gathered(docs, several, window).select(F.col("text_key").alias("__text_key"), F.col("spans").alias("__spans"))
+    joined = docs.withColumn("__text_key", _text_key()).join(found, "__text_key", "left")
+    return joined.select(*[F.col(f"`{c}`") for c in docs.columns], "__spans").mapInArrow(_clean_found(coverage), docs.schema)
