@@ -198,6 +198,40 @@ def test_toxicity_held_out(spark):
     assert toxicity.keep_clean(docs, model).columns == docs.columns
 
 
+def test_every_ngram_of_a_long_run_is_read():
+    rng = np.random.default_rng(2)
+    grams = lambda ws: set(toxicity.ngrams(ws)[0].tolist())
+    for n in (40, 41, 52, 53, 200, 1000):
+        run = bytes(rng.integers(0x80, 0x100, n).tolist())
+        words = toxicity.words_of(b"a " + run + b" b")
+        assert words[0] == b"a" and words[-1] == b"b" and (words[1] == run) == (n <= 40)
+        assert {run[i:i + 5] for i in range(n - 4)} <= {w[i:i + 5] for w in words for i in range(len(w) - 4)}
+        assert len(grams([run])) > 0.8 * 3 * n and grams([b"z" * 45]) != grams([b"z" * 45 + b"y"])
+
+
+def test_stretches_have_the_windows_of_the_whole(monkeypatch):
+    monkeypatch.setattr(toxicity, "STRETCH", 128)
+    for n in (0, 1, 64, 191, 192, 193, 250, 320, 1000, 1023):
+        words = list(range(n))
+        whole = sorted(tuple(words[s:s + k]) for s, k in toxicity.windows_of(n))
+        assert sorted(tuple(p[s:s + k]) for p in toxicity._stretches(words) for s, k in toxicity.windows_of(len(p))) == whole
+
+
+def test_toxicity_of_text_without_spaces(spark):
+    rng = np.random.default_rng(6)
+    letters = [chr(c) for c in range(0x4E00, 0x4F00)]
+    rows = []
+    for i in range(900):
+        t = "".join(rng.choice(letters, 400))
+        if i % 3 == 0:
+            at = rng.integers(60, 340)
+            t = t[:at] + "鼁鼂鼃鼄" + t[at:]
+        rows.append((i, t, int(i % 3 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    held = toxicity.toxicity(docs, docs).filter("held_out").collect()
+    assert sum(r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held) > 0.9 * len(held)
+
+
 # ------------------------------------------------------------------ 4, 5
 @pytest.fixture(scope="module")
 def tokenizer():

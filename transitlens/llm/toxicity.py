@@ -2,8 +2,11 @@
 
 Each word enters the network as a learned word vector (words the training
 sample holds often enough, one vector for all others) beside a character vector
-(the mean of learned vectors of the word's hashed byte 3- to 5-grams, with word
-bounds).  GRUs read a window of ``WINDOW`` words in both directions; attention
+(the mean of learned vectors of all the word's hashed byte 3- to 5-grams, with
+word bounds).  A run of word bytes longer than ``LONG`` (text without spaces,
+glued words) enters as consecutive pieces of ``PIECE`` bytes, each a word of its
+own; pieces share ``LAP`` bytes, so that every n-gram of the run lies in one of
+them.  GRUs read a window of ``WINDOW`` words in both directions; attention
 over their states gives one vector, a linear layer the window's logit.  A
 document's score is the sigmoid of its highest window; windows overlap by half
 and cover every word.
@@ -37,17 +40,41 @@ WINDOW, STRIDE = 64, 32
 D, H, A = 8, 8, 8                  # width of word and character vectors, states per direction, attention
 BUCKETS = 16384
 GATES = 3 * H
+LONG, PIECE, LAP = 40, 16, 4       # longest run taken as one word; bytes of a piece of a longer one, and those it shares with the next
+STRETCH = 1 << 16                  # words of a document that are scored at a time
 U64 = np.uint64
 
 
+def _dealt(words: list[bytes]) -> list[bytes]:
+    """The words, runs longer than LONG as overlapping pieces."""
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    out = []
+    for w in words:
+        if len(w) <= LONG:
+            out.append(w)
+        else:
+            out += [w[i:i + PIECE] for i in range(0, len(w) - LAP, PIECE - LAP)]
+    return out
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_FOLD).split()
+    return _dealt(text.translate(_FOLD).split())
+
+
+def _stretches(words: list[bytes]) -> list[list[bytes]]:
+    """Stretches of a document that have the same windows together as the whole."""
+    out, lo = [], 0
+    while len(words) - lo >= STRETCH + WINDOW:
+        out.append(words[lo:lo + STRETCH + WINDOW - STRIDE])
+        lo += STRETCH
+    return [*out, words[lo:]] if out else [words]
 
 
 def ngrams(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(buckets, owner) of the byte n-grams of each word, bounds included."""
-    raw = np.frombuffer(b"".join([b"<" + w[:40] + b">" for w in words]), np.uint8).astype(U64)
-    size = np.array([min(len(w), 40) + 2 for w in words], np.int64)
+    raw = np.frombuffer(b"".join([b"<" + w + b">" for w in words]), np.uint8).astype(U64)
+    size = np.array([len(w) + 2 for w in words], np.int64)
     owner = np.repeat(np.arange(len(words)), size)
     left = np.repeat(np.cumsum(size), size) - np.arange(len(raw))      # bytes up to the end of the word
     out, who = [], []
@@ -295,6 +322,23 @@ class Scorer:
             self.no.update(zip(part, range(base, base + len(part))))
 
     def __call__(self, docs: list[list[bytes]]) -> np.ndarray:
+        best = np.full(len(docs), -np.inf)
+        part, held = [], 0                  # stretches (document, words) of a bounded number of words
+        for i, d in enumerate(docs):
+            for s in _stretches(d):
+                if held + len(s) > 8 * STRETCH and part:
+                    self._raise(best, part)
+                    part, held = [], 0
+                part.append((i, s))
+                held += len(s)
+        if part:
+            self._raise(best, part)
+        best[np.isneginf(best)] = self.model.p["bias"][0]
+        return 1 / (1 + np.exp(-best))
+
+    def _raise(self, best: np.ndarray, part: list[tuple[int, list[bytes]]]) -> None:
+        """Raise ``best`` to the highest window logit of each document's stretches."""
+        owner, docs = np.array([i for i, _ in part]), [s for _, s in part]
         new = set().union(*docs).difference(self.no)
         if len(self.no) + len(new) > self.most:
             self._reset()
@@ -303,19 +347,16 @@ class Scorer:
             self._learn(sorted(new))
         rows = [np.fromiter(map(self.no.__getitem__, d), np.int64, len(d)) for d in docs]
         idx, size, doc = _grid(rows)
-        best = np.full(len(docs), -np.inf)
         for lo in range(0, len(idx), 512):
-            part = slice(lo, lo + 512)
-            np.maximum.at(best, doc[part], self.model.logits((self.f, self.b), idx[part], size[part]).astype(np.float64))
-        best[np.isneginf(best)] = self.model.p["bias"][0]
-        return 1 / (1 + np.exp(-best))
+            at = slice(lo, lo + 512)
+            np.maximum.at(best, owner[doc[at]], self.model.logits((self.f, self.b), idx[at], size[at]).astype(np.float64))
 
 
 def _scores(scorer: Scorer | None, prior, raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     if scorer is None:
         return np.full(len(off) - 1, float(prior))
     body = raw.tobytes().translate(_FOLD)
-    return scorer([body[a:b].split() for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
+    return scorer([_dealt(body[a:b].split()) for a, b in zip(off[:-1].tolist(), off[1:].tolist())])
 
 
 def _score(shared):
