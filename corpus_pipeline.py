@@ -33,9 +33,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    out = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
-    return docs.select(*COLUMNS).join(out, "doc_id", "left_anti").select(*COLUMNS)
+    """One row of each group of near duplicates stays, that of the smallest doc_id."""
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        out = minhash.near_duplicates(docs).filter(~F.col("kept")).select("doc_id")
+        return docs.select(*COLUMNS).join(out, "doc_id", "left_anti").select(*COLUMNS)
+    # repeated doc_ids: rows are numbered, once, and linked by number
+    rows = Scratch(spark, "near-dedup").write(docs.select(*COLUMNS, F.monotonically_increasing_id().alias("__row")), "rows")
+    group = (minhash.near_duplicates(rows.select(F.when(F.col("doc_id").isNotNull(), F.col("__row")).alias("doc_id"), "text"))
+             .filter("doc_id is not null").select(F.col("doc_id").alias("__row"), "component_id"))
+    first = (group.join(rows.select("__row", "doc_id", F.xxhash64("text").alias("h")), "__row").groupBy("component_id")
+             .agg(F.min(F.struct("doc_id", "h", "__row")).alias("f")).select("f.__row"))
+    out = group.select("__row").join(first, "__row", "left_anti")
+    return rows.join(out, "__row", "left_anti").select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

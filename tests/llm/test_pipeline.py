@@ -35,6 +35,15 @@ def test_stages_decide_as_their_operators_do(spark, tmp_path):
     assert decon.filter(F.length("text") != F.col("n_chars")).count() == 0
 
 
+def test_near_dedup_keeps_one_row_of_a_group(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    rows = [(5, a), (5, b), (3, b), (7, c), (7, c), (None, c), (8, None), (8, None), (9, a + " end")]
+    docs = spark.createDataFrame([(*r, "en", "s", 1) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = cp.near_dedup(spark, docs, SF_SMALL)
+    assert got.columns == cp.COLUMNS
+    assert sorted(texts_of(got), key=str) == sorted([(5, a), (3, b), (7, c), (None, c), (8, None), (8, None)], key=str)
+
+
 def test_empty_table_passes(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(0)
     for name, stage in cp.STAGES:
