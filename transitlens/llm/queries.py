@@ -5,7 +5,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from transitlens.llm import decontam, embed_dedup, license_scan, line_dedup, minhash, packing, suffix_dedup, toxicity, warc, wavelet
+from transitlens.llm import (decontam, embed_dedup, hard_negatives, license_scan, line_dedup, minhash, packing, resample, sharding, suffix_dedup,
+                             toxicity, warc, wavelet)
 from transitlens.llm.common import Scratch
 
 TOKENIZER = "word_bpe_49k.json"
@@ -125,7 +126,71 @@ SELECT d.doc_id, CAST(coalesce(nl.n, 0) AS BIGINT) AS n_lines, CAST(coalesce(nd.
 FROM documents d LEFT JOIN kept USING (doc_id) LEFT JOIN nl USING (doc_id) LEFT JOIN nd USING (doc_id)"""
 
 
+def op11_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor; every seventh vector first takes the next label."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors.select("vec_id", "embedding", label.alias("label")))
+
+
+OP11_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10"""
+
+
+def op12_histogram_shards(spark, sf_dir):
+    """All documents in 40 shards of near equal bytes, written and read back."""
+    path = Scratch(spark, "histogram-shards").path("shards")
+    schema = sharding.write_shards(table(spark, sf_dir, "documents"), path)
+    return sharding.read_shards(spark, path, schema).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_resample(spark, sf_dir):
+    """A tenth of the documents, drawn towards the words of the benchmark."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP13_SQL = """
+WITH RECURSIVE step(b, k, c) AS (
+  SELECT b, 0, CAST(b AS BIGINT) FROM range(256) r(b)
+  UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS tab FROM step WHERE k = 8),
+d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM documents),
+i AS (SELECT coalesce(regexp_extract_all(
+  translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), []) AS w FROM benchmark),
+dw AS (SELECT r, unnest(w) AS g FROM d),
+iw AS (SELECT unnest(w) AS g FROM i),
+v AS (SELECT g, hex(encode(g)) AS x FROM (SELECT g FROM dw UNION SELECT g FROM iw)),
+b AS (SELECT g, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(len(x) // 2), lambda j: CAST('0x' || substr(x, 2 * j + 1, 2) AS BIGINT))),
+    lambda c, y: xor(c >> 8, tab[(xor(c, y) & 255) + 1])), 4294967295) % 10000 AS bucket FROM v, crc),
+s AS (SELECT bucket, count(*) AS n FROM dw JOIN b USING (g) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM iw JOIN b USING (g) GROUP BY bucket),
+gain AS (SELECT k AS bucket, CAST(floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM dw) + 10000)::DOUBLE
+    / ((coalesce(s.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM iw) + 10000)::DOUBLE))) AS BIGINT) AS gain
+  FROM range(10000) q(k) LEFT JOIN s ON s.bucket = k LEFT JOIN t ON t.bucket = k),
+w AS (SELECT r, count(*) AS n, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+  FROM dw JOIN b USING (g) JOIN gain USING (bucket) GROUP BY r),
+u AS (SELECT d.r, doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN w USING (r)),
+o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n FROM u WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank FROM u LEFT JOIN o USING (r)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_decontaminate, op3_toxicity, op4_packing, op5_wavelet, op6_embedding_dedup,
-                            op7_license_scan, op8_warc, op9_minhash, op10_line_dedup)}
-ORACLE = {"op2_decontaminate": OP2_SQL, "op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL}
+                            op7_license_scan, op8_warc, op9_minhash, op10_line_dedup, op11_hard_negatives, op12_histogram_shards,
+                            op13_resample)}
+ORACLE = {"op2_decontaminate": OP2_SQL, "op8_warc": OP8_SQL, "op10_line_dedup": OP10_SQL, "op11_hard_negatives": OP11_SQL,
+          "op13_resample": OP13_SQL}
