@@ -4,8 +4,8 @@ Components become floor(256 * x), so scores are exact integers.  The rows are
 tiled in Spark (sort-tile-recursive over the two widest coordinates: two range
 partitionings, each with vec_id as its last key, so copies of one vector are
 spread too), and every tile of about ``tile_rows`` rows becomes a packed tree:
-leaves of ``LEAF`` rows tiled over the tile's own widest coordinates, parents
-over ``FAN`` neighbours, each with its minimum bounding box.  The tree is a
+leaves of ``LEAF`` rows of one label, tiled over the tile's own widest
+coordinates, parents over ``FAN`` neighbours, each with its minimum bounding box.  The tree is a
 table with a row per node, written once and read by both searches.
 
 A box bounds the inner product with an anchor coordinate by coordinate: the sum
@@ -134,20 +134,40 @@ class Tree:
         self.ids, self.labels = (nodes[c].combine_chunks().flatten().to_numpy() for c in ("ids", "labels"))
         self.v = nodes["vectors"].combine_chunks().flatten().to_numpy().reshape(at, dim)
 
+        self.label_of = {i: int(self.labels[b]) for i, (b, _) in self.begin.items()}     # a leaf has one label
+        self._marked: dict = {}
+
+    def _mark(self, key, leaf_ok) -> list[bool]:
+        """For each node, whether a leaf below it passes."""
+        if key not in self._marked:
+            marked: list[bool] = []
+            for i, f in enumerate(self.first):
+                marked.append(leaf_ok(self.label_of[i]) if f is None else any(marked[f:self.last[i]]))
+            self._marked[key] = marked
+        return self._marked[key]
+
+    def holding(self, label: int) -> list[bool]:
+        return self._mark((True, label), lambda x: x == label)
+
+    def holding_other(self, label: int) -> list[bool]:
+        return self._mark((False, label), lambda x: x != label)
+
     def bounds(self, anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Lowest and highest inner product of every anchor (row) with every node's box (column)."""
         up, down = np.where(anchors > 0, anchors, 0), np.where(anchors < 0, anchors, 0)
         return up @ self.low.T + down @ self.high.T, up @ self.high.T + down @ self.low.T
 
 
-def best(tree: Tree, anchor: np.ndarray, low, high, allowed, windows: list[tuple[int, int]], k: int) -> list[list[tuple]]:
-    """For each score window [from, to] the first k (score, id) of the rows that ``allowed`` admits,
-    highest score first, then smallest id; ``low`` and ``high`` bound the nodes' scores."""
+def best(tree: Tree, anchor: np.ndarray, low, high, open_, windows: list[tuple[int, int]], k: int, allowed=None) -> list[list[tuple]]:
+    """For each score window [from, to] the first k (score, id), highest score first, then smallest id, of the
+    rows of the nodes marked in ``open_`` that ``allowed`` admits; ``low`` and ``high`` bound the nodes' scores."""
     top: list[list[tuple]] = [[] for _ in windows]          # heaps of (score, -id): the kth best lies at [0]
+    least, most = [a for a, _ in windows], [b for _, b in windows]
+    floor, ceiling = np.array(least), np.array(most)
 
     def wanted(node: int) -> bool:
-        return any(a <= b and high[node] >= a and low[node] <= b and (len(t) < k or min(high[node], b) >= t[0][0])
-                   for (a, b), t in zip(windows, top))
+        h, lo = high[node], low[node]
+        return open_[node] and any(h >= a and lo <= b and a <= b for a, b in zip(least, most))
 
     root = len(tree.first) - 1
     queue = [(-high[root], root)]
@@ -161,18 +181,21 @@ def best(tree: Tree, anchor: np.ndarray, low, high, allowed, windows: list[tuple
                     heapq.heappush(queue, (-high[child], child))
             continue
         begin, end = tree.begin[node]
-        score = tree.v[begin:end] @ anchor
-        ok = allowed(begin, end)
-        for (a, b), t in zip(windows, top):
-            here = ok & (score >= a) & (score <= b)
-            if len(t) == k:
-                here &= score >= t[0][0]
-            for i in np.flatnonzero(here):
-                hit = (int(score[i]), -int(tree.ids[begin + i]))
-                if len(t) < k:
-                    heapq.heappush(t, hit)
-                elif hit > t[0]:
-                    heapq.heapreplace(t, hit)
+        score = (tree.v[begin:end] @ anchor)[:, None]
+        here = (score >= floor) & (score <= ceiling)
+        if allowed is not None:
+            here &= allowed(begin, end)[:, None]
+        if not here.any():
+            continue
+        for i, w in zip(*(x.tolist() for x in np.nonzero(here))):
+            hit, t = (int(score[i, 0]), -int(tree.ids[begin + i])), top[w]
+            if len(t) < k:
+                heapq.heappush(t, hit)
+            elif hit > t[0]:
+                heapq.heapreplace(t, hit)
+            if len(t) == k:             # from now on nothing strictly below the kth counts
+                least[w] = max(windows[w][0], t[0][0])
+                floor[w] = least[w]
     return [[(s, -i) for s, i in sorted(t, reverse=True)] for t in top]
 
 
@@ -195,12 +218,12 @@ def _search(dim: int, k: int, same_label: bool, least: int, most: int):
             positives = [None] * len(who) if same_label else anchors["positives"].to_pylist()
             for i, (a, own) in enumerate(zip(who, label)):
                 if same_label:
-                    windows = [(-float("inf"), float("inf"))]
-                    allowed = lambda b, e: (tree.labels[b:e] == own) & (tree.ids[b:e] != a)
+                    found = best(tree, q[i], low[i], high[i], tree.holding(own), [(-float("inf"), float("inf"))], k,
+                                 lambda b, e: tree.ids[b:e] != a)
                 else:
                     windows = [window_of(p["score"], least, most) for p in positives[i]]
-                    allowed = lambda b, e: tree.labels[b:e] != own
-                for n, hits in enumerate(best(tree, q[i], low[i], high[i], allowed, windows, k)):
+                    found = best(tree, q[i], low[i], high[i], tree.holding_other(own), windows, k)
+                for n, hits in enumerate(found):
                     p = (None, None) if same_label else (positives[i][n]["id"], positives[i][n]["score"])
                     out += [(a, *p, row, max(-LONG - 1, min(LONG, s))) for s, row in hits]
         cols = list(zip(*out)) if out else [[]] * 5
