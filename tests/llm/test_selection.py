@@ -76,6 +76,8 @@ def test_boxes_bound_scores_and_search_leaves_nodes_unopened():
     v = np.floor(256 * (rng.normal(size=(1000, 3)) + 5 * rng.integers(0, 4, 1000)[:, None])).astype(np.int64)
     leaves = hard_negatives.tiles_of(v, np.zeros(1000, np.int64))
     assert sorted(np.concatenate(leaves).tolist()) == list(range(1000)) and max(map(len, leaves)) <= hard_negatives.LEAF
+    two = hard_negatives.tiles_of(v[:20], np.arange(20) % 2)
+    assert all(len(set(x % 2)) == 1 for x in two)
     tree = object.__new__(hard_negatives.Tree)
     tree.low, tree.high = (np.array([f(v[x], axis=0) for x in leaves], float) for f in (np.min, np.max))
     a = np.array([[3.0, -7.0, 2.0]])

@@ -73,11 +73,11 @@ def tiles_of(v: np.ndarray, labels: np.ndarray) -> list[np.ndarray]:
     keys = [labels, *(v[:, d] for d in wide)]
 
     def cut(rows: np.ndarray, k: int) -> list[np.ndarray]:
-        if len(rows) <= LEAF or k == len(keys):
+        if k == len(keys) or k and len(rows) <= LEAF:
             return [rows[i:i + LEAF] for i in range(0, len(rows), LEAF)]
         rows = rows[np.argsort(keys[k][rows], kind="stable")]
-        if k == 0:          # a label's rows stay together
-            edge = np.flatnonzero(np.diff(keys[0][rows])) + 1
+        if k == 0:          # a leaf has one label
+            edge = np.flatnonzero(np.diff(labels[rows])) + 1
             return [leaf for part in np.split(rows, edge) for leaf in cut(part, 1)]
         leaves = -(-len(rows) // LEAF)
         slabs = int(np.ceil(leaves ** (1 / (len(keys) - k))))
