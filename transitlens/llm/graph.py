@@ -7,7 +7,7 @@ have one row per vertex on one side; nothing is gathered per vertex).
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from transitlens.llm.common import Scratch
 
@@ -33,20 +33,21 @@ def _small(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, tmp: Scratch, name: str, most_rounds: int = 60) -> DataFrame:
     """(id, component): smallest reachable id for every vertex but the smallest
     of its component.  ``edges`` has long columns a and b."""
-    now = tmp.write(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), f"{name}-0")
-    state = _state(now)
+    now, state = _written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), tmp, f"{name}-0")
     for r in range(1, most_rounds + 1):
-        new = tmp.write(_small(_large(now)), f"{name}-{r}")
+        was = state
+        now, state = _written(_small(_large(now)), tmp, f"{name}-{r}")
         tmp.drop(f"{name}-{r - 1}")
-        was, state, now = state, _state(new), new
         if state == was:
             return now.select(F.col("a").alias("id"), F.col("b").alias("component"))
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")
 
 
-def _state(edges: DataFrame) -> tuple:
-    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-    return r[0], r[1]
+def _written(edges: DataFrame, tmp: Scratch, step: str) -> tuple[DataFrame, tuple]:
+    """The written edges, and their number and digest, counted while they are written."""
+    seen = Observation(step)
+    out = tmp.write(edges.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")), step)
+    return out, (seen.get["n"], seen.get["h"])
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[list[int], list[int]]:

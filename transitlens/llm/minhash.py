@@ -13,21 +13,20 @@ Candidates are verified on full sets.  No group is expanded into pairs:
 * equal sets are one class, represented by its smallest doc_id;
 * hashes of either collection that only one class has cannot make a shared
   table key and are dropped before keys are formed;
-* each round, every class is checked against one member ("pivot") of a table
-  key it shares, the one it shares most keys with; verified links are merged
-  to components; keys whose classes are in one component are done.  The first
-  pivot of a key is its most central class (most meetings over all keys), which
-  in a group of copies is the text they come from; later ones are drawn by hash;
-* after ``pivot_rounds`` rounds, the shingles of the classes in keys left with
-  several components are counted: only x of a class's shingles occur in another
-  component at all.  A pair whose sets reach the threshold t shares at least
-  t/(1+t) of the sum of their sizes, so a class with fewer than t of its
-  shingles outside is out: copies of one text that differ too much for a link
-  have shingles of their own and leave here, however many they are.  The rest
-  meet block by block, on the hashes of the first collection: a task takes two
-  blocks of at most about ``block`` classes, counts common shingles of all
-  pairs by a matrix product, and returns a spanning forest of the links.  No
-  candidate pair stays untested unless its ends are connected already.
+* every class is checked against one member ("pivot") of a table key it shares,
+  the one it shares most keys with.  The pivot of a key is its most central class
+  (most meetings over all keys), which in a group of copies is the text they come
+  from; keys whose classes are joined by verified links are done;
+* the shingles of the classes in the other keys are counted: only x of a class's
+  shingles occur in another component at all.  A pair whose sets reach the
+  threshold t shares at least t/(1+t) of the sum of their sizes, so a class with
+  fewer than t of its shingles outside is out: copies of one text that differ too
+  much for a link have shingles of their own and leave here, however many they
+  are.  The rest meet block by block, on the hashes of the first collection: a
+  task takes two blocks of at most about ``block`` classes, counts common shingles
+  of all pairs by a matrix product, and returns a spanning forest of the links.
+  No candidate pair stays untested unless its ends are connected already;
+* components are computed once, over the links of both steps.
 
 Defined cases: null or empty text, or text of white space, has an empty set and
 links with nothing; fewer words than a shingle make one shingle; rows that
@@ -41,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from transitlens.llm.common import Scratch, WordHasher, hand_back, mix64, pieces, release, spans_of, texts
+from transitlens.llm.common import Scratch, WordHasher, hand_back, mix64, pieces, spans_of, texts
 from transitlens.llm.graph import components, forest
 
 U64 = np.uint64
@@ -166,8 +165,9 @@ def _verify(percent: int):
 
 def table_keys(classes: DataFrame) -> DataFrame:
     """(key, id) of every class in every table in which it could meet another."""
-    half = classes.select("id", F.explode("u").alias("h"), F.lit(0).alias("side")).unionByName(
-        classes.select("id", F.explode("v").alias("h"), F.lit(1).alias("side")))
+    sided = F.concat(F.transform("u", lambda h: F.struct(h.alias("h"), F.lit(0).alias("side"))),
+                     F.transform("v", lambda h: F.struct(h.alias("h"), F.lit(1).alias("side"))))
+    half = classes.select("id", F.explode(sided).alias("k")).select("id", "k.h", "k.side")
     met = half.groupBy("h", "side").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h", "side")
     shared = (half.join(met, ["h", "side"]).groupBy("id")
               .agg(F.collect_list(F.when(F.col("side") == 0, F.col("h"))).alias("u"), F.collect_list(F.when(F.col("side") == 1, F.col("h"))).alias("v")))
@@ -183,6 +183,12 @@ def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(_verify(percent), "a long, b long"))
 
 
+def _followed(pointers: DataFrame) -> DataFrame:
+    """(a, b) with b moved on to where b itself points, if it does."""
+    on = pointers.select(F.col("a").alias("b"), F.col("b").alias("next"))
+    return pointers.join(on, "b", "left").select("a", F.coalesce("next", "b").alias("b"))
+
+
 def _shared_outside(open_ids: DataFrame, sets: DataFrame) -> DataFrame:
     """(id, c, n, x): x of the n shingles occur in another component's classes as well."""
     each = sets.join(open_ids, "id").select("id", "c", "n", F.explode("set").alias("s"))
@@ -225,55 +231,39 @@ def _common(percent: int):
     return common
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75, collection: int = 10, per_key: int = 2, pivot_rounds: int = 3, block: int = 400) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept), a row per document."""
+def near_duplicates(docs: DataFrame, percent: int = 75, collection: int = 10, per_key: int = 2, pivot_rounds: int = 1, block: int = 400) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept), a row per document.  ``pivot_rounds`` 0 leaves out the pivots:
+    all candidates meet in blocks."""
     spark = docs.sparkSession
     tmp = Scratch(spark, "minhash")
     base = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     signed = tmp.write(base.mapInArrow(_sign(collection, per_key), SIGNATURE), "signed")
     some = signed.filter("n_shingles > 0 and doc_id is not null")
     classes = tmp.write(some.groupBy("n_shingles", "d1", "d2").agg(F.min("doc_id").alias("id")), "classes")
-    reps = some.join(classes.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "u", "v")
+    reps = some.join(classes.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").alias("id"), "u", "v")
+    reps = tmp.write(reps, "reps")
     keys = table_keys(reps)
-    met = tmp.write(keys.distinct().join(keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count_distinct("id").alias("met"))
-                                         .filter("lo <> hi").select("key", "met"), "key"), "met")
-    tables = tmp.write(met.select("key", "id").join(met.groupBy("id").agg(F.sum("met").alias("central")), "id"), "tables")
-    release(spark)
-    members = tables.select(F.col("id").alias("doc_id")).distinct()
+    shared = keys.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count(F.lit(1)).alias("met")).filter("lo <> hi")
+    met = tmp.write(keys.join(shared.select("key", "met"), "key").distinct(), "met")
+    central = met.groupBy("id").agg(F.sum("met").alias("central"))
+    members = central.select(F.col("id").alias("doc_id"))
     sets = tmp.write(base.join(members, "doc_id", "left_semi").mapInArrow(_sets, "id long, n long, set array<long>"), "sets")
-    release(spark)
-    links = comp = tested = None
-    for r in range(pivot_rounds + 1):
-        rows = tables.withColumn("c", F.col("id")) if comp is None else (
-            tables.join(comp, "id", "left").select("key", "id", "central", F.coalesce("component", "id").alias("c")))
-        order = F.struct(-F.col("central") if r == 0 else F.xxhash64("id", "key", F.lit(r)), F.col("id"), F.col("c"))
-        open_keys = (rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.min(order).alias("p"))
-                     .filter("lo <> hi").select("key", F.col("p.id").alias("pivot"), F.col("p.c").alias("pc")))
-        met = rows.join(open_keys, "key")
-        if r == pivot_rounds:
-            shared = tmp.write(_shared_outside(met.select("id", "c").distinct(), sets).filter(f"100 * x >= {percent} * n"), "shared")
-            found = tmp.write(_meet(shared, reps, sets, percent, block), f"links-{r}")
-            if not found.isEmpty():
-                links = found if links is None else links.unionByName(found)
-                comp = components(links, tmp, f"comp-{r}")
-            break
-        met = met.filter("c <> pc").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
-        if tested is not None:
-            met = met.join(tested.select(F.col("a").alias("id"), F.col("b").alias("pivot")), ["id", "pivot"], "left_anti")
-        pairs = met.groupBy("id").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("id").alias("a"), "b")
-        pairs = tmp.write(pairs, f"pairs-{r}")
-        if pairs.isEmpty():         # every open pivot has been tried: go on to what is left
-            continue
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        found = tmp.write(_checked(pairs, sets, percent), f"links-{r}")
-        release(spark)
-        links = found if links is None else links.unionByName(found)
-        comp = components(links, tmp, f"comp-{r}")
+    # every class against the most central class of the keys it shares, most shared first
+    tables = met.select("key", "id").join(central, "id")
+    first = (tables.groupBy("key").agg(F.min(F.struct(-F.col("central"), F.col("id"))).alias("p")).select("key", F.col("p.id").alias("pivot")))
+    asked = (tables.join(first, "key").filter("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
+             .groupBy("id").agg(F.max_by("pivot", F.struct("n", "pivot")).alias("b")).select(F.col("id").alias("a"), "b"))
+    stars = tmp.write(_checked(asked if pivot_rounds else asked.limit(0), sets, percent), "stars")
+    # a pivot comes before its classes in one order of all classes, so following pivots ends: four steps join most of a group
+    up = _followed(_followed(stars))
+    rows = met.select("key", "id").join(up.select(F.col("a").alias("id"), "b"), "id", "left").select("key", "id", F.coalesce("b", "id").alias("c"))
+    still = rows.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("key")
+    left = tmp.write(_shared_outside(rows.join(still, "key", "left_semi").select("id", "c").distinct(), sets)
+                     .filter(f"100 * x >= {percent} * n").select("id", "c"), "left")
+    blocks = tmp.write(_meet(left, reps, sets, percent, block), "blocks")
+    comp = components(stars.unionByName(blocks), tmp, "comp")
     out = signed.select("doc_id", "n_shingles", "d1", "d2").join(classes, ["n_shingles", "d1", "d2"], "left")
-    if comp is not None:
-        out = out.join(comp, "id", "left")
-    else:
-        out = out.withColumn("component", F.lit(None).cast("long"))
+    out = out.join(comp, "id", "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "id", "doc_id"))
     return (out.withColumn("component_id", own)
             .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept")))
