@@ -483,3 +483,67 @@ def test_line_dedup_odd_rows(spark):
     got = sorted((str(r["doc_id"]), r["n_lines"], r["n_removed"], r["text"]) for r in df.collect())
     assert got == [("1", 0, 0, None), ("5", 3, 0, "a\nb\nc"), ("5", 3, 0, "a\nb\nc"), ("None", 3, 3, "")]
     assert line_dedup.line_dedup(frame(spark, [])).collect() == []
+
+
+# ------------------------------------------------------------------ rows that share an id, paths, bounds
+def test_warc_pages_that_share_an_id(spark, tmp_path):
+    rows = [(1, "A" * 200), (1, "B" * 300), (2, "A" * 200), (3, "B" * 300), (3, "A" * 200), (4, "C" * 50), (4, "C" * 50), (None, "B" * 300)]
+    pages = spark.createDataFrame([(i, f"http://x/{i}", h) for i, h in rows], "page_id long, url string, html string")
+    warc.write_archives(pages, str(tmp_path / "w"))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = []
+    for i, h in rows:
+        first = min(j for j, g in rows if g == h and j is not None)
+        again = len(h) >= 100 and i != first
+        want.append((i, len(h), sha(h), "revisit" if again else "response", first if again else None))
+    got = warc.read_archives(spark, str(tmp_path / "w")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+
+
+def inherited_brute(own):
+    """own: (path, license, cosine, is_file).  (path, license, dir) of the paths without a licence of their own."""
+    def folder(p):
+        steps = [s for s in p.split("/") if s]
+        return ("/" if p.startswith("/") else "", tuple(steps if p.endswith("/") else steps[:-1]))
+    best = {}
+    for p, lic, cos, is_file in own:
+        if is_file:
+            best[folder(p)] = min(best.get(folder(p), (0, "~", None)), (-round(cos, 9), p, lic))
+    out = {}
+    for p, lic, _, _ in own:
+        if lic is None:
+            root, steps = folder(p)
+            at = next(((root, steps[:n]) for n in range(len(steps), -1, -1) if (root, steps[:n]) in best), None)
+            out[p] = (best[at][2], root + "/".join(at[1])) if at else (None, None)
+    return out
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_licences_are_inherited_from_the_nearest_folder(spark, seed):
+    import random
+    rng = random.Random(seed)
+    mit, apache = "Released under the MIT license.", "Licensed under the Apache License, Version 2.0."
+    paths = set()
+    while len(paths) < 120:
+        paths.add(rng.choice(["", "/", "//"]) + "/".join(rng.choice("abc") for _ in range(rng.randrange(4))).replace("a/b", "a//b") + rng.choice(["/", ""]) + rng.choice(
+            ["LICENSE", "x.py", "COPYING", "y/"]))
+    rows = [(i, p, rng.choice([mit, apache]) if "x.py" not in p and "y/" not in p and rng.random() < 0.5 else "nothing here at all") for i, p in enumerate(sorted(paths))]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    own = {r["path"]: r for r in license_scan.own_licenses(docs).collect()}
+    is_file = lambda p: own[p]["license"] is not None
+    want = inherited_brute([(p, own[p]["license"], own[p]["cosine"], is_file(p)) for _, p, _ in rows])
+    got = {rows[r["doc_id"]][1]: (r["license"], r["license_dir"]) for r in license_scan.scan_licenses(docs).collect()}
+    assert sum(v[0] is not None for v in want.values()) > 10
+    assert {p: got[p] for p in want} == want
+
+
+def test_toxicity_sample_is_bounded_in_rows(spark):
+    rows = [(1, f"good words number {i}", 0) for i in range(300)] + [(2, "bad words", 1)] * 300 + [(2, f"bad words {i}", 1) for i in range(40)]
+    rows = [(i + (0 if zlib.crc32(str(i).encode()) % 5 else 10), t, y) for i, t, y in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.select("doc_id", "toxic").distinct()
+    model = toxicity.fit(docs, labels, sample_docs=10)
+    assert isinstance(model, toxicity.Model)
+    assert len(model.vocab) < 60        # ten rows a class, not all that share the drawn ids
+    assert toxicity.fit(docs, labels.filter("toxic = 1")) == 1.0
+    assert toxicity.fit(docs.limit(0), labels) == 0.0

@@ -135,19 +135,34 @@ def own_licenses(docs: DataFrame, least: float = 0.6) -> DataFrame:
     return base.mapInArrow(_scan(df, least), SCAN_SCHEMA)
 
 
+def _steps(path):
+    return F.filter(F.split(path, "/"), lambda s: s != "")
+
+
+def _root(path):
+    return F.when(path.startswith("/"), "/").otherwise("")
+
+
+def _dir(path):
+    """Folder of a path, without doubled slashes: ``/`` at the root, empty for a bare name."""
+    steps = _steps(path)
+    return F.concat(_root(path), F.array_join(F.slice(steps, 1, F.size(steps) - F.when(path.endswith("/"), 0).otherwise(F.least(F.lit(1), F.size(steps)))), "/"))
+
+
 def scan_licenses(docs: DataFrame, least: float = 0.6, file_share: float = 0.5) -> DataFrame:
     """(doc_id, license, found, license_dir): found is 'header', 'file', 'inherited' or null."""
     tmp = Scratch(docs.sparkSession, "license-scan")
     own = tmp.write(own_licenses(docs, least)
-                    .withColumn("dir", F.regexp_replace("path", "/?[^/]*$", ""))
+                    .withColumn("dir", _dir(F.col("path")))
                     .withColumn("is_file", F.coalesce(F.col("license").isNotNull()
                                                       & ((F.col("share") >= file_share) | F.regexp_extract("path", "([^/]*)$", 1).rlike(FILE_NAME.pattern)), F.lit(False))),
                     "own")
     dirs = (own.filter("is_file and dir is not null").groupBy(F.col("dir").alias("at"))
-            .agg(F.max_by("license", F.struct("cosine", F.struct("path"))).alias("dir_license")))
+            .agg(F.min_by("license", F.struct(-F.round("cosine", 9), F.col("path"))).alias("dir_license")))
     wanting = own.filter("license is null and path is not null").select("dir").distinct()
-    steps = F.filter(F.split("dir", "/"), lambda s: s != "")
-    up = wanting.select("dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.array_join(F.slice(steps, 1, n), "/"))).alias("at"))
+    steps = _steps(F.col("dir"))
+    up = wanting.select("dir", F.explode(F.transform(F.sequence(F.lit(0), F.size(steps)), lambda n: F.concat(
+        _root(F.col("dir")), F.array_join(F.slice(steps, 1, n), "/")))).alias("at"))
     near = (up.join(dirs, "at").groupBy("dir").agg(F.max_by(F.struct("at", "dir_license"), F.length("at")).alias("n"))
             .select("dir", F.col("n.at").alias("license_dir"), F.col("n.dir_license").alias("dir_license")))
     out = own.join(near, "dir", "left")

@@ -11,9 +11,10 @@ over their states gives one vector, a linear layer the window's logit.  A
 document's score is the sigmoid of its highest window; windows overlap by half
 and cover every word.
 
-Training is in numpy, by Adam on back-propagated gradients.  It uses a bounded
-sample of labelled rows (``sample_docs`` per class at most, texts of at most
-``sample_bytes``; smallest hashes first).  The label belongs to the document, so
+Training is in numpy, by Adam on back-propagated gradients, in one task.  It uses
+a bounded sample of labelled rows (``sample_docs`` rows and ``class_bytes`` of
+text per class at most, texts of at most ``sample_bytes``; smallest hashes first;
+a repeated row counts once).  The label belongs to the document, so
 each epoch first scores all windows and then learns from each document's highest
 one.  The first coordinate of word and n-gram vectors starts as the smoothed
 log-odds of the sample.
@@ -29,11 +30,13 @@ labels; extra columns are ignored; empty table, no rows.
 from __future__ import annotations
 
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
-from transitlens.llm.common import hand_back, mix64, pieces, text_buffers
+from transitlens.llm.common import Scratch, hand_back, mix64, pieces, text_buffers, texts
 from transitlens.llm.decontam import _FOLD
 
 WINDOW, STRIDE = 64, 32
@@ -273,8 +276,10 @@ def train(docs: list[bytes], y: np.ndarray, epochs: int = 10, batch: int = 96, m
     for epoch in range(epochs):
         x = table()
         if epoch == 0:      # before the network has learnt, the window with the most telling words
-            known = np.where(np.arange(idx.shape[1])[None] < size[:, None], (x[:, 0] + x[:, D])[idx], 0)
-            logit = np.sort(known, axis=1)[:, -3:].sum(1)
+            first_two, logit = x[:, 0] + x[:, D], np.empty(len(idx))
+            for i in range(0, len(idx), 8192):
+                known = np.where(np.arange(idx.shape[1])[None] < size[i:i + 8192, None], first_two[idx[i:i + 8192]], 0)
+                logit[i:i + 8192] = np.sort(known, axis=1)[:, -3:].sum(1)
         else:
             logit = np.concatenate([model.logits(x, idx[i:i + 1024], size[i:i + 1024]) for i in range(0, len(idx), 1024)])
         best = _highest(logit, doc, len(docs))
@@ -374,23 +379,41 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_bytes: int = 65_536) -> Model | float:
-    """Train on the bounded sample; the share of toxic labels if one class is missing."""
-    marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1) and doc_id is not null")
-    marked = marked.filter(~held_out())
-    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    sized = texts.select("doc_id", F.octet_length("text").alias("size")).filter(F.col("size").between(1, sample_bytes))
-    known = sized.select("doc_id").join(marked, "doc_id")                # numbers only: texts follow for the sample alone
-    pick = [known.filter(F.col("toxic") == k).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for k in (0, 1)]
-    some = pick[0].unionByName(pick[1])
-    rows = (texts.filter(F.octet_length("text").between(1, sample_bytes)).join(F.broadcast(some), "doc_id")
-            .orderBy("toxic", F.xxhash64("doc_id"), "text").collect())
-    y = np.array([r["toxic"] for r in rows], np.float64)
+def _trained(batches):
+    """The pickled model of the sample's rows (toxic, text), all in this task."""
+    y, body = [], []
+    for batch in batches:
+        y += batch.column(0).to_pylist()
+        body += texts(batch.column(1))
+    y = np.array(y, np.float64)
     if not len(y) or y.min() == y.max():
-        return float(y.mean()) if len(y) else 0.0
-    model = train([r["text"].encode() for r in rows], y)
+        model: Model | float = float(y.mean()) if len(y) else 0.0
+    else:
+        model = train(body, y)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+    del model, body
     hand_back()
-    return model
+
+
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_bytes: int = 65_536, class_bytes: int = 32 << 20) -> Model | float:
+    """Train, in one task, on the bounded sample: ``sample_docs`` rows of each class and ``class_bytes`` of their text
+    at most.  Without both classes: the share of toxic labels."""
+    spark = docs.sparkSession
+    marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int").alias("toxic")).filter("toxic in (0, 1) and doc_id is not null")
+    marked = marked.filter(~held_out()).distinct()
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter(F.octet_length("text").between(1, sample_bytes))
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
+    # numbers only, and a row once however often it is repeated: texts follow for the sample alone
+    known = rows.groupBy("doc_id", "h").agg(F.max(F.octet_length("text")).alias("size")).join(marked, "doc_id")
+    pick = [known.filter(F.col("toxic") == k).orderBy(*order).limit(sample_docs) for k in (0, 1)]
+    some = (pick[0].unionByName(pick[1]).withColumn("sum", F.sum("size").over(Window.partitionBy("toxic").orderBy(*order)))
+            .filter(F.col("sum") <= class_bytes).select("doc_id", "h", "toxic"))
+    sample = rows.join(F.broadcast(some), ["doc_id", "h"]).dropDuplicates(["doc_id", "h", "toxic"])
+    one = sample.repartition(1).sortWithinPartitions("toxic", F.xxhash64("doc_id"), "text").select("toxic", "text")
+    path = Scratch(spark, "toxicity-model")
+    found = path.write(one.mapInArrow(_trained, "model binary"), "model").first()         # written: trained once
+    return pickle.loads(found["model"]) if found else 0.0
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = 2000, sample_bytes: int = 65_536) -> DataFrame:

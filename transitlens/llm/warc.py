@@ -12,7 +12,7 @@ Reading: files are parsed record by record; blocks are not interpreted until
 the record is whole.  Continuations are grouped with their origin by record
 identifier, ordered by segment number, checked for gaps and for the total
 length, joined, and the chunked framing is decoded.  Whole records are decoded
-where they are parsed.  Revisits take payload length and digest from the
+where they are parsed.  Revisits carry the digest and take the payload length from the
 response they refer to.
 
 Archives are gzip files written by Spark's text sink (the record separator is
@@ -206,7 +206,8 @@ def _rows(raw: bytes):
         rid = head[b"warc-record-id"].decode()
         number = int(head.get(b"warc-segment-number", b"0"))
         if kind == "revisit":
-            yield rid, _page(head[b"warc-record-id"]), kind, _page(head[b"warc-refers-to"]), None, None, None, None, None
+            digest = head[b"warc-payload-digest"].partition(b":")[2].strip().decode().lower()
+            yield rid, _page(head[b"warc-record-id"]), kind, _page(head[b"warc-refers-to"]), None, None, None, None, digest
         elif kind == "continuation":
             total = head.get(b"warc-segment-total-length")
             yield head[b"warc-segment-origin-id"].decode(), None, kind, None, number, int(total) if total else None, block, None, None
@@ -256,9 +257,9 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     joined = (parsed.filter("segment is not null").groupBy("origin")
               .applyInArrow(_reassemble, "page_id long, record_type string, payload_bytes long, payload_digest string"))
     responses = whole.unionByName(joined)
-    known = responses.filter("page_id is not null").dropDuplicates(["page_id"])
-    revisits = parsed.filter("record_type = 'revisit'").select("page_id", "refers_to")
-    again = (revisits.join(known.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest"), "refers_to", "left")
+    known = responses.filter("page_id is not null").dropDuplicates(["page_id", "payload_digest"])
+    revisits = parsed.filter("record_type = 'revisit'").select("page_id", "refers_to", "payload_digest")
+    again = (revisits.join(known.select(F.col("page_id").alias("refers_to"), "payload_bytes", "payload_digest"), ["refers_to", "payload_digest"], "left")
              .select("page_id", F.lit("revisit").alias("record_type"), "payload_bytes", "payload_digest", "refers_to"))
     out = responses.withColumn("refers_to", F.lit(None).cast("long")).unionByName(again)
     return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
