@@ -11,12 +11,15 @@ a skewed trip.
 """
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from transitlens.config import DEFAULT, Params
 from transitlens.functions.fmt import dec_round
 from transitlens.functions.geo import haversine_m
 from transitlens.functions.timefn import local_date, local_dow, local_hour, local_midnight_epoch
+from transitlens.session import materialize
 
 DEDUP_ORDER = ["trip_id", "route_id_rt", "lat", "lon", "speed"]
 
@@ -32,9 +35,11 @@ def clean_positions(pos: DataFrame) -> DataFrame:
 
 def candidates(pos: DataFrame, stop_times: DataFrame, stops: DataFrame, p: Params = DEFAULT) -> DataFrame:
     """J1 + J2: every ping x every scheduled stop of its trip, with the distance."""
-    timetable = stop_times.join(stops, "stop_id")
-    return (pos.join(timetable, "trip_id")
-               .withColumn("dist_to_stop_m", haversine_m("lat", "lon", "stop_lat", "stop_lon")))
+    return with_distance(pos.join(stop_times.join(stops, "stop_id"), "trip_id"))
+
+
+def with_distance(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("dist_to_stop_m", haversine_m("lat", "lon", "stop_lat", "stop_lon"))
 
 
 USABLE = "dist_to_stop_m is not null and sched_arrival_sec is not null"
@@ -94,17 +99,63 @@ def build_delays(pos: DataFrame, stop_times: DataFrame, stops: DataFrame, trips:
 QUANTILES = (("min", 0.0), ("25%", 0.25), ("50%", 0.5), ("75%", 0.75), ("max", 1.0))
 
 
+def _narrowed(keys: DataFrame, lo: int, hi: int, ranks: list[int], bins: int) -> dict[int, int]:
+    """The values of the given ranks (from 0) of one whole-number column ``v`` whose values lie in [lo, hi].
+
+    Counts per range of values locate the range of each rank; the ranges that hold one
+    are divided again.  A round brings back ``bins`` counts per open range at most."""
+    open_ = {(lo, hi): (0, set(ranks))}                     # range: rows below it, ranks inside it
+    out: dict[int, int] = {}
+    while open_:
+        n_of = {r: max(1, -(-(r[1] - r[0] + 1) // bins)) for r in open_}       # width of its bins
+        where = F.lit(None).cast("long")
+        start = F.lit(None).cast("long")
+        for (a, b), w in n_of.items():
+            inside = F.col("v").between(a, b)
+            where = F.when(inside, F.lit(a)).otherwise(where)
+            start = F.when(inside, F.lit(a) + F.floor((F.col("v") - a) / F.lit(w)) * w if w > 1 else F.col("v")).otherwise(start)
+        counts = (keys.select(where.cast("long").alias("range"), start.cast("long").alias("bin")).filter("range is not null")
+                  .groupBy("range", "bin").agg(F.count(F.lit(1)).alias("n")).collect())
+        by: dict[int, list] = {}
+        for r in counts:
+            by.setdefault(r["range"], []).append((r["bin"], r["n"]))
+        nxt: dict[tuple[int, int], tuple[int, set]] = {}
+        for (a, b), (below, wanted) in open_.items():
+            w = n_of[a, b]
+            for bin_, n in sorted(by[a]):
+                here = {k for k in wanted if below <= k < below + n}
+                if here and w == 1:
+                    out |= dict.fromkeys(here, bin_)
+                elif here:
+                    nxt[bin_, min(bin_ + w - 1, b)] = (below, here)
+                below += n
+        open_ = nxt
+    return out
+
+
+def quantiles_by_rank(df: DataFrame, column, probabilities: list[float], dp: int = 4, bins: int = 1024) -> list[float | None]:
+    """Exact quantiles (linear between neighbours) of a numeric column on a decimal grid of ``dp`` places.
+
+    The values become whole numbers of grid steps; the ranks that the quantiles need are
+    found by counting per value range, round by round, so no task and not the driver ever
+    holds the values: only counts of at most ``bins`` ranges per wanted rank."""
+    step = 10 ** dp
+    keys = df.select(F.round(column.cast("double") * step).cast("long").alias("v")).filter("v is not null")
+    lo, hi, n = keys.agg(F.min("v"), F.max("v"), F.count(F.lit(1))).first()
+    if not n:
+        return [None] * len(probabilities)
+    at = [q * (n - 1) for q in probabilities]
+    ranks = sorted({k for x in at for k in (math.floor(x), math.ceil(x))})
+    value = _narrowed(keys, lo, hi, ranks, bins)
+    return [(value[math.floor(x)] + (value[math.ceil(x)] - value[math.floor(x)]) * (x - math.floor(x))) / step for x in at]
+
+
 def delay_quantiles(delays: DataFrame) -> DataFrame:
-    """A4: exact min / quartiles / max of delay_min and dist_to_stop_m (metres at
-    0.1 m, the warehouse scale).  ``percentile`` keeps a value -> count map
-    that is merged across partitions, so its size follows the number of
-    distinct values, which the rounding bounds."""
-    d = F.col("delay_min")
-    m = dec_round(F.col("dist_to_stop_m"), 1)
-    exprs = []
-    for i, (_, q) in enumerate(QUANTILES):
-        exprs += [dec_round(F.percentile(d, q), 4).alias(f"d{i}"), dec_round(F.percentile(m, q), 4).alias(f"m{i}")]
-    one = delays.agg(*exprs)
-    rows = [F.struct(F.lit(name).alias("statistic"), F.col(f"d{i}").alias("delay_min"),
-                     F.col(f"m{i}").alias("dist_to_stop_m")) for i, (name, _) in enumerate(QUANTILES)]
-    return one.select(F.inline(F.array(*rows)))
+    """A4: exact min / quartiles / max of delay_min (2 decimals) and dist_to_stop_m (metres at
+    0.1 m, the warehouse scale), by rank selection over the written values."""
+    values = materialize(delays.select("delay_min", dec_round(F.col("dist_to_stop_m"), 1).alias("dist_to_stop_m")), "delay-values")
+    qs = [q for _, q in QUANTILES]
+    d, m = (quantiles_by_rank(values, F.col(c), qs, dp) for c, dp in (("delay_min", 2), ("dist_to_stop_m", 1)))
+    rows = [(name, a, b) for (name, _), a, b in zip(QUANTILES, d, m)]
+    out = delays.sparkSession.createDataFrame(rows, "statistic string, delay_min double, dist_to_stop_m double")
+    return out.select("statistic", dec_round(F.col("delay_min"), 4).alias("delay_min"), dec_round(F.col("dist_to_stop_m"), 4).alias("dist_to_stop_m"))

@@ -771,6 +771,58 @@ def q_schedule_delay(spark, sf_dir):
         "day_of_week", "delay_sec", "delay_min", "is_near_stop", "is_outlier")
 
 
+_NEAREST_SQL = """
+WITH stop_times AS (
+  SELECT CASE WHEN l_orderkey % 3 = 0 THEN 'HOT' ELSE CAST(l_orderkey AS VARCHAR) END AS trip_id,
+         CAST(l_orderkey * 10 + l_linenumber AS VARCHAR) AS stop_id, CAST(l_linenumber AS INTEGER) AS stop_sequence,
+         CASE WHEN (l_orderkey * 10 + l_linenumber) % 77 <> 0 THEN CAST((l_partkey * 37) % 108000 AS BIGINT) END AS sched_arrival_sec,
+         CASE WHEN (l_orderkey * 10 + l_linenumber) % 50 <> 0
+              THEN 28.5::DOUBLE + CAST(((l_orderkey * 10 + l_linenumber) * 7919) % 20011 AS DOUBLE) / 100000.0::DOUBLE END AS stop_lat,
+         77.0::DOUBLE + CAST(((l_orderkey * 10 + l_linenumber) * 104729) % 20021 AS DOUBLE) / 100000.0::DOUBLE AS stop_lon
+  FROM lineitem),
+pos AS (
+  SELECT CAST(event_id AS VARCHAR) AS vehicle_id, CAST(event_id AS BIGINT) AS obs_epoch,
+         CASE WHEN event_id % 3 = 0 THEN 'HOT' ELSE CAST(user_id AS VARCHAR) END AS trip_id,
+         28.5::DOUBLE + CAST((event_id * 37) % 20000 AS DOUBLE) / 100000.0::DOUBLE AS lat,
+         77.0::DOUBLE + CAST((event_id * 7877) % 20000 AS DOUBLE) / 100000.0::DOUBLE AS lon
+  FROM events),
+cand AS (
+  SELECT p.*, s.stop_id, s.stop_sequence, s.sched_arrival_sec, 12742000.0::DOUBLE * asin(sqrt(
+           sin(radians(s.stop_lat - p.lat) / 2) * sin(radians(s.stop_lat - p.lat) / 2)
+           + cos(radians(p.lat)) * cos(radians(s.stop_lat)) * sin(radians(s.stop_lon - p.lon) / 2) * sin(radians(s.stop_lon - p.lon) / 2))) AS dist_m
+  FROM pos p JOIN stop_times s USING (trip_id) WHERE s.stop_lat IS NOT NULL AND s.sched_arrival_sec IS NOT NULL),
+best AS (
+  SELECT vehicle_id, obs_epoch, trip_id, min(ROW(CAST(round(CAST(dist_m AS DECIMAL(38,6)), 1) AS DOUBLE), stop_sequence, stop_id, sched_arrival_sec)) AS b
+  FROM cand GROUP BY ALL),
+bad AS (SELECT trip_id, count(*) AS n FROM stop_times WHERE stop_lat IS NULL OR sched_arrival_sec IS NULL GROUP BY ALL)
+SELECT vehicle_id, obs_epoch, b[3] AS stop_id, b[2] AS stop_sequence, b[4] AS sched_arrival_sec, b[1] AS dist_to_stop_m,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_malformed
+FROM best LEFT JOIN bad USING (trip_id)"""
+
+
+@register("nearest_stop", _NEAREST_SQL)
+def q_nearest_stop(spark, sf_dir):
+    """Nearest stop by growing rings; a third of all pings and stops share one trip, some stops are malformed."""
+    from transitlens.operators import nearest
+    T = Tables(spark, sf_dir)
+    no, eid = F.col("l_orderkey") * 10 + F.col("l_linenumber"), F.col("event_id")
+    hot = lambda key, other: F.when(F.col(key) % 3 == 0, "HOT").otherwise(F.col(other).cast("string")).alias("trip_id")
+    at = lambda base, n: F.lit(base) + n.cast("double") / 100000.0
+    line = T("lineitem")
+    stop_times = line.select(hot("l_orderkey", "l_orderkey"), no.cast("string").alias("stop_id"), F.col("l_linenumber").cast("int").alias("stop_sequence"),
+                             F.when(no % 77 != 0, (F.col("l_partkey") * 37) % 108000).cast("long").alias("sched_arrival_sec"))
+    stops = line.select(no.cast("string").alias("stop_id"), F.lit(None).cast("string").alias("stop_name"),
+                        F.when(no % 50 != 0, at(28.5, (no * 7919) % 20011)).alias("stop_lat"), at(77.0, (no * 104729) % 20021).alias("stop_lon")).distinct()
+    pos = T("events").select(eid.cast("string").alias("vehicle_id"), eid.cast("long").alias("obs_epoch"), hot("event_id", "user_id"),
+                             F.lit(None).cast("string").alias("route_id_rt"), at(28.5, (eid * 37) % 20000).alias("lat"),
+                             at(77.0, (eid * 7877) % 20000).alias("lon"), F.lit(None).cast("double").alias("speed"))
+    near = nearest.nearest_by_rings(pos, stop_times, stops)
+    return (near.join(nearest.malformed_stops(stop_times, stops), "trip_id", "left")
+            .select("vehicle_id", "obs_epoch", "stop_id", "stop_sequence", "sched_arrival_sec",
+                    F.round(F.col("dist_to_stop_m").cast("decimal(38,6)"), 1).cast("double").alias("dist_to_stop_m"),
+                    F.coalesce("n_malformed", F.lit(0)).cast("long").alias("n_malformed")))
+
+
 @register("delay_quantiles", with_static() + """
 , qs AS (
   SELECT quantile_cont(delay_min, [0.0, 0.25, 0.5, 0.75, 1.0]) AS dq,
