@@ -56,3 +56,23 @@ def test_second_of_two_racing_loads_fails_and_torn_commit_counts_as_none(spark,
     (tmp_path / "w" / "_commits" / "0000000003").write_text('{"version": 3, "tab')
     assert published.current(spark, root)["version"] == 2
     assert published._commit(spark, root, published.current(spark, root), before["tables"])["version"] == 4
+
+
+def test_a_writer_stopped_before_its_commit_is_published_loses_nothing(spark, tmp_path):
+    root = f"file://{tmp_path}/w"
+    first = published._commit(spark, root, None, {"t": "one"})
+    # A has written its commit and stops; B, from the same version, goes on and publishes
+    a = published._written_commit(spark, root, 2, {"t": "of A"})
+    assert published.current(spark, root) == first
+    b = published._commit(spark, root, first, {"t": "of B"})
+    assert b["version"] == 2 and published.current(spark, root) == b
+    with pytest.raises(published.LoadConflict):
+        published._published_commit(spark, root, first, 2, a)
+    assert published.current(spark, root) == b
+    # a number that is taken can't be taken again, even by a writer that saw no newer version
+    c = published._written_commit(spark, root, 2, {"t": "of C"})
+    with pytest.raises(published.LoadConflict):
+        published._published_commit(spark, root, b, 2, c)
+    assert published.current(spark, root) == b
+    # the other way round: B finds the number free as long as A has not published
+    assert published._commit(spark, root, b, {"t": "next"})["version"] == 3

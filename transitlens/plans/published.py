@@ -8,8 +8,10 @@ for the dates it touched, those of earlier loads for all other dates.  So no
 untouched partition is rewritten, readers see either the old version or the new
 one, and a failed load leaves only folders that no commit names.
 
-Commits are numbered files created only if absent: of two loads that started
-from the same version the second fails instead of losing the first one's rows.
+A commit is written under a hidden name and published by a rename to its number
+that fails if the number exists, so a number never stands for an unfinished file:
+of two loads that started from the same version the second fails instead of
+losing the first one's rows, wherever either of them stopped in between.
 The driver holds one path per table and date (dim_date bounds the dates), never
 rows.
 """
@@ -46,8 +48,8 @@ def _names(spark: SparkSession, path: str) -> list[str]:
 
 
 def current(spark: SparkSession, root: str) -> dict | None:
-    """The newest complete commit, or None before the first.  A commit file
-    whose writer died before its end does not parse and counts as none."""
+    """The newest complete commit, or None before the first.  A damaged commit
+    file does not parse and counts as none."""
     for name in reversed([n for n in _names(spark, f"{root}/_commits") if n.isdigit()]):
         fs, p = _fs(spark, f"{root}/_commits/{name}")
         stream = fs.open(p)
@@ -62,21 +64,38 @@ def current(spark: SparkSession, root: str) -> dict | None:
     return None
 
 
-def _commit(spark: SparkSession, root: str, before: dict | None, tables: dict) -> dict:
-    taken = [int(n) for n in _names(spark, f"{root}/_commits") if n.isdigit()]
+def _written_commit(spark: SparkSession, root: str, version: int, tables: dict) -> str:
+    """A complete commit file under a name that no reader looks at."""
+    path = f"{root}/_commits/.{version:010d}-{uuid.uuid4().hex}"
+    fs, p = _fs(spark, path)
+    out = fs.create(p, False)
+    try:
+        out.write(bytearray(json.dumps({"version": version, "tables": tables}), "utf-8"))
+    finally:
+        out.close()
+    return path
+
+
+def _published_commit(spark: SparkSession, root: str, before: dict | None, version: int, written: str) -> None:
+    """Give a written commit its number, unless another load has published since ``before``.  The rename fails if the
+    number is taken, and a numbered file is complete from the moment it exists."""
     now = current(spark, root)
     if (now or {}).get("version") != (before or {}).get("version"):
         raise LoadConflict(f"{root} moved on to version {now['version']} during the load")
-    version = max(taken, default=0) + 1
-    fs, p = _fs(spark, f"{root}/_commits/{version:010d}")
+    sc = spark.sparkContext
+    hadoop = sc._jvm.org.apache.hadoop.fs
+    _, source = _fs(spark, written)
+    _, target = _fs(spark, f"{root}/_commits/{version:010d}")
+    files = hadoop.FileContext.getFileContext(source.toUri(), sc._jsc.hadoopConfiguration())
     try:
-        out = fs.create(p, False)
+        files.rename(source, target, sc._gateway.new_array(hadoop.Options.Rename, 0))
     except Exception as e:
         raise LoadConflict(f"version {version} of {root} is taken") from e
-    try:
-        out.write(bytearray(json.dumps({"version": version, "tables": tables}), "utf-8"))
-    finally:
-        out.close()
+
+
+def _commit(spark: SparkSession, root: str, before: dict | None, tables: dict) -> dict:
+    version = max((int(n) for n in _names(spark, f"{root}/_commits") if n.isdigit()), default=0) + 1
+    _published_commit(spark, root, before, version, _written_commit(spark, root, version, tables))
     return {"version": version, "tables": tables}
 
 
