@@ -972,6 +972,50 @@ def q_stream_speed(spark, sf_dir):
                     "speed_kmph", "is_speed_valid", "is_moving")
 
 
+def _land_closing_report(raw: DataFrame, path: str) -> None:
+    """A last report of a vehicle "~close", months after all others, which moves the stream's clock past them."""
+    values = {"vehicle_id": F.lit("~close"), "route_id": F.lit("0"), "trip_id": F.lit("0"), "entity_id": F.lit("0"),
+              "latitude": F.lit(28.6), "longitude": F.lit(77.2), "speed": F.lit(0.0),
+              "vehicle_timestamp": (F.col("m") + 24 * 90) * 3600, "fetched_at": (F.col("m") + 24 * 90).cast("string")}
+    last = raw.agg(F.max(F.col("fetched_at").cast("long")).alias("m")).filter("m is not null")
+    last.select(*(values[c].alias(c) for c in raw.columns)).write.mode("append").json(path)
+
+
+# Every thirteenth report is fetched nine hours after its snapshot, every fifth two hours after it.
+_LATE_SHIFT = "CASE WHEN CAST(entity_id AS BIGINT) % 13 = 0 THEN 9 WHEN CAST(entity_id AS BIGINT) % 5 = 0 THEN 2 ELSE 0 END"
+_LATE_BOUND_S = 14_400
+
+
+def _late_sql() -> str:
+    from transitlens.plans.oracle import CTE
+    shifted = f"shifted AS (SELECT * REPLACE (CAST(CAST(fetched_at AS BIGINT) + {_LATE_SHIFT} AS VARCHAR) AS fetched_at) FROM raw)"
+    lateness = "CAST(snapshot_id AS BIGINT) * 3600 - obs_epoch"
+    chain = CTE["pings"].strip().replace("FROM raw", "FROM shifted").replace("valid_pos AS (", "all_valid AS (", 1).replace(
+        "dedup AS (", f"valid_pos AS (SELECT * FROM all_valid WHERE {lateness} <= {_LATE_BOUND_S}),\ndedup AS (", 1)
+    return with_ctes("raw") + ", " + shifted + ", " + chain + f"""
+SELECT 'on_time' AS kind, vehicle_id, obs_epoch, snapshot_id, n_reports, gap_s, CAST(round(CAST(dist_m AS DECIMAL(38,6)), 1) AS DOUBLE) AS dist_m
+FROM dist JOIN (SELECT vehicle_id, obs_epoch, CAST(count(*) AS BIGINT) AS n_reports FROM valid_pos GROUP BY ALL) n USING (vehicle_id, obs_epoch)
+UNION ALL SELECT 'late', vehicle_id, obs_epoch, snapshot_id, 1, NULL, NULL FROM all_valid WHERE {lateness} > {_LATE_BOUND_S}"""
+
+
+@register("stream_late", _late_sql())
+def q_stream_late(spark, sf_dir):
+    """Reports landed out of order and late; reordered in keyed state, late ones in a side output, none lost."""
+    import uuid
+    from transitlens.session import scratch_path
+    from transitlens.streaming import late, stream as S
+    root = scratch_path(spark, f"streams/late-{uuid.uuid4().hex}")
+    raw = _raw(spark, sf_dir).withColumn("fetched_at", (F.col("fetched_at").cast("long") + F.expr(_LATE_SHIFT)).cast("string"))
+    arrived = F.col("snapshot_id").cast("long") * 3600
+    chunk = F.floor(F.col("fetched_at").cast("long") / 24).alias("_chunk")
+    S.land_in_time_order(raw.select("*", chunk), f"{root}/in", "_chunk")
+    _land_closing_report(raw, f"{root}/in")
+    s = late.reordered(S.positions(S.snapshot_stream(spark, f"{root}/in", max_files=16)), arrived, _LATE_BOUND_S)
+    S.run_available_now(s, S.idempotent_sink(f"{root}/out"), f"{root}/ckpt")
+    return spark.read.parquet(f"{root}/out").filter("vehicle_id <> '~close'").select(
+        "kind", "vehicle_id", "obs_epoch", "snapshot_id", "n_reports", "gap_s", F.round(F.col("dist_m").cast("decimal(38,6)"), 1).cast("double").alias("dist_m"))
+
+
 @register("stream_route_hour", with_ctes("pings") + """
 SELECT route_id, DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER) AS service_date,
        CAST(((obs_epoch + 19800) // 3600) % 24 AS INTEGER) AS hour_of_day, CAST(count(*) AS BIGINT) AS n_reports
@@ -991,6 +1035,23 @@ def q_stream_route_hour(spark, sf_dir):
     return spark.read.parquet(out).select("route_id", "service_date", "hour_of_day", "n_reports")
 
 
+@register("stream_route_hour_vehicles", with_ctes("pings") + """
+SELECT route_id, DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER) AS service_date,
+       CAST(((obs_epoch + 19800) // 3600) % 24 AS INTEGER) AS hour_of_day, CAST(count(DISTINCT vehicle_id) AS BIGINT) AS n_vehicles
+FROM valid_pos GROUP BY ALL""")
+def q_stream_route_hour_vehicles(spark, sf_dir):
+    """Exact distinct vehicles per route and local hour, by two chained stateful operators."""
+    from transitlens.functions.timefn import local_date, local_hour
+    from transitlens.streaming import stream as S
+    src, out, ck = _stream_setup(spark, sf_dir, "route-hour-vehicles")
+    _land_closing_report(_raw(spark, sf_dir), src)
+    counts = S.local_hour_vehicles(S.positions(S.snapshot_stream(spark, src, max_files=8)))
+    S.run_available_now(counts, S.idempotent_sink(out), ck)
+    start = F.unix_seconds(F.col("w.start"))
+    return spark.read.parquet(out).select("route_id", local_date(start, DEFAULT.time_zone).alias("service_date"),
+                                          local_hour(start, DEFAULT.time_zone).alias("hour_of_day"), "n_vehicles")
+
+
 # ---------------------------------------------------------------- sources / sinks round trips
 
 @register("raw_landing_roundtrip", with_ctes("raw") + """
