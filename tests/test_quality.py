@@ -36,3 +36,15 @@ def test_fixture_speed_check_fails_by_design(spark):
     failed = [r["check_id"] for r in res.collect() if not r["success"]]
     assert failed == ["speed_kmph_between_0_80.0_mostly_0.95"]
     assert all(r["success"] for r in Q.run_suite(pings.filter("is_speed_valid"), "p", Q.pings_suite()).collect())
+
+
+def test_failing_keys_are_the_smallest_and_bounded(spark):
+    rows = [(f"v{i:03d}" if i % 4 else None, float(i), i // 2) for i in range(100)] + [("v001", 1.0, 0)] * 50
+    df = spark.createDataFrame(rows, "a string, x double, g int")
+    checks = [Q.row_count_at_least(1), Q.not_null("a"), Q.between("x", 5, 90), Q.pair_ge("x", "g"), Q.unique("a", "x")]
+    got = {r["check_no"]: r["keys"] for r in Q.failing_keys(df, checks, ["g", "x"], k=3).collect()}
+    bad = {1: {f"{g}|{x}" for a, x, g in rows if a is None}, 2: {f"{g}|{x}" for _, x, g in rows if not 5 <= x <= 90}}
+    assert got == {1: ",".join(sorted(bad[1])[:3]), 2: ",".join(sorted(bad[2])[:3]), 4: "v001|1.0"}
+    out = Q.run_suite_with_keys(df, "d", checks, ["g", "x"], 3)
+    assert out.count() == 5 and out.filter("keys is not null").count() == 3
+    assert Q.failing_keys(df.limit(0), checks, ["g", "x"]).collect() == []

@@ -96,3 +96,19 @@ def test_upsert_keeps_what_other_writers_did(spark, tmp_path, mode):
         assert sorted((r.k, r.v) for r in spark.read.parquet(path).collect()) == [(1, 99), (2, 7), (3, 8)]
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", was)
+
+
+def test_reconcile_by_digest_equals_reconcile(spark):
+    import random
+    rng = random.Random(5)
+    a = [(i, rng.choice([None, 1, 2]), rng.choice([None, 0.5, -0.0])) for i in range(3000)] + [(7, 1, 0.5)] * 40 + [(None, None, 1.0)]
+    b = [r for r in a if r[0] is None or r[0] % 301] + [(7, 1, 0.5)] * 2 + [(5000, 1, 1.0)] + [(11, None, 9.0), (None, 1, None)]
+    schema = "k long, x int, y double"
+    l, r = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
+    want = sorted(map(str, W.reconcile(l, r).collect()))
+    for levels in ((2, 3), (8, 8, 8)):
+        assert sorted(map(str, W.reconcile_by_digest(l, r, ["k"], levels).collect())) == want
+    assert len(want) > 10
+    swapped = spark.createDataFrame([(1, None, 2.0)], schema), spark.createDataFrame([(1, 2, None)], schema)
+    assert W.reconcile_by_digest(*swapped, ["k"]).count() == 2
+    assert W.reconcile_by_digest(l, l, ["k"]).count() == 0 and W.reconcile_by_digest(l.limit(0), r, ["k"]).count() == len(b)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from transitlens.config import DEFAULT, Params
 
@@ -156,6 +156,47 @@ def run_suite(df: DataFrame, dataset: str, checks: list[Check]) -> DataFrame:
     return one.select(F.inline(F.array(*results)))
 
 
+def _fails(c: Check) -> Column:
+    """Whether a row is unexpected for a scalar check (false where it is not judged)."""
+    col = F.col(c.column)
+    if c.check_type == "not_null":
+        return col.isNull()
+    if c.check_type == "between":
+        bad = F.lit(False)
+        if c.min_value is not None:
+            bad = bad | (col < F.lit(c.min_value))
+        if c.max_value is not None:
+            bad = bad | (col > F.lit(c.max_value))
+    elif c.check_type == "in_set":
+        bad = ~col.isin(*c.values)
+    else:
+        bad = col < F.col(c.column_b) if c.or_equal else col <= F.col(c.column_b)
+    return F.coalesce(bad, F.lit(False))
+
+
+def failing_keys(df: DataFrame, checks: list[Check], key: list[str], k: int = 5) -> DataFrame:
+    """Q13: (check_no, keys): the ``k`` smallest keys (``key`` columns joined by "|") of the rows that each check finds
+    unexpected; for a uniqueness check the smallest repeated keys.  Only unexpected rows leave their task, once per
+    key and check, and a ranking window with Spark's group limit keeps k of them."""
+    def text(cols):
+        return F.concat_ws("|", *(F.col(c).cast("string") for c in cols))
+    scalar = [(i, c) for i, c in enumerate(checks) if c.check_type not in ("compound_unique", "row_count_between")]
+    numbers = F.filter(F.array(*(F.when(_fails(c), F.lit(i)) for i, c in scalar)), lambda x: x.isNotNull())
+    bad = df.select(F.explode(numbers).alias("check_no"), text(key).alias("key")).distinct()
+    for i, c in enumerate(checks):
+        if c.check_type == "compound_unique":
+            twice = (df.filter(" or ".join(f"{x} is not null" for x in c.columns))
+                     .groupBy(*c.columns).agg(F.count(F.lit(1)).alias("_k")).filter("_k > 1"))
+            bad = bad.unionByName(twice.select(F.lit(i).alias("check_no"), text(c.columns).alias("key")).distinct())
+    first = bad.withColumn("r", F.row_number().over(Window.partitionBy("check_no").orderBy("key"))).filter(F.col("r") <= k)
+    return first.groupBy("check_no").agg(F.array_join(F.array_sort(F.collect_list("key")), ",").alias("keys"))     # k at most
+
+
+def run_suite_with_keys(df: DataFrame, dataset: str, checks: list[Check], key: list[str], k: int = 5) -> DataFrame:
+    """Results of ``run_suite`` with ``keys``, the k smallest offending keys of each check (null: none)."""
+    return run_suite(df, dataset, checks).join(F.broadcast(failing_keys(df, checks, key, k)), "check_no", "left")
+
+
 def suite_passed(results: DataFrame) -> DataFrame:
     """Q13: overall flag per dataset."""
     return results.groupBy("dataset").agg(F.bool_and("success").alias("passed"),

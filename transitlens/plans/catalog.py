@@ -390,6 +390,71 @@ def q_quality_gate(spark, sf_dir):
     return q.suite_passed(res)
 
 
+# Faults by the second of the report, and by the hour of a route-hour row: (column, every nth, SQL and Spark value).
+_PING_FAULTS = [("vehicle_id", 101, "NULL"), ("route_id", 103, "NULL"), ("lat", 107, "lat + 10"), ("lon", 109, "lon - 50"),
+                ("hour_of_day", 113, "24"), ("day_of_week", 127, "0"), ("speed_kmph", 2, "-5.0")]
+_HOUR_FAULTS = [("day_of_week", 7, "8"), ("n_pings", 5, "0"), ("n_vehicles", 11, "n_pings + 3"), ("n_speed_obs", 6, "n_pings + 1"),
+                ("n_moving", 8, "n_speed_obs + 2"), ("avg_speed_kmph", 9, "99.5"), ("avg_moving_speed_kmph", 10, "1.5"), ("route_id", 13, "NULL")]
+
+
+def _faulty(columns: list[str], faults, no: str) -> list[str]:
+    of = {c: f"CASE WHEN {no} % {n} = 0 THEN {v} ELSE {c} END AS {c}" for c, n, v in faults}
+    return [of.get(c, c) for c in columns]
+
+
+def _keys_sql(dataset: str, relation: str, checks, key: list[str], shown: dict[str, str] | None = None) -> str:
+    """Results of a suite with the five smallest offending keys; ``shown``: columns named by another one in keys."""
+    parts = []
+    for i, c in enumerate(checks):
+        text = lambda cols: "concat_ws('|', " + ", ".join(f"CAST({x} AS VARCHAR)" for x in cols) + ")"
+        if c.check_type == "row_count_between":
+            continue
+        if c.check_type == "compound_unique":
+            cols = [(shown or {}).get(x, x) for x in c.columns]
+            parts.append(f"SELECT {i} AS check_no, {text(cols)} AS key FROM {relation} WHERE "
+                         f"{' OR '.join(f'{x} IS NOT NULL' for x in cols)} GROUP BY {', '.join(cols)} HAVING count(*) > 1")
+            continue
+        bad = {"not_null": f"{c.column} IS NULL", "in_set": f"{c.column} NOT IN (true, false)",
+               "between": f"({c.column} < {c.min_value if c.min_value is not None else 'NULL'} OR {c.column} > {c.max_value if c.max_value is not None else 'NULL'})",
+               "pair_a_ge_b": f"{c.column} < {c.column_b}"}[c.check_type]
+        parts.append(f"SELECT {i} AS check_no, {text(key)} AS key FROM {relation} WHERE {bad}")
+    keys = (f"SELECT check_no, string_agg(key, ',' ORDER BY key) AS keys FROM (SELECT * FROM (SELECT DISTINCT * FROM ({' UNION ALL '.join(parts)}) u) d "
+            "QUALIFY row_number() OVER (PARTITION BY check_no ORDER BY key) <= 5) f GROUP BY check_no")
+    return f"SELECT r.*, k.keys FROM ({_oracle_quality(dataset, relation, checks)}) r LEFT JOIN ({keys}) k USING (check_no)"
+
+
+_PING_COLUMNS = ["vehicle_id", "route_id", "obs_epoch", "lat", "lon", "hour_of_day", "day_of_week", "speed_kmph", "is_moving", "is_bunched"]
+_HOUR_COLUMNS = ["route_id", "service_date", "hour_of_day", "day_of_week", "n_pings", "n_vehicles", "n_speed_obs", "n_moving",
+                 "avg_speed_kmph", "avg_moving_speed_kmph"]
+
+
+@register("quality_failures_injected", with_ctes("route_hour") + f"""
+, bad_pings AS (SELECT * EXCLUDE (obs_epoch), make_timestamp(obs_epoch * 1000000) AS obs_ts, obs_epoch AS no FROM (
+  SELECT {', '.join(_faulty(_PING_COLUMNS, _PING_FAULTS, 'obs_epoch'))} FROM pings
+  UNION ALL SELECT {', '.join(_PING_COLUMNS)} FROM pings WHERE obs_epoch % 131 = 0) x),
+bad_hours AS (
+  SELECT {', '.join(_faulty(_HOUR_COLUMNS, _HOUR_FAULTS, 'hour_of_day'))} FROM route_hour
+  UNION ALL SELECT {', '.join(_HOUR_COLUMNS)} FROM route_hour WHERE hour_of_day = 3)
+""" + _keys_sql("vehicle_pings_clean", "bad_pings", _QP, ["vehicle_id", "no"], {"obs_ts": "no"}) + "\nUNION ALL\n"
+          + _keys_sql("route_hour_speed", "bad_hours", _QR, ["route_id", "service_date", "hour_of_day"]))
+def q_quality_failures_injected(spark, sf_dir):
+    """Q1-Q13: all 26 checks over rows with planted faults: counts, verdicts and the five smallest offending keys of each."""
+    q = _q()
+    pings = _pings(spark, sf_dir)
+    rows = pings.withColumn("obs_epoch", F.unix_seconds("obs_ts")) if "obs_epoch" not in pings.columns else pings
+    one = rows.select(*_PING_COLUMNS)
+    bad = (one.selectExpr(*_faulty(_PING_COLUMNS, _PING_FAULTS, "obs_epoch")).unionByName(one.filter("obs_epoch % 131 = 0"))
+           .withColumn("obs_ts", F.timestamp_seconds("obs_epoch")))
+    hours = metrics.route_hour(pings).select(*_HOUR_COLUMNS)
+    worse = hours.selectExpr(*_faulty(_HOUR_COLUMNS, _HOUR_FAULTS, "hour_of_day")).unionByName(hours.filter("hour_of_day = 3"))
+    from transitlens.session import materialize
+    bad, worse = materialize(bad, "faulty-pings"), materialize(worse, "faulty-hours")
+    in_seconds = [q.unique("vehicle_id", "obs_epoch") if c.check_type == "compound_unique" else c for c in _QP]
+    keys = q.failing_keys(bad, in_seconds, ["vehicle_id", "obs_epoch"])
+    return (q.run_suite(bad, "vehicle_pings_clean", _QP).join(F.broadcast(keys), "check_no", "left")
+            .unionByName(q.run_suite_with_keys(worse, "route_hour_speed", _QR, ["route_id", "service_date", "hour_of_day"])))
+
+
 # ---------------------------------------------------------------- upserts (two-batch fixture)
 
 def _batches(spark, sf_dir):
@@ -646,6 +711,27 @@ def q_reconcile(spark, sf_dir):
     return W.reconcile(a, b)
 
 
+@register("reconcile_injected", """
+WITH a AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders),
+b AS (
+  SELECT o_orderkey, CASE WHEN o_orderkey % 101 <> 0 THEN o_custkey END AS o_custkey,
+         CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM a WHERE o_orderkey % 97 <> 0
+  UNION ALL SELECT * FROM a WHERE o_orderkey % 83 = 0
+  UNION ALL SELECT o_orderkey + 1000000000, o_custkey, o_totalprice FROM a WHERE o_orderkey % 79 = 0)
+SELECT *, 'left_only' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) x
+UNION ALL SELECT *, 'right_only' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a) y""")
+def q_reconcile_injected(spark, sf_dir):
+    """D-R1: two copies of a table with deleted, changed, nulled, duplicated and inserted rows, reconciled by digests."""
+    from transitlens.operators import warehouse as W
+    a = Tables(spark, sf_dir)("orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    every = lambda n: F.col("o_orderkey") % n == 0
+    b = (a.filter(~every(97)).withColumns({"o_custkey": F.when(~every(101), F.col("o_custkey")),
+                                           "o_totalprice": F.when(every(89), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))})
+         .unionByName(a.filter(every(83)))
+         .unionByName(a.filter(every(79)).withColumn("o_orderkey", F.col("o_orderkey") + 1_000_000_000)))
+    return W.reconcile_by_digest(a, b, ["o_orderkey"])
+
+
 # ---------------------------------------------------------------- diagnostics
 
 def _raw(spark, sf_dir):
