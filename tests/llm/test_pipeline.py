@@ -54,7 +54,7 @@ def test_empty_table_passes(spark):
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_match_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark"):
+    for t in ("documents", "pages", "benchmark", "embeddings"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     got = queries.QUERIES[name](spark, SF_SMALL)
     cols = sorted(got.columns)
