@@ -79,3 +79,14 @@ def test_publish_stages_then_replaces(spark, tmp_path):
     assert got == [(20260101, 1), (20260102, 5)]
     nan = spark.createDataFrame([(float("nan"), 1.0)], "a double, b double")
     assert W.nan_to_null(nan).first()["a"] is None
+
+
+def test_split_records_keeps_every_line_on_one_side(spark):
+    from transitlens.sources import feed
+    good = ['{"entity_id": "1", "vehicle_id": "v", "latitude": 28.5}', '{"entity_id": "2"}']
+    bad = ['{"entity_id": "3", "vehi', 'no json', '{"entity_id": "4", "latitude": "north"}', '[1, 2']
+    lines = spark.createDataFrame([(x,) for x in [*good, *bad, "", "  "]], "value string")
+    records, quarantine = feed.split_records(lines)
+    assert sorted(r["entity_id"] for r in records.collect()) == ["1", "2"]
+    assert sorted(r["line"] for r in quarantine.collect()) == sorted(bad)
+    assert quarantine.count() == 4 and records.columns == [f.name for f in __import__("transitlens.schemas", fromlist=["RAW"]).RAW.fields]

@@ -1140,6 +1140,25 @@ def q_stream_route_hour_vehicles(spark, sf_dir):
 
 # ---------------------------------------------------------------- sources / sinks round trips
 
+@register("feed_damaged_lines", with_ctes("raw") + """
+SELECT 'record' AS kind, entity_id, vehicle_id, route_id, latitude, vehicle_timestamp, fetched_at, CAST(1 AS BIGINT) AS n
+FROM raw WHERE CAST(entity_id AS BIGINT) % 50 <> 0
+UNION ALL SELECT 'quarantined', NULL, NULL, NULL, NULL, NULL, NULL, CAST(count(*) AS BIGINT) FROM raw WHERE CAST(entity_id AS BIGINT) % 50 = 0""")
+def q_feed_damaged_lines(spark, sf_dir):
+    """Records landed as JSON lines, every fiftieth cut in half; the rest read back, the damaged ones counted."""
+    import uuid
+    from transitlens.session import scratch_path
+    from transitlens.sources import feed
+    path = scratch_path(spark, f"damaged-{uuid.uuid4().hex}")
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("entity_id").cast("long") % 50 == 0, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+    _raw(spark, sf_dir).select(cut.alias("value")).write.text(path)
+    records, bad = feed.split_records(spark.read.text(path))
+    cols = ["entity_id", "vehicle_id", "route_id", "latitude", "vehicle_timestamp", "fetched_at"]
+    kinds = records.select(F.lit("record").alias("kind"), *cols, F.lit(1).cast("long").alias("n"))
+    return kinds.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("quarantined")), allowMissingColumns=True)
+
+
 @register("raw_landing_roundtrip", with_ctes("raw") + """
 SELECT strftime(make_timestamp(vehicle_timestamp * 1000000), '%Y') AS year,
        strftime(make_timestamp(vehicle_timestamp * 1000000), '%m') AS month,
