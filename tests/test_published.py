@@ -76,3 +76,22 @@ def test_a_writer_stopped_before_its_commit_is_published_loses_nothing(spark, tm
     assert published.current(spark, root) == b
     # the other way round: B finds the number free as long as A has not published
     assert published._commit(spark, root, b, {"t": "next"})["version"] == 3
+
+
+def test_a_batch_of_sums_counts_once(spark, tmp_path):
+    root = f"file://{tmp_path}/w"
+
+    def batch(*some):
+        return spark.createDataFrame(list(some), "date_key int, route_id string, n long, spare string")
+
+    def add(rows, batch_id, source="s"):
+        return published.add_batch(spark, root, "totals", rows, ["route_id"], ["n"], source, batch_id)
+    one = add(batch((20260101, "a", 1, "x"), (20260101, "a", 2, "y"), (20260102, None, 4, None)), 0)
+    two = add(batch((20260101, "a", 5, "x"), (20260101, "b", None, "x")), 1)
+    for again in (0, 1):
+        assert add(batch((20260101, "a", 100, "x")), again) == two
+    assert {d for d, p in two["tables"]["totals"]["paths"].items() if one["tables"]["totals"]["paths"].get(d) != p} == {"20260101"}
+    assert add(batch(), 2)["applied"] == {"s": 2}
+    assert add(batch((20260102, None, 1, "x")), 0, "other")["applied"] == {"s": 2, "other": 0}
+    got = {(r.date_key, r.route_id): r.n for r in published.read_table(spark, root, "totals").collect()}
+    assert got == {(20260101, "a"): 8, (20260101, "b"): 0, (20260102, None): 5}

@@ -632,6 +632,38 @@ def q_load_two_versions(spark, sf_dir):
     return _published_pings(spark, root)
 
 
+@register("incremental_three_batches", with_ctes("pings") + f"SELECT {PING_SQL_COLS}, true AS only_changed_dates_written FROM pings")
+def q_incremental_three_batches(spark, sf_dir):
+    """Pings of three batches (the first half of the time, the second half, and late reports of the first six
+    hours), equal to one run; every date whose rows the third batch changed has a new folder, and not all dates have one."""
+    from transitlens.plans import incremental, published
+    root, raw = _warehouse_root(spark), _raw(spark, sf_dir)
+    epoch = F.col("vehicle_timestamp")
+    span = raw.agg(F.min(epoch).alias("lo"), F.floor((F.min(epoch) + F.max(epoch)) / 2).alias("mid"))
+    late = (F.col("entity_id").cast("long") % 17 == 3) & (epoch < F.col("lo") + 6 * 3600)
+    part = raw.crossJoin(F.broadcast(span)).withColumn("part", F.when(late, 3).when(epoch < F.col("mid"), 1).otherwise(2))
+    versions = [incremental.load_batch(spark, root, part.filter(F.col("part") == i).select(*raw.columns)) for i in (1, 2, 3)]
+    two, three = versions[1:]
+    exact = True
+    for table in ("pings", "route_hours"):
+        changed = published.dates_of(incremental.changed_dates(spark, root, table, two, three))
+        written = incremental.written_dates(two, three, table)
+        exact &= set(changed) <= set(written) and 0 < len(written) < len(three["tables"][table]["paths"])
+    return ping_output(published.read_table(spark, root, "pings")).withColumn("only_changed_dates_written", F.lit(exact))
+
+
+@register("incremental_route_hours", with_ctes("route_hour") + "SELECT * FROM route_hour")
+def q_incremental_route_hours(spark, sf_dir):
+    """Route-hours kept up to date over two batches, the second of which holds a seventh of all reports,
+    drawn from every date."""
+    from transitlens.plans import incremental, published
+    root, raw = _warehouse_root(spark), _raw(spark, sf_dir)
+    seventh = F.col("entity_id").cast("long") % 7 == 0
+    incremental.load_batch(spark, root, raw.filter(~seventh))
+    incremental.load_batch(spark, root, raw.filter(seventh))
+    return published.read_table(spark, root, "route_hours").drop("date_key")
+
+
 # ---------------------------------------------------------------- integrity, audits, reconcile
 
 INTEGRITY_SQL = """
@@ -1138,6 +1170,40 @@ def q_stream_route_hour_vehicles(spark, sf_dir):
                                           local_hour(start, DEFAULT.time_zone).alias("hour_of_day"), "n_vehicles")
 
 
+@register("stream_totals_replayed", with_ctes("pings") + """
+SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key, route_id, n_reports, sum_epoch, 'failed after commit, replayed' AS second_batch
+FROM (SELECT DATE '1970-01-01' + CAST((obs_epoch + 19800) // 86400 AS INTEGER) AS d, route_id, CAST(count(*) AS BIGINT) AS n_reports,
+             CAST(sum(obs_epoch) AS BIGINT) AS sum_epoch FROM valid_pos GROUP BY ALL) t""")
+def q_stream_totals_replayed(spark, sf_dir):
+    """E5: sums per date and route kept by a stream whose second batch fails between its commit and the
+    checkpoint; the restarted stream sends it again, and it counts once."""
+    from transitlens.functions.fmt import date_key
+    from transitlens.functions.timefn import local_date
+    from transitlens.plans import published
+    from transitlens.streaming import stream as S
+    src, out, ck = _stream_setup(spark, sf_dir, "totals")
+    rows = S.positions(S.snapshot_stream(spark, src, max_files=2)).select(
+        date_key(local_date(F.col("obs_epoch"), DEFAULT.time_zone)).alias("date_key"), "route_id",
+        F.lit(1).alias("n_reports"), F.col("obs_epoch").alias("sum_epoch"))
+    sink = S.additive_sink(spark, out, "totals", ["route_id"], ["n_reports", "sum_epoch"], "feed")
+    seen = []
+
+    def failing(batch, batch_id):
+        sink(batch, batch_id)
+        seen.append(batch_id)
+        if seen == [0, 1]:
+            raise RuntimeError("stopped after the commit")
+    try:
+        S.run_available_now(rows, failing, ck)
+    except Exception:  # noqa: BLE001 -- the planned failure; anything else shows in ``seen``
+        if seen != [0, 1]:
+            raise
+    S.run_available_now(rows, failing, ck)
+    story = "failed after commit, replayed" if seen[:3] == [0, 1, 1] else str(seen)
+    return published.read_table(spark, out, "totals").select("date_key", "route_id", "n_reports", "sum_epoch",
+                                                             F.lit(story).alias("second_batch"))
+
+
 # ---------------------------------------------------------------- sources / sinks round trips
 
 @register("feed_damaged_lines", with_ctes("raw") + """

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, ty
 
 from transitlens.operators import metrics, quality, warehouse as W
 from transitlens.plans import warehouse_build
+from transitlens.session import materialize
 
 # fact -> (merge keys, columns an update sets (None: all), clustering inside a date)
 FACTS = {
@@ -64,13 +65,17 @@ def current(spark: SparkSession, root: str) -> dict | None:
     return None
 
 
-def _written_commit(spark: SparkSession, root: str, version: int, tables: dict) -> str:
+def _content(version: int, tables: dict, applied: dict | None) -> dict:
+    return {"version": version, "tables": tables} | ({"applied": applied} if applied else {})
+
+
+def _written_commit(spark: SparkSession, root: str, version: int, tables: dict, applied: dict | None = None) -> str:
     """A complete commit file under a name that no reader looks at."""
     path = f"{root}/_commits/.{version:010d}-{uuid.uuid4().hex}"
     fs, p = _fs(spark, path)
     out = fs.create(p, False)
     try:
-        out.write(bytearray(json.dumps({"version": version, "tables": tables}), "utf-8"))
+        out.write(bytearray(json.dumps(_content(version, tables, applied)), "utf-8"))
     finally:
         out.close()
     return path
@@ -93,21 +98,32 @@ def _published_commit(spark: SparkSession, root: str, before: dict | None, versi
         raise LoadConflict(f"version {version} of {root} is taken") from e
 
 
-def _commit(spark: SparkSession, root: str, before: dict | None, tables: dict) -> dict:
+def already_applied(version: dict | None, source: str, batch_id: int) -> bool:
+    """Whether the version holds this batch of a source whose batch ids only grow."""
+    return ((version or {}).get("applied") or {}).get(source, -1) >= batch_id
+
+
+def _commit(spark: SparkSession, root: str, before: dict | None, tables: dict, source: str | None = None,
+            batch_id: int | None = None) -> dict:
+    """Publish the next version.  The last batch of every source is part of it: rows and batch id appear together."""
+    applied = dict((before or {}).get("applied") or {}) | ({source: batch_id} if source is not None else {})
     version = max((int(n) for n in _names(spark, f"{root}/_commits") if n.isdigit()), default=0) + 1
-    _published_commit(spark, root, before, version, _written_commit(spark, root, version, tables))
-    return {"version": version, "tables": tables}
+    _published_commit(spark, root, before, version, _written_commit(spark, root, version, tables, applied))
+    return _content(version, tables, applied)
 
 
-def read_table(spark: SparkSession, root: str, name: str, version: dict | None = None) -> DataFrame:
+def read_table(spark: SparkSession, root: str, name: str, version: dict | None = None,
+               dates: list[int] | None = None) -> DataFrame:
     """One table of the current (or a given) version.  Only the folders of that
-    version are listed; a filter on date_key prunes them."""
+    version are listed; a filter on date_key prunes them, and ``dates`` leaves
+    the folders of all other dates unlisted."""
     version = version or current(spark, root)
     if version is None:
         raise LookupError(f"nothing has been published under {root}")
     entry = version["tables"][name]
     schema = T.StructType.fromJson(entry["schema"])
-    paths = [f"{root}/{name}/{p}" for p in entry["paths"].values()]
+    wanted = None if dates is None else {str(d) for d in dates}
+    paths = [f"{root}/{name}/{p}" for d, p in entry["paths"].items() if wanted is None or d in wanted]
     if not paths:
         return spark.createDataFrame([], schema)
     typed = T.StructType(schema.fields + [T.StructField("run_id", T.StringType())])
@@ -146,6 +162,34 @@ def _stage(spark: SparkSession, df: DataFrame, root: str, name: str, run: str, c
     return {"schema": schema.jsonValue(), "paths": paths}
 
 
+def add_batch(spark: SparkSession, root: str, name: str, rows: DataFrame, keys: list[str], sums: list[str],
+              source: str, batch_id: int) -> dict:
+    """E5: add the ``sums`` of a batch to an aggregate table, once however often the batch arrives.
+
+    ``rows`` hold date_key, ``keys`` and ``sums``, any number of rows per key; a null in a sum counts as 0, null keys
+    are keys.  The batch id is part of the commit, so a batch replayed after its commit is recognised, and one that
+    failed before it left nothing that a version names.  Only the touched dates are read and written."""
+    before = current(spark, root)
+    if already_applied(before, source, batch_id):
+        return before
+    key = ["date_key", *keys]
+    total = [F.sum(F.coalesce(F.col(c).cast("long"), F.lit(0))).alias(c) for c in sums]
+    part = materialize(rows.groupBy(*key).agg(*total), f"{name}-batch")
+    tables = dict((before or {"tables": {}})["tables"])
+    old = tables.get(name)
+    touched = dates_of(part)
+    if old:
+        part = read_table(spark, root, name, before, touched).select(*key, *sums).unionByName(part).groupBy(*key).agg(*total)
+    new = _stage(spark, part, root, name, uuid.uuid4().hex, keys)
+    tables[name] = new | {"paths": (old["paths"] if old else {}) | new["paths"]}
+    return _commit(spark, root, before, tables, source, batch_id)
+
+
+def dates_of(df: DataFrame) -> list[int]:
+    """The distinct date keys, which the calendar bounds."""
+    return sorted(r[0] for r in df.select("date_key").distinct().collect())
+
+
 def gated_load(spark: SparkSession, root: str, pings: DataFrame, route_hours: DataFrame | None = None,
                ping_checks=None, route_hour_checks=None) -> dict:
     """Check the transformed batch, and publish it as the next version.

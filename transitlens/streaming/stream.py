@@ -160,6 +160,16 @@ def upsert_sink(spark: SparkSession, path: str, keys: list[str], part_col: str):
     return write
 
 
+def additive_sink(spark: SparkSession, root: str, name: str, keys: list[str], sums: list[str], source: str):
+    """E5: foreachBatch writer of sums.  The batch id is committed together with the new totals (published.add_batch),
+    so a batch sent again after a failure between that commit and the checkpoint adds nothing."""
+    from transitlens.plans import published
+
+    def write(batch: DataFrame, batch_id: int):
+        published.add_batch(spark, root, name, batch, keys, sums, source, batch_id)
+    return write
+
+
 def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append") -> None:
     """Run a streaming query over all available input and wait for it."""
     q = (df.writeStream.outputMode(mode).foreachBatch(sink).option("checkpointLocation", checkpoint)
@@ -187,4 +197,4 @@ def chunk_day(epoch_col: str = "vehicle_timestamp", seconds: int = 86400):
 
 
 __all__ = ["snapshot_stream", "positions", "dedup_stream", "speed_stream", "local_hour_counts", "local_hour_vehicles",
-           "idempotent_sink", "upsert_sink", "run_available_now", "land_in_time_order", "chunk_day"]
+           "idempotent_sink", "upsert_sink", "additive_sink", "run_available_now", "land_in_time_order", "chunk_day"]
