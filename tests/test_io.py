@@ -90,3 +90,26 @@ def test_split_records_keeps_every_line_on_one_side(spark):
     assert sorted(r["entity_id"] for r in records.collect()) == ["1", "2"]
     assert sorted(r["line"] for r in quarantine.collect()) == sorted(bad)
     assert quarantine.count() == 4 and records.columns == [f.name for f in __import__("transitlens.schemas", fromlist=["RAW"]).RAW.fields]
+
+
+def test_arrays_keep_whole_records_and_name_what_is_damaged(spark, tmp_path):
+    good = '{"entity_id":"1","vehicle_id":"V1","latitude":28.5,"vehicle_timestamp":5}'
+    (tmp_path / "a.json").write_text(f'[{good},\n {{"entity_id":"2","latitude":"n/a"}}, {{"entity_id":"3","vehicle_timestamp":1.5}}, {{}}]')
+    (tmp_path / "b.json").write_text(f'[{good}, {{"entity_id":"4", "lat')
+    (tmp_path / "c.json").write_text("[]")
+    (tmp_path / "d.json").write_bytes(b"\xef\xbb\xbf" + f"[{good}]".encode())
+    records, bad, files = feed.split_arrays(spark, str(tmp_path))
+    assert records.schema.names == feed.schemas.RAW.names
+    assert sorted((r.entity_id or "", r.latitude, r.vehicle_timestamp) for r in records.collect()) == [
+        ("", None, None), ("1", 28.5, 5), ("1", 28.5, 5)]
+    assert sorted((r.entity_id, r.file.rsplit("/", 1)[1]) for r in bad.collect()) == [("2", "a.json"), ("3", "a.json")]
+    assert [r.file.rsplit("/", 1)[1] for r in files.collect()] == ["b.json"]
+
+
+def test_csv_lines_of_another_width_are_quarantined(spark, tmp_path):
+    for i, bom in enumerate((b"\xef\xbb\xbf", b"")):
+        (tmp_path / f"{i}.txt").write_bytes(bom + f'a,b\n{i},"x, y"\n\n1,2,3\n4\n5,\n'.encode())
+    rows_, bad = feed.split_csv(spark, str(tmp_path))
+    assert rows_.columns == ["a", "b"]
+    assert sorted((r.a, r.b) for r in rows_.collect()) == [("0", "x, y"), ("1", "x, y"), ("5", None), ("5", None)]
+    assert sorted(r.line for r in bad.collect()) == ["1,2,3", "1,2,3", "4", "4"]

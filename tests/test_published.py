@@ -95,3 +95,23 @@ def test_a_batch_of_sums_counts_once(spark, tmp_path):
     assert add(batch((20260102, None, 1, "x")), 0, "other")["applied"] == {"s": 2, "other": 0}
     got = {(r.date_key, r.route_id): r.n for r in published.read_table(spark, root, "totals").collect()}
     assert got == {(20260101, "a"): 8, (20260101, "b"): 0, (20260102, None): 5}
+
+
+def test_lookup_of_a_route_reads_its_dates_and_row_groups(spark, pings, tmp_path):
+    from transitlens.plans import reports
+    root = f"file://{tmp_path}/w"
+    published.gated_load(spark, root, pings)
+    days = sorted(int(d) for d in published.current(spark, root)["tables"]["fact_vehicle_ping"]["paths"])
+    wh = published.open_route(spark, root, "1", 18, first=days[1], last=days[1])
+    for fact in (wh.fact_ping, wh.fact_route_hour):
+        assert fact.inputFiles() and all(f"date_key={days[1]}/" in f for f in fact.inputFiles())
+        plan = fact._jdf.queryExecution().executedPlan().toString()
+        assert "EqualTo(route_key," in plan and "EqualTo(hour_key,18)" in plan
+    whole = published.open_warehouse(spark, root)
+    some = published.open_route(spark, root, "1")
+
+    def of(w, **kw):
+        return sorted(map(tuple, reports.route_speed(w, "1", **kw).collect()))
+    assert of(some) == of(whole) and of(some)
+    assert of(wh, hour=18, min_moving=1) == [r for r in of(whole, hour=18, min_moving=1) if r[1].replace("-", "") == str(days[1])]
+    assert reports.route_speed(published.open_route(spark, root, "no such route"), "no such route").count() == 0

@@ -17,6 +17,7 @@ from transitlens.functions.timefn import utc_ntz
 from transitlens.operators import bunching, metrics
 from transitlens.plans import flow
 from transitlens.plans.oracle import with_ctes, with_static
+from transitlens.sources import fixtures
 from transitlens.sources.fixtures import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -632,6 +633,79 @@ def q_load_two_versions(spark, sf_dir):
     return _published_pings(spark, root)
 
 
+# ---------------------------------------------------------------- reports and lookups over the stored warehouse
+
+_STORED_ROOTS: dict[tuple[str, str], str] = {}
+
+
+def _stored_root(spark, sf_dir):
+    """A published warehouse of the given tables, loaded once per application: all route-hours, and the valid pings
+    (the gate stops others)."""
+    from transitlens.plans import published
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED_ROOTS or published.current(spark, _STORED_ROOTS[key]) is None:
+        root, pings = _warehouse_root(spark), _pings(spark, sf_dir)
+        published.gated_load(spark, root, pings.filter("is_speed_valid"), metrics.route_hour(pings))
+        _STORED_ROOTS[key] = root
+    return _STORED_ROOTS[key]
+
+
+def _stored(spark, sf_dir):
+    from transitlens.plans import published
+    return published.open_warehouse(spark, _stored_root(spark, sf_dir))
+
+
+def _stored_features(wh):
+    from transitlens.functions.fmt import dec_round as dr
+    from transitlens.operators import model
+    return model.prepared(_r().route_hour_view(wh)).select(
+        "route_id", "full_date", "hour_key", "day_of_week", "is_peak_hour", "is_weekend", "is_train",
+        dr("route_avg_speed", 4).alias("route_avg_speed"), "avg_moving_speed_kmph")
+
+
+# The answers of the in-memory entries, from the published tables.
+_STORED_REPORTS = {
+    "report_slowest": lambda wh: _r().slowest_route_hours(wh),
+    "report_hour_rank": lambda wh: _r().slowest_in_each_hour(wh),
+    "report_day_part": lambda wh: _r().by_day_part(wh),
+    "report_bunching": lambda wh: _r().bunching_rate(wh),
+    "report_day_over_day": lambda wh: _r().day_over_day(wh),
+    "lookup_slowest": lambda wh: _r().slowest_route_hours(wh, min_moving=5, limit=25, date_as_text=True),
+    "tile_top15": lambda wh: _r().slowest_routes_tile(wh),
+    "tile_midday_evening": lambda wh: _r().midday_vs_evening(wh),
+    "tile_kpi": lambda wh: _r().kpi_cards(wh),
+    "bar_scale": lambda wh: _r().bar_scale(_r().slowest_route_hours(wh, date_as_text=True)),
+    "insight_prompt": lambda wh: _r().insight_prompt(wh),
+}
+
+
+def _register_stored(name, answer, sql):
+    @register(f"stored_{name}", sql)
+    def query(spark, sf_dir):
+        return answer(_stored(spark, sf_dir))
+
+
+for _name, _answer in _STORED_REPORTS.items():
+    _register_stored(_name, _answer, ORACLE[_name])
+
+
+@register("stored_lookup_route_hour", ORACLE["lookup_route_hour"])
+def q_stored_lookup_route_hour(spark, sf_dir):
+    """Route '4' at 18:00 from the published tables; other routes and hours are skipped by row group."""
+    from transitlens.plans import published
+    return _r().route_speed(published.open_route(spark, _stored_root(spark, sf_dir), "4", 18), "4", hour=18, min_moving=5)
+
+
+@register("stored_lookup_dates", with_ctes("warehouse") + LOOKUP_SQL.format(
+    route="1", floor=3, hour="AND date_key BETWEEN (SELECT min(date_key) + 1 FROM fact_rh) AND (SELECT min(date_key) + 2 FROM fact_rh)"))
+def q_stored_lookup_dates(spark, sf_dir):
+    """Route '1' over the second and third date key; folders of other dates are not listed."""
+    from transitlens.plans import published
+    root = _stored_root(spark, sf_dir)
+    lo = min(int(d) for d in published.current(spark, root)["tables"]["fact_route_hour_speed"]["paths"])
+    return _r().route_speed(published.open_route(spark, root, "1", first=lo + 1, last=lo + 2), "1")
+
+
 @register("incremental_three_batches", with_ctes("pings") + f"SELECT {PING_SQL_COLS}, true AS only_changed_dates_written FROM pings")
 def q_incremental_three_batches(spark, sf_dir):
     """Pings of three batches (the first half of the time, the second half, and late reports of the first six
@@ -1009,6 +1083,12 @@ def q_model_baseline_metrics(spark, sf_dir):
     return model.baseline_metrics(d)
 
 
+@register("stored_model_features", ORACLE["model_features"])
+def q_stored_model_features(spark, sf_dir):
+    """Training rows from the published tables."""
+    return _stored_features(_stored(spark, sf_dir))
+
+
 def _trained(spark, sf_dir):
     from transitlens.operators import model
     wh, d = _model_data(spark, sf_dir)
@@ -1225,6 +1305,60 @@ def q_feed_damaged_lines(spark, sf_dir):
     return kinds.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("quarantined")), allowMissingColumns=True)
 
 
+@register("feed_damaged_arrays", with_ctes("raw") + """
+, marked AS (SELECT *, CAST(fetched_at AS BIGINT) % 10 = 3 AS cut, CAST(entity_id AS BIGINT) % 50 = 0 AS spoilt FROM raw)
+SELECT 'record' AS kind, entity_id, vehicle_id, route_id, latitude, vehicle_timestamp, fetched_at, CAST(1 AS BIGINT) AS n
+FROM marked WHERE NOT cut AND NOT spoilt
+UNION ALL SELECT 'damaged record', NULL, NULL, NULL, NULL, NULL, NULL, CAST(count(*) AS BIGINT) FROM marked WHERE NOT cut AND spoilt
+UNION ALL SELECT 'damaged file', NULL, NULL, NULL, NULL, NULL, NULL, CAST(count(DISTINCT fetched_at) AS BIGINT) FROM marked WHERE cut""")
+def q_feed_damaged_arrays(spark, sf_dir):
+    """A JSON array per snapshot, every tenth file cut in half, every fiftieth record with a latitude that is no number."""
+    import uuid
+    from transitlens.session import scratch_path
+    from transitlens.sources import feed
+    path = scratch_path(spark, f"arrays-{uuid.uuid4().hex}")
+    spoilt = F.col("entity_id").cast("long") % 50 == 0
+    line = F.to_json(F.struct("*"))
+    line = F.when(spoilt, F.regexp_replace(line, '"latitude":[-0-9.E]+', '"latitude":"n/a"')).otherwise(line)
+    arrays = _raw(spark, sf_dir).groupBy("fetched_at").agg(
+        F.concat(F.lit("["), F.array_join(F.collect_list(line), ",\n"), F.lit("]")).alias("value"))
+    half = F.substring(F.col("value"), F.lit(1), F.floor(F.length("value") / 2).cast("int"))
+    (arrays.select(F.when(F.col("fetched_at").cast("long") % 10 == 3, half).otherwise(F.col("value")).alias("value"))
+           .write.option("maxRecordsPerFile", 1).text(path))
+    records, bad, files = feed.split_arrays(spark, path)
+    cols = ["entity_id", "vehicle_id", "route_id", "latitude", "vehicle_timestamp", "fetched_at"]
+    out = records.select(F.lit("record").alias("kind"), *cols, F.lit(1).cast("long").alias("n"))
+    for kind, rest in (("damaged record", bad), ("damaged file", files)):
+        out = out.unionByName(rest.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit(kind)), allowMissingColumns=True)
+    return out
+
+
+@register("timetable_damaged_csv", with_static() + """
+, marked AS (SELECT *, CAST(trip_id AS BIGINT) % 40 AS m FROM stop_times)
+SELECT 'row' AS kind, trip_id, stop_id, CASE WHEN m <> 2 THEN stop_sequence END AS stop_sequence, sched_arrival_sec, CAST(1 AS BIGINT) AS n
+FROM marked WHERE m NOT IN (0, 1)
+UNION ALL SELECT 'quarantined', NULL, NULL, NULL, NULL, CAST(count(*) AS BIGINT) FROM marked WHERE m IN (0, 1)""")
+def q_timetable_damaged_csv(spark, sf_dir):
+    """Stop times as CSV behind a byte-order mark, some lines with too few or too many fields, some with
+    a stop number that is no number."""
+    import uuid
+    from transitlens.session import scratch_path
+    from transitlens.sources import feed
+    t = Tables(spark, sf_dir)
+    times = fixtures.static_timetable(t("lineitem"), t("supplier"), t("orders"), t("customer"))[0]
+    path, m = scratch_path(spark, f"csv-{uuid.uuid4().hex}"), F.col("trip_id").cast("long") % 40
+    number = F.when(m == 2, F.lit("x")).otherwise(F.col("stop_sequence"))
+    line = F.when(m == 0, F.concat_ws(",", "trip_id", "arrival_time")).otherwise(
+        F.concat_ws(",", "trip_id", "arrival_time", "departure_time", "stop_id", number, F.when(m == 1, F.lit("more"))))
+    # one column whose name is the header line, with a separator that no line holds
+    times.select(line.alias("\ufeff" + ",".join(times.columns))).write.option("header", True).option("sep", "\u0001").csv(path)
+    rows, bad = feed.split_csv(spark, path)
+    typed = feed.static_frames(stop_times=rows)["stop_times"]
+    kinds = typed.select(F.lit("row").alias("kind"), "trip_id", "stop_id", "stop_sequence",
+                         F.col("sched_arrival_sec"), F.lit(1).cast("long").alias("n"))
+    return kinds.unionByName(bad.agg(F.count(F.lit(1)).alias("n")).withColumn("kind", F.lit("quarantined")), allowMissingColumns=True)
+
+
 @register("raw_landing_roundtrip", with_ctes("raw") + """
 SELECT strftime(make_timestamp(vehicle_timestamp * 1000000), '%Y') AS year,
        strftime(make_timestamp(vehicle_timestamp * 1000000), '%m') AS month,

@@ -141,6 +141,23 @@ def open_warehouse(spark: SparkSession, root: str) -> warehouse_build.Warehouse:
     return wh
 
 
+def open_route(spark: SparkSession, root: str, route_id: str, hour: int | None = None, first: int | None = None,
+               last: int | None = None) -> warehouse_build.Warehouse:
+    """The published tables of one route, for lookups (R6): facts of other dates than first..last (date keys) are not
+    even listed, and row groups of other routes and hours are skipped by their statistics, since facts are clustered
+    by hour and route.  The route's key, one integer, is looked up first; an unknown route has no facts."""
+    version = current(spark, root)
+    wh = open_warehouse(spark, root)
+    found = wh.dim_route.filter(F.col("route_id") == F.lit(route_id)).select("route_key").limit(1).collect()
+    wanted = F.col("route_key") == F.lit(found[0][0] if found else None).cast("int")
+    if hour is not None:
+        wanted = wanted & (F.col("hour_key") == F.lit(hour).cast("short"))
+    for name, fact in (("fact_route_hour_speed", "fact_route_hour"), ("fact_vehicle_ping", "fact_ping")):
+        dates = [int(d) for d in version["tables"][name]["paths"] if (first is None or int(d) >= first) and (last is None or int(d) <= last)]
+        setattr(wh, fact, read_table(spark, root, name, version, dates).filter(wanted))
+    return wh
+
+
 def _stage(spark: SparkSession, df: DataFrame, root: str, name: str, run: str, cluster: list[str] | None) -> dict:
     """Write the rows of one table of this load and count what arrived (K6)."""
     path = f"{root}/{name}/run_id={run}"
