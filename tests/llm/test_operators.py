@@ -338,6 +338,38 @@ def test_wavelet_shards(spark, documents, tokenizer, tmp_path):
 
 
 # ------------------------------------------------------------------ 6
+@pytest.mark.parametrize("pairs", [0, 1, 5, 300])
+def test_embeddings_with_rare_links_meet_planted_pairs(spark, pairs):
+    """The few vectors that are measured (here 40 of 6,000 to 6,300) have hardly any links, one label holds nearly all rows."""
+    r = np.random.default_rng(3)
+    x = r.normal(size=(6000, 32))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    u = r.normal(size=(pairs, 32))
+    u -= (u * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    u /= np.sqrt((u * u).sum(axis=1, keepdims=True))
+    y = 0.931 * x[:pairs] + np.sqrt(1 - 0.931 ** 2) * u
+    rows = [(i, v.tolist(), 0 if i < 5900 else i) for i, v in enumerate(x)] + [(10_000 + i, v.tolist(), 0) for i, v in enumerate(y)]
+    got = embed_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"), queries=40).filter("n_links > 0").collect()
+    found = {g.vec_id: g.component_id for g in got}
+    assert all(found[10_000 + i] == i for i in range(pairs) if 10_000 + i in found) and len(found) <= 2 * pairs
+    assert len(found) >= 2 * 0.9 * pairs
+
+
+def test_planted_ranks_count_the_cells_before_the_meeting():
+    r = np.random.default_rng(4)
+    x = r.normal(size=(300, 16))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    index = embed_dedup.MultiIndex(x, 12)
+    d1, d2 = index.distances(x)
+    cells = r.integers(0, d1.shape[1] * d2.shape[1], len(x))
+    want = [embed_dedup.multi_sequence(a, b, 10_000).index(c) for a, b, c in zip(d1, d2, cells)]
+    assert embed_dedup._rank(d1, d2, cells).tolist() == want
+    near = embed_dedup.planted_ranks(index, x, np.full(300, 16), 0.9999)
+    far = embed_dedup.planted_ranks(index, x, np.full(300, 16), 0.8)
+    assert np.median(near) == 0 and far.mean() > near.mean()
+    assert len(embed_dedup.planted_ranks(index, x, np.where(np.arange(300) < 5, 1, 16), 0.93)) == 295
+
+
 def test_embeddings_equal_brute_force(spark):
     rng = np.random.default_rng(4)
     base = rng.normal(0, 1, (40, 16))

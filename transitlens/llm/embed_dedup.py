@@ -7,8 +7,10 @@ order of the sum of its two half distances.  How many cells it visits is set by
 measurement: ``queries`` sampled vectors are compared with all rows by brute
 force, and the fewest cells are taken at which all true links of a share of
 ``recall`` of them (of those that have any) are met from either end; a group of
-copies thus weighs no more than its vectors.  Every met pair is verified by cosine in double
-precision.
+copies thus weighs no more than its vectors.  Where fewer than ``enough`` of them have
+links, the cells are also taken that meet a share of ``planted_recall`` of planted pairs:
+sampled vectors, each beside one at exactly the least cosine in a random direction, the
+hardest link there is.  Every met pair is verified by cosine in double precision.
 
 Only vectors with equal labels (and equal lengths) meet.  Equal vectors are one
 class with a multiplicity.  Cells are worked off in blocks of at most about
@@ -103,13 +105,34 @@ class MultiIndex:
 def _rank(d1: np.ndarray, d2: np.ndarray, cell: np.ndarray) -> np.ndarray:
     """How many cells each row visits before its ``cell``."""
     k2 = d2.shape[1]
+    near = np.sort(d2, axis=1)
     out = np.empty(len(cell), np.int64)
     for r in range(len(cell)):
-        own = d1[r, cell[r] // k2] + d2[r, cell[r] % k2]
-        out[r] = np.count_nonzero(d1[r][:, None] + d2[r][None] < own)
+        i, j = cell[r] // k2, cell[r] % k2
+        below = d1[r, i] + d2[r, j] - d1[r]
+        below[i] = d2[r, j]               # free of rounding for the cell itself
+        out[r] = np.searchsorted(near[r], below).sum()
     return out
 
 
+def planted_ranks(index: MultiIndex, x: np.ndarray, size: np.ndarray, least: float, seed: int = 11) -> np.ndarray:
+    """Cells visited before each row of ``x`` meets, from either end, a vector at cosine ``least`` from it, in a
+    random direction of its first ``size`` dimensions.  Rows of one dimension have no such vector and are left out."""
+    x, size = x[size > 1], size[size > 1]
+    u = np.random.default_rng(seed).normal(size=x.shape) * (np.arange(x.shape[1])[None] < size[:, None])
+    u -= (u * x).sum(axis=1, keepdims=True) * x
+    u /= np.maximum(np.sqrt((u * u).sum(axis=1, keepdims=True)), 1e-300)
+    y = least * x + np.sqrt(1 - least * least) * u
+    dx, dy = index.distances(x), index.distances(y)
+    return np.minimum(_rank(*dx, index.home(*dy)), _rank(*dy, index.home(*dx)))
+
+
+def _quantile(need: list, share: float) -> int:
+    """Visits that reach ``share`` of the ranks ``need``."""
+    need = sorted(need)
+    return 1 + int(need[max(0, int(np.ceil(share * len(need))) - 1)]) if need else 1
+
+
 def _measure(index, queries: np.ndarray, q_ids: np.ndarray, q_group: list, least: float):
     """(query, most visits needed before a true link of it) as far as one task's rows tell."""
     def measure(batches):
@@ -200,7 +223,7 @@ def _compare(dim: int, least: float):
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.93, recall: float = 0.995, sample: int = 20_000, queries: int = 4096, least_visits: int = 4,
-                 cell_rows: int = 16, block: int = 1500) -> DataFrame:
+                 cell_rows: int = 16, block: int = 1500, enough: int = 300, planted_recall: float = 0.95) -> DataFrame:
     """(vec_id, n_links, component_id, kept), a row per vector."""
     spark = vectors.sparkSession
     tmp = Scratch(spark, "multi-index")
@@ -212,21 +235,23 @@ def near_vectors(vectors: DataFrame, least: float = 0.93, recall: float = 0.995,
     classes = tmp.write(rows.filter("ok").groupBy("label", "h1", "h2").agg(
         F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("m"), F.first("embedding").alias("embedding"))
         .withColumn("dim", F.size("embedding")), "classes")
-    stat = classes.agg(F.count(F.lit(1)), F.max("dim"), F.count_distinct("label")).first()
+    stat = classes.groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.max("dim").alias("dim")).agg(F.max("n"), F.max("dim")).first()
     links = comp = None
     if stat[0]:
-        n, dim, labels = stat
+        n, dim = stat                     # of the largest label: its cells are the fullest
         picked = classes.orderBy(F.xxhash64("id"), "id").limit(sample).select("id", "label", "dim", "embedding").toArrow()
         x = unit_rows(picked["embedding"], dim)
-        k = int(min(256, max(2, np.ceil(np.sqrt(n / (labels * cell_rows))))))
+        k = int(max(2, np.ceil(np.sqrt(n / cell_rows))))          # never more than the sample's distinct halves
         index = spark.sparkContext.broadcast(MultiIndex(x, k))
         few = min(queries, len(x))
         group = list(zip(picked["label"].to_pylist()[:few], picked["dim"].to_pylist()[:few]))
         ask = _measure(index, x[:few], np.array(picked["id"].combine_chunks(), np.int64)[:few], group, least)
         need = (classes.select("id", "label", "dim", "embedding").mapInArrow(ask, "query long, visits long")
                 .groupBy("query").agg(F.max("visits").alias("visits")).collect())            # at most ``queries`` rows
-        need = sorted(r["visits"] for r in need)
-        visits = max(least_visits, 1 + need[max(0, int(np.ceil(recall * len(need))) - 1)] if need else 1)
+        visits = max(least_visits, _quantile([r["visits"] for r in need], recall))
+        if len(need) < enough:
+            size = np.array(picked["dim"].combine_chunks(), np.int64)[:few]
+            visits = max(visits, _quantile(planted_ranks(index.value, x[:few], size, least).tolist(), planted_recall))
         placed = classes.select("id", "m", "label", "dim", "embedding").mapInArrow(_place(index, visits), PLACED)
         placed = tmp.write(placed, "placed")
         cells = placed.groupBy("label", "dim", "cell").agg(
