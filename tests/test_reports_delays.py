@@ -125,3 +125,18 @@ def test_malformed_stops_are_no_candidates(spark):
                                  "stop_sequence int, stop_id string, stop_name string, route_id_rt string, lat double, lon double, speed double")
     assert [r["stop_id"] for r in delays.nearest_stop(cand).collect()] == ["s2"]
     assert [tuple(r) for r in delays.unusable_stops(cand).collect()] == [("t", 2)]
+
+
+def test_nearest_run_folds_to_the_nearest_day(spark):
+    from pyspark.sql import functions as F
+    from transitlens.operators.delays import nearest_run
+    midnight = 1767225600 - 19_800                    # of 2026-01-01 in +05:30
+    cases = [(s, o) for s in (0, 1, 43_200, 86_399, 90_000, 108_000, 200_000) for o in (0, 1, 43_199, 43_200, 46_800, 64_800, 70_400, 86_399)]
+    df = spark.createDataFrame([(s, midnight + o) for s, o in cases], "due int, epoch long")
+    got = {(r.due, r.epoch - midnight): r for r in df.select("due", "epoch", nearest_run(F.col("epoch"), F.col("due"), "Asia/Kolkata").alias("r")).select("due", "epoch", "r.*").collect()}
+    for s, o in cases:
+        raw = o - s
+        days = (1 if raw >= 0 else -1) * ((abs(raw) * 2 + 86_400) // 172_800)     # nearest whole day, halves away from zero
+        r = got[(s, o)]
+        assert (r.days, r.late) == (days, raw - days * 86_400), (s, o)
+        assert (r.day - __import__("datetime").date(2026, 1, 1)).days == days
