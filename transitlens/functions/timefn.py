@@ -44,7 +44,7 @@ def local_dow(epoch, zone: str) -> Column:
 
 def local_midnight_epoch(day, zone: str) -> Column:
     """Epoch seconds of 00:00 local time on ``day`` (a DATE column)."""
-    midnight_local = F.to_timestamp_ntz(F.date_format(_c(day), "yyyy-MM-dd"))
+    midnight_local = _c(day).cast("timestamp_ntz")
     return epoch_of_ntz(F.convert_timezone(F.lit(zone), F.lit("UTC"), midnight_local))
 
 

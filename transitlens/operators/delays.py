@@ -67,19 +67,19 @@ def nearest_stop(cand: DataFrame, p: Params = DEFAULT) -> DataFrame:
 def nearest_run(epoch, due_second, zone: str):
     """Struct (gap, nearer, days, late, day) of the run of a stop that an observation belongs to.
 
-    A trip runs every day, and its second after midnight may lie days past it, so the stop was due on the day after the
-    observation's, on its day, and on each day before that the schedule can reach; the run with the smallest gap to
-    the observation is taken, of two equally near ones that of the farther day.  ``late`` is the signed gap,
+    A trip runs every day, and its second after midnight may lie whole days past it.  Of the runs due on the date of
+    the observation, the date before and the date after, the one with the smallest gap to the observation is
+    taken, of two equally near ones that of the farther day.  ``late`` is the signed gap,
     ``day`` the day whose run it is and ``days`` its distance from the observation's date."""
-    seen = local_date(epoch, zone)
+    seen, past = local_date(epoch, zone), F.floor(due_second / 86400).cast("int")
 
-    def run(days):
+    def run(due_on: int):
+        days = F.lit(due_on) - past
         day = F.date_add(seen, days)
         late = epoch - (local_midnight_epoch(day, zone) + due_second)
         return F.struct(F.abs(late).alias("gap"), (-F.abs(days)).alias("nearer"), days.alias("days"), late.alias("late"), day.alias("day"))
 
-    earliest = (-1 - F.floor(due_second / 86400)).cast("int")
-    return F.array_min(F.transform(F.sequence(F.least(earliest, F.lit(-1)), F.lit(1)), run))
+    return F.least(run(-1), run(0), run(1))
 
 
 def build_delays(pos: DataFrame, stop_times: DataFrame, stops: DataFrame, trips: DataFrame, routes: DataFrame,
