@@ -106,6 +106,23 @@ def test_arrays_keep_whole_records_and_name_what_is_damaged(spark, tmp_path):
     assert [r.file.rsplit("/", 1)[1] for r in files.collect()] == ["b.json"]
 
 
+def test_arrays_are_read_once_whatever_numbers_they_hold(spark, tmp_path):
+    record = '{"entity_id":"%d","vehicle_id":"V1","route_id":7.10,"latitude":28.5,"longitude":77.25,"speed":0.0,"vehicle_timestamp":%d}'
+    (tmp_path / "a.json").write_text("[" + ",\n".join(record % (i, i) for i in range(2000)) + "]")
+    size = (tmp_path / "a.json").stat().st_size
+    read = lambda: sum(x.getBytesRead() for x in spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics())
+    records, bad, files = feed.split_arrays(spark, str(tmp_path))
+    before = read()
+    got = records.collect()
+    assert read() - before < 3 * size                 # a file opened again for every number gives many times its size
+    assert sorted(r.vehicle_timestamp for r in got) == list(range(2000)) and {r.route_id for r in got} == {"7.10"}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size // 5)      # the splits of a file do not cut its array
+    try:
+        assert [x.count() for x in feed.split_arrays(spark, str(tmp_path))] == [2000, 0, 0]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_csv_lines_of_another_width_are_quarantined(spark, tmp_path):
     for i, bom in enumerate((b"\xef\xbb\xbf", b"")):
         (tmp_path / f"{i}.txt").write_bytes(bom + f'a,b\n{i},"x, y"\n\n1,2,3\n4\n5,\n'.encode())
