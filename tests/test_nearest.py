@@ -33,6 +33,36 @@ def test_rings_find_what_the_fan_out_finds(spark, centre, spread):
     assert len(full) >= 152 and ring == full
 
 
+def test_candidates_of_a_ping_do_not_grow_with_its_trip(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    def run(n):
+        at = [(28.6 + 0.01 * float(y), 77.2 + 0.01 * float(x)) for y, x in rng.random((n, 2))]
+        stops = [(f"s{i}", "n", *q) for i, q in enumerate(at)]
+        times = [("t", f"s{i}", i % 7, i) for i in range(n)]
+        pos = [(f"v{i}", i, "t", "r", 28.6 + 0.01 * float(y), 77.2 + 0.01 * float(x), 0.0) for i, (y, x) in enumerate(rng.random((30, 2)))]
+        pos, times, stops = spark.createDataFrame(pos, POS), spark.createDataFrame(times, TIMES), spark.createDataFrame(stops, STOPS)
+        full = delays.nearest_stop(delays.candidates(pos, times, stops)).select("obs_epoch", "stop_id").collect()
+        most = []
+        with monkeypatch.context() as m:
+            m.setattr(nearest.delays, "nearest_stop", lambda cand, *a: (most.append(cand.count()), nearest_stop(cand, *a))[1])
+            ring = nearest.nearest_by_rings(pos, times, stops).select("obs_epoch", "stop_id").collect()
+        assert sorted(ring) == sorted(full) and len(ring) == 30
+        return max(most)
+    nearest_stop = delays.nearest_stop
+    small, large = run(2000), run(20000)
+    assert large < 3 * small and large < 30 * 40
+
+
+def test_reports_of_one_key_that_differ_are_one_row(spark):
+    stops = [(f"s{i}", "n", 28.6 + 0.00002 * i, 77.2) for i in range(300)] + [(f"z{i}", "n", 28.7 + 0.001 * i, 77.2) for i in range(40)] + [("q", "n", 28.6001, 77.2001)]
+    times = [("long", f"s{i}", 1, 5) for i in range(300)] + [("wide", f"z{i}", 2, 6) for i in range(40)] + [("short", "q", 3, 7)]
+    pos = [("v", 1, t, "r", lat, 77.2001, 0.0) for t in ("long", "wide", "short") for lat in (28.6001, 28.65, 28.7)]
+    pos += [("w", 2, "long", "r", 28.63, 77.2, 0.0), ("w", 2, "wide", "r", 28.7001, 77.2, 0.0), (None, 3, "long", "r", 28.6, 77.2, 0.0),
+            ("x", 4, "short", "r", 28.6, 77.2, 0.0), ("x", 4, "long", "r", 28.6, 77.2, 0.0), ("x", 4, "long", "r", 28.6, 77.2, 0.0)]
+    full, ring = both(spark, pos, times, stops)
+    assert ring == full and len(ring) == 4
+
+
 def test_rings_with_a_stop_beyond_the_pole_and_empty_inputs(spark):
     pos = [(f"v{i}", i, "t", "r", 80.0, 10.0 + i, 0.0) for i in range(5)]
     times, stops = [("t", "a", 1, 5), ("t", "b", 2, 6)], [("a", "a", 100.0, 10.0), ("b", "b", 80.0, 12.0)]
