@@ -44,3 +44,22 @@ def test_state_of_silent_vehicles_expires(spark, tmp_path, expire, gap):
     files = [[("a", T0, T0)], [("c", T0 + 3000, T0 + 3000)], [("c", T0 + 3500, T0 + 3500)], [("a", T0 + 4000, T0 + 4000)]] + END
     got = run(spark, tmp_path, files, bound_s=100, expire_s=expire)
     assert ("on_time", "a", T0 + 4000, 1, gap) in got and len(got) == 4
+
+
+def test_vehicles_of_a_group_keep_their_own_state(spark, tmp_path):
+    files = [[(f"v{i}", T0 + 7 * i + 60 * k, T0 + 600 * k) for i in range(20)] for k in (0, 3, 1, 2)] + END
+    got = []
+    for groups in (1, 3, 1024):
+        (tmp_path / str(groups)).mkdir()
+        got.append(run(spark, tmp_path / str(groups), files, bound_s=1700, expire_s=5000, groups=groups))
+    assert got[0] == got[1] == got[2] and len(got[0]) == 80
+
+
+def test_more_records_of_a_chunk_give_no_more_files_than_asked(spark, tmp_path):
+    raw = spark.range(400).select((F.col("id") % 40).cast("string").alias("vehicle_id"), F.col("id"), F.floor(F.col("id") / 200).alias("c"))
+    assert S.land_in_time_order(raw, str(tmp_path / "in"), "c", most_files=3, file_rows=20) == 2
+    files = sorted((tmp_path / "in").glob("*.json"))
+    assert len(files) <= 6
+    rows = [[json.loads(x) for x in f.read_text().splitlines()] for f in files]
+    assert sorted(r["id"] for f in rows for r in f) == list(range(400))
+    assert len({(r["vehicle_id"], r["id"] // 200) for f in rows for r in f}) == sum(len({(r["vehicle_id"], r["id"] // 200) for r in f}) for f in rows)

@@ -15,6 +15,10 @@ stands for, so rows of both kinds add up to all valid reports.
 A buffer holds one entry per distinct epoch of one vehicle within the bound.  A
 timer wakes vehicles that fall silent; after ``expire_s`` seconds without a
 report a vehicle's state is removed, and its next report starts anew (no gap).
+
+Vehicles are dealt into groups by a hash, and a group is one key of the state: the function is called per group and
+micro-batch, since a call costs far more than the few reports of a vehicle.  Each vehicle of a group has its own
+buffer, clock position and expiry.
 """
 from __future__ import annotations
 
@@ -29,62 +33,81 @@ OUT = T.StructType([T.StructField(n, t) for n, t in (
     ("kind", T.StringType()), ("vehicle_id", T.StringType()), ("obs_epoch", T.LongType()), ("snapshot_id", T.StringType()),
     ("route_id", T.StringType()), ("trip_id", T.StringType()), ("lat", T.DoubleType()), ("lon", T.DoubleType()),
     ("n_reports", T.LongType()), ("gap_s", T.LongType()), ("dist_m", T.DoubleType()))])
-STATE = T.StructType([T.StructField("epoch", T.LongType()), T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType()),
-                      T.StructField("buffer", T.StringType())])
-REPORT = ["obs_epoch", "snapshot_id", "route_id", "trip_id", "lat", "lon", "arrived_s"]
+STATE = T.StructType([T.StructField("vehicles", T.StringType())])
+REPORT = ["vehicle_id", "obs_epoch", "snapshot_id", "route_id", "trip_id", "lat", "lon", "arrived_s"]
+
+FLUSH = 20_000              # rows put out together
 
 
 def _nulls_first(fields) -> tuple:
     return tuple((x is not None, x) for x in fields)
 
 
+def _frame(rows: list):
+    import pandas as pd
+    pdf = pd.DataFrame(rows, columns=OUT.names)
+    for c in ("gap_s", "n_reports"):
+        pdf[c] = pdf[c].astype("Int64")
+    pdf["dist_m"] = pdf["dist_m"].astype(float)
+    return pdf
+
+
 def _reorder(bound_s: int, expire_s: int):
     def reorder(key, batches, state):
-        import pandas as pd
-        epoch, lat, lon, held = state.get if state.exists else (None, None, None, "{}")
-        buffer = {int(e): v for e, v in json.loads(held).items()}       # epoch: [snapshot, route, trip, lat, lon, copies]
+        # vehicle: [epoch, lat, lon of the last row out, {epoch: [snapshot, route, trip, lat, lon, copies]}]
+        vehicles = {v: [e, y, x, {int(t): row for t, row in held.items()}]
+                    for v, e, y, x, held in json.loads(state.get[0] if state.exists else "[]")}
         out = []
         if not state.hasTimedOut:
             for pdf in batches:
-                columns = (pdf[c].astype(object).where(pdf[c].notna(), None).tolist() for c in REPORT)
-                for e, snapshot, route, trip, y, x, arrived in zip(*columns):
+                columns = ([None if x != x else x for x in pdf[c].tolist()] for c in REPORT)
+                for vehicle, e, snapshot, route, trip, y, x, arrived in zip(*columns):
                     e = int(e)
                     if arrived is None or arrived - e > bound_s:
-                        out.append(("late", key[0], e, snapshot, route, trip, y, x, 1, None, None))
+                        out.append(("late", vehicle, e, snapshot, route, trip, y, x, 1, None, None))
                         continue
+                    buffer = vehicles.setdefault(vehicle, [None, None, None, {}])[3]
                     row, known = [snapshot, route, trip, y, x], buffer.get(e)
                     if known is None:
                         buffer[e] = [*row, 1]
                     else:
                         buffer[e] = [*min(row, known[:5], key=_nulls_first), known[5] + 1]
+                if len(out) >= FLUSH:
+                    yield _frame(out)
+                    out = []
         clock_ms = state.getCurrentWatermarkMs()
-        for e in sorted(e for e in buffer if (e + bound_s) * 1000 <= clock_ms):
-            snapshot, route, trip, y, x, copies = buffer.pop(e)
-            gap = dist = None
-            if epoch is not None:
-                gap, dist = e - epoch, float(_haversine_np(lat, lon, y, x))
-            out.append(("on_time", key[0], e, snapshot, route, trip, y, x, copies, gap, dist))
-            epoch, lat, lon = e, y, x
-        wake = min(buffer) + bound_s if buffer else None if epoch is None else epoch + bound_s + expire_s
-        if wake is None or (not buffer and wake * 1000 <= clock_ms):
-            if state.exists:
-                state.remove()
-        else:
-            state.update((epoch, lat, lon, json.dumps(buffer)))
-            state.setTimeoutTimestamp(max(wake * 1000, clock_ms + 1))
+        kept, first = [], None
+        for vehicle, (epoch, lat, lon, buffer) in vehicles.items():
+            for e in sorted(e for e in buffer if (e + bound_s) * 1000 <= clock_ms):
+                snapshot, route, trip, y, x, copies = buffer.pop(e)
+                gap = dist = None
+                if epoch is not None:
+                    gap, dist = e - epoch, float(_haversine_np(lat, lon, y, x))
+                out.append(("on_time", vehicle, e, snapshot, route, trip, y, x, copies, gap, dist))
+                epoch, lat, lon = e, y, x
+            if len(out) >= FLUSH:
+                yield _frame(out)
+                out = []
+            wake = min(buffer) + bound_s if buffer else epoch + bound_s + expire_s
+            if buffer or wake * 1000 > clock_ms:
+                kept.append((vehicle, epoch, lat, lon, buffer))
+                first = wake if first is None else min(first, wake)
+        if kept:
+            state.update((json.dumps(kept),))
+            state.setTimeoutTimestamp(max(first * 1000, clock_ms + 1))
+        elif state.exists:
+            state.remove()
         if out:
-            pdf = pd.DataFrame(out, columns=OUT.names)
-            for c in ("gap_s", "n_reports"):
-                pdf[c] = pdf[c].astype("Int64")
-            pdf["dist_m"] = pdf["dist_m"].astype(float)
-            yield pdf
+            yield _frame(out)
     return reorder
 
 
-def reordered(pos: DataFrame, arrived_s, bound_s: int = 7200, expire_s: int = 30 * 86400, clock_delay: str = "1 day") -> DataFrame:
+def reordered(pos: DataFrame, arrived_s, bound_s: int = 7200, expire_s: int = 30 * 86400, clock_delay: str = "1 day",
+              groups: int = 1024) -> DataFrame:
     """On-time reports in order, with gap and distance, and late ones.  ``arrived_s``: the fetch time of a report in
-    epoch seconds; ``clock_delay``: how far fetch times may lie apart among files that are read side by side."""
+    epoch seconds; ``clock_delay``: how far fetch times may lie apart among files that are read side by side;
+    ``groups``: into how many groups vehicles are dealt."""
     raw = (pos.withColumn("arrived_s", arrived_s.cast("long")).withColumn("arrived", F.timestamp_seconds("arrived_s"))
-           .withWatermark("arrived", clock_delay).select("vehicle_id", *REPORT, "arrived"))
-    return raw.groupBy("vehicle_id").applyInPandasWithState(
+           .withWatermark("arrived", clock_delay).select(F.pmod(F.xxhash64("vehicle_id"), F.lit(groups)).alias("group"), *REPORT, "arrived"))
+    return raw.groupBy("group").applyInPandasWithState(
         _reorder(bound_s, expire_s), OUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)

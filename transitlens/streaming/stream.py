@@ -179,17 +179,20 @@ def run_available_now(df: DataFrame, sink, checkpoint: str, mode: str = "append"
         raise q.exception()
 
 
-def land_in_time_order(raw: DataFrame, path: str, chunk_col: str) -> int:
+def land_in_time_order(raw: DataFrame, path: str, chunk_col: str, most_files: int = 8, file_rows: int = 50_000) -> int:
     """Write raw records as NDJSON, one write per chunk in ascending order, so the
     file stream sees them in event-time order.  Returns the number of chunks.
-    The chunk list is a handful of values (e.g. local dates)."""
-    chunks = [r[0] for r in raw.select(chunk_col).distinct().orderBy(chunk_col).collect()]
-    for c in chunks:
+    The chunk list is a handful of values (e.g. local dates).
+
+    A chunk has a file per ``file_rows`` records, ``most_files`` at most: more records make larger files (which are
+    read in splits) and not more micro-batches, each of which costs a pass over the state."""
+    sizes = raw.groupBy(chunk_col).agg(F.count(F.lit(1)).alias("n")).orderBy(chunk_col).collect()
+    for c, n in sizes:
         # a vehicle's reports of one chunk land in one file, so they are never
         # split across micro-batches out of order
-        raw.filter(F.col(chunk_col) == F.lit(c)).drop(chunk_col).repartition("vehicle_id") \
+        raw.filter(F.col(chunk_col) == F.lit(c)).drop(chunk_col).repartition(min(most_files, -(-n // file_rows)), "vehicle_id") \
            .write.mode("append").json(path)
-    return len(chunks)
+    return len(sizes)
 
 
 def chunk_day(epoch_col: str = "vehicle_timestamp", seconds: int = 86400):
