@@ -97,7 +97,8 @@ def load_batch(spark: SparkSession, root: str, raw: DataFrame, p: Params = DEFAU
         return published._stage(spark, df, root, name, run, CLUSTERED[name])
 
     if before is None:
-        flagged = materialize(_dated(bunching.flag_bunching(P.clean(batch.select(*POSITION), p), p), p), "pings")
+        cleaned = materialize(P.clean(batch.select(*POSITION), p), "read-dates")       # bunching reads it several times
+        flagged = materialize(_dated(bunching.flag_bunching(cleaned, p), p), "pings")
         staged = {"pings": flagged, "route_hours": _by_date(metrics.route_hour(flagged)), "day_edges": _edges(batch),
                   "snapshot_days": batch.select("date_key", "snapshot_id").distinct()}
         return published._commit(spark, root, None, {n: stage(n, d) for n, d in staged.items()}, source, batch_id)
@@ -128,7 +129,7 @@ def load_batch(spark: SparkSession, root: str, raw: DataFrame, p: Params = DEFAU
     if touched:
         # every ping of a changed snapshot lies on a touched date; the others are as stored
         outside = stored("pings", [d for d in touched if d not in read]).select(*plain)
-        again = cleaned.unionByName(outside).join(snapshots, changed, "left_semi")
+        again = materialize(cleaned.unionByName(outside).join(snapshots, changed, "left_semi"), "changed-pings")
         kept = stored("pings", touched).join(snapshots, changed, "left_anti")
         pings = materialize(bunching.flag_bunching(again, p).unionByName(kept), "pings")
         news = best.filter(F.col("date_key").isin(touched))
