@@ -95,3 +95,17 @@ def test_a_replayed_batch_is_recognised(spark, tmp_path):
     b = incremental.load_batch(spark, root, frame(spark, some), source="feed", batch_id=1)
     assert b["applied"] == {"feed": 1} and b["version"] == 2
     both(spark, root, some)
+
+
+def test_bunching_reads_written_pings(spark, tmp_path, monkeypatch):
+    """Bunching reads its input in several branches; none of them may clean the reports again."""
+    plans, flag = [], incremental.bunching.flag_bunching
+
+    def flagged(pings, *a):
+        plans.append(pings._jdf.queryExecution().optimizedPlan().toString())
+        return flag(pings, *a)
+    monkeypatch.setattr(incremental.bunching, "flag_bunching", flagged)
+    some = reports(7, 60)
+    for part in (some[::2], some[1::2]):
+        incremental.load_batch(spark, f"file://{tmp_path}/w", frame(spark, part))
+    assert len(plans) == 2 and not any("Window" in x or "Join" in x for x in plans)
