@@ -91,3 +91,12 @@ def test_salted_hot_cells_equal_all_pairs(spark):
     df = spark.createDataFrame(recs, SCHEMA)
     p = Params(salt_rows=20)
     assert rows(bunching.close_vehicles(df, p)) == brute(df)
+
+
+def test_flags_join_without_sorting_the_pings(spark):
+    """The flags, one narrow row per key, are hashed; pings without snapshot, route or partner keep one row each."""
+    recs = [("s", "1", "a", 28.6, 77.2, True), ("s", "1", "b", 28.6, 77.2, True), ("s", "1", "b", 28.7, 77.2, False),
+            (None, "1", "a", 28.6, 77.2, True), ("s", None, "b", 28.6, 77.2, True), ("s", "2", "c", 28.6, 77.2, True)]
+    out = bunching.flag_bunching(spark.createDataFrame(recs, SCHEMA))
+    assert "strategy=shuffle_hash" in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(r["is_bunched"] for r in out.collect()) == [False] * 3 + [True] * 3

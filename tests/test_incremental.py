@@ -109,3 +109,20 @@ def test_bunching_reads_written_pings(spark, tmp_path, monkeypatch):
     for part in (some[::2], some[1::2]):
         incremental.load_batch(spark, f"file://{tmp_path}/w", frame(spark, part))
     assert len(plans) == 2 and not any("Window" in x or "Join" in x for x in plans)
+
+
+def test_the_batch_flow_writes_cleaned_pings_for_bunching(spark, monkeypatch):
+    """The branches of bunching read written pings, not a cache, whose shuffle partitions each start a task per branch
+    however few rows they hold; the written pings go when bunching is done."""
+    from transitlens.session import path_exists
+    read, flag = [], flow.bunching.flag_bunching
+
+    def flagged(pings, *a):
+        read.append((pings._jdf.queryExecution().optimizedPlan().toString(), pings.storageLevel, pings.inputFiles()))
+        return flag(pings, *a)
+    monkeypatch.setattr(flow.bunching, "flag_bunching", flagged)
+    out = flow.pings_from_raw(frame(spark, reports(8, 60)))
+    (plan, level, files), = read
+    assert not (level.useMemory or level.useDisk) and not any(x in plan for x in ("Window", "Join", "InMemoryRelation"))
+    assert files and not any(path_exists(spark, f) for f in files)
+    assert out.count() == out.select("vehicle_id", "obs_epoch").distinct().count() > 0

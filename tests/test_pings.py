@@ -75,6 +75,17 @@ def test_bucket_size_does_not_change_result(spark):
     assert a == b == c
 
 
+def test_carry_table_needs_no_window_of_all_pings(spark):
+    """One window over the pings, one over the carry table, which is a hash aggregate of fewer rows than pings."""
+    recs = [(f"v{v}", "1", None, 28.5 + 0.0001 * i, 77.0, T0 + 7200 * i + v, "a") for v in range(3) for i in range(40)]
+    out = P.clean(spark.createDataFrame(recs, SCHEMA))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("+- Window") + plan.count(":- Window") == 2 and "max_by(" in plan
+    got = out.orderBy("vehicle_id", "obs_epoch").collect()
+    assert [r["gap_s"] for r in got] == ([None] + [7200] * 39) * 3
+    assert all(abs(r["dist_m"] - 0.0001 * M_PER_DEG) < 1e-6 for r in got if r["gap_s"])
+
+
 def test_incremental_with_carry_equals_full_recompute(spark):
     from transitlens.sources import fixtures, feed
     ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet")

@@ -21,6 +21,20 @@ def test_failed_gate_writes_nothing(spark, pings, tmp_path):
         published.read_table(spark, root, "dim_route")
 
 
+def test_route_hours_are_computed_once_per_load(spark, pings, tmp_path, monkeypatch):
+    """Checks, route dimension, fact and quarantine read the route-hours; none of them may aggregate the pings again."""
+    plans, load = [], published.warehouse_build.load
+
+    def loaded(spark, pings, rh, *a):
+        plans.append(rh._jdf.queryExecution().optimizedPlan().toString())
+        return load(spark, pings, rh, *a)
+    monkeypatch.setattr(published.warehouse_build, "load", loaded)
+    root = f"file://{tmp_path}/w"
+    published.gated_load(spark, root, pings)
+    assert len(plans) == 1 and "Aggregate" not in plans[0]
+    assert published.read_table(spark, root, "fact_route_hour_speed").agg(F.sum("n_pings")).first()[0] == pings.count()
+
+
 @pytest.mark.parametrize("mode", ["static", "dynamic"])
 def test_untouched_dates_keep_their_folders(spark, pings, tmp_path, mode):
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)

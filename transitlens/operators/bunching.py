@@ -92,8 +92,9 @@ def _salted(probes: DataFrame, targets: DataFrame, ckey: list[str], p: Params) -
 
 
 def flag_bunching(pings: DataFrame, p: Params = DEFAULT) -> DataFrame:
-    """Add is_bunched to every ping (left join on snapshot, route, vehicle)."""
-    flagged = close_vehicles(pings, p).withColumn("_b", F.lit(True))
+    """Add is_bunched to every ping (left join on snapshot, route, vehicle).  The
+    flagged side holds one narrow row per key at most: it is hashed, so the pings need no sort."""
+    flagged = close_vehicles(pings, p).withColumn("_b", F.lit(True)).hint("shuffle_hash")
     out = pings.join(flagged, KEY + ["vehicle_id"], "left")
     b = F.coalesce(F.col("_b"), F.lit(False))
     if p.strict_bunching:

@@ -11,7 +11,9 @@ Scale notes
   not end up as one unbounded window partition.  The first ping of a bucket
   takes its predecessor from a small "carry" table: the last ping of each
   (vehicle, bucket), looked back over buckets per vehicle.  The carry table
-  has one row per vehicle-bucket, so its shuffles are small.  The same carry
+  has one row per vehicle-bucket and comes from a hash aggregate, so its
+  shuffles are small; buckets are days, since a bucket of about one ping would
+  make it as large as the pings.  The same carry
   lets an incremental run continue from the previous batch (trap 12).
 """
 from __future__ import annotations
@@ -25,7 +27,7 @@ from transitlens.functions.timefn import local_date, local_dow, local_hour, trip
 # Deterministic survivor among reports of one (vehicle_id, obs_epoch):
 # the earliest snapshot wins, then the remaining fields break ties.
 DEDUP_ORDER = ["snapshot_id", "route_id", "trip_id", "lat", "lon"]
-BUCKET_S = 3600
+BUCKET_S = 86400
 
 
 def valid_positions(pos: DataFrame, p: Params = DEFAULT) -> DataFrame:
@@ -80,10 +82,12 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
         "prev_lat": F.lag("lat").over(w_lag),
         "prev_lon": F.lag("lon").over(w_lag),
         "prev_epoch": F.lag("obs_epoch").over(w_lag),
-        "_is_last": F.lead("obs_epoch").over(w_lag).isNull(),
     })
-    # last ping of every (vehicle, bucket), taken from the same window pass
-    last = lagged.filter("_is_last").select(*part, F.struct("obs_epoch", "lat", "lon").alias("_last"))
+    # last ping of every (vehicle, bucket): epochs are distinct, so the three come from one row; numbers only, so a
+    # hash aggregate that collapses before its shuffle
+    last = kept.groupBy(*part).agg(F.struct(
+        F.max("obs_epoch").alias("obs_epoch"), F.max_by("lat", "obs_epoch").alias("lat"),
+        F.max_by("lon", "obs_epoch").alias("lon")).alias("_last"))
     if carry is not None:
         last = last.unionByName(carry.select(
             "vehicle_id", F.lit(None).cast("long").alias("_bkt"),
@@ -98,7 +102,7 @@ def dedup_and_lag(df: DataFrame, bucket_s: int = BUCKET_S, carry: DataFrame | No
         "prev_lat": F.when(first, F.col("_prev.lat")).otherwise(F.col("prev_lat")),
         "prev_lon": F.when(first, F.col("_prev.lon")).otherwise(F.col("prev_lon")),
         "prev_epoch": F.when(first, F.col("_prev.obs_epoch")).otherwise(F.col("prev_epoch")),
-    }).drop("_prev", "_bkt", "_is_last")
+    }).drop("_prev", "_bkt")
 
 
 def speed_columns(df: DataFrame, p: Params = DEFAULT) -> DataFrame:

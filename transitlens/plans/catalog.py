@@ -85,13 +85,12 @@ def q_bunched_vehicles(spark, sf_dir):
 
 
 def _pings_unflagged(spark, sf_dir):
-    """Cleaned pings before bunching; persisted because the bunching plan reads
-    them in three branches."""
-    from pyspark import StorageLevel
+    """Cleaned pings before bunching; written once because the bunching plan reads
+    them in several branches."""
     from transitlens.operators import pings as P
     from transitlens.sources import feed, fixtures
     raw = fixtures.raw_feed(Tables(spark, sf_dir)("events"))
-    return P.clean(feed.positions_for_speed(raw)).persist(StorageLevel.MEMORY_AND_DISK)
+    return flow.write_and_read(P.clean(feed.positions_for_speed(raw)), "cleaned")
 
 
 @register("route_hour_speed", with_ctes("route_hour") + "SELECT * FROM route_hour")

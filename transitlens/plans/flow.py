@@ -5,30 +5,35 @@ Each stage is lazy; callers decide what to persist or write.
 """
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame
 
 from transitlens.config import DEFAULT, Params
 from transitlens.operators import bunching, metrics, pings as P
+from transitlens.session import delete_path, scratch_path
 from transitlens.sources import feed, fixtures
 
 
 def pings_from_raw(raw: DataFrame, p: Params = DEFAULT, materialize: bool = True) -> DataFrame:
     """Cleaned pings are read by several branches of the bunching plan, so they
-    are persisted (memory, spilling to disk) for the duration of the bunching
-    job.  The flagged pings -- the vehicle_pings_clean table -- are written
-    once to the shared checkpoint folder and read back, so every consumer
+    are written once to the shared checkpoint folder; the folder is deleted when
+    bunching is done.  (A cache keeps every shuffle partition of its plan as it is, however
+    small, and each branch starts a task for each.)  The flagged pings -- the
+    vehicle_pings_clean table -- are written there too and read back, so every consumer
     (route-hour, dimensions, facts, checks, reports) starts from a pruned
     columnar scan instead of re-planning and re-running the whole flow."""
     pos = feed.positions_for_speed(raw)
     cleaned = P.clean(pos, p)
     if not materialize:
         return bunching.flag_bunching(cleaned, p)
-    cleaned = cleaned.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = cleaned.sparkSession
+    path = scratch_path(spark, f"cleaned-{uuid.uuid4().hex}")
     try:
-        return write_and_read(bunching.flag_bunching(cleaned, p), "vehicle_pings_clean")
+        cleaned.write.mode("errorifexists").parquet(path)
+        return write_and_read(bunching.flag_bunching(spark.read.schema(cleaned.schema).parquet(path), p), "vehicle_pings_clean")
     finally:
-        cleaned.unpersist()
+        delete_path(spark, path)
 
 
 def write_and_read(df: DataFrame, name: str) -> DataFrame:

@@ -218,7 +218,8 @@ def gated_load(spark: SparkSession, root: str, pings: DataFrame, route_hours: Da
     in ``quarantined``.  An empty batch fails the row-count check.
     Returns {"version", "checks", "quarantined"}.
     """
-    rh = route_hours if route_hours is not None else metrics.route_hour(pings)
+    # six of the steps below read the route-hours, which are few: computed once, not per reader
+    rh = materialize(route_hours if route_hours is not None else metrics.route_hour(pings), "route-hours")
     checks = quality.gate(
         quality.run_suite(pings, "vehicle_pings_clean", ping_checks or quality.pings_suite()).unionByName(
             quality.run_suite(rh, "route_hour_speed", route_hour_checks or quality.route_hour_suite())))
